@@ -20,6 +20,7 @@ from velotide.plans.bronze import demand_trips
 from velotide.plans.silver import silver_hours
 from velotide.schemas import RAW_TRIPS
 from velotide.session import configure
+from velotide.sources.scratch import materialize
 
 # 2024-01-01 plus this many days is 2026-01-01: two listed holidays fall in.
 DAY_SHIFT = 731
@@ -40,7 +41,10 @@ def station_lng(index: Column) -> Column:
 
 
 class Tables:
-    """Lazily built views; each property is a plan, nothing is computed here."""
+    """Lazily built views, one set per query.
+
+    ``capacities`` and ``silver_table`` are written tables, as between the jobs.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
@@ -171,9 +175,18 @@ class Tables:
     def matches(self) -> DataFrame:
         return match_stations(self.stations, self.feed)
 
+    @cached_property
+    def capacities(self) -> DataFrame:
+        return materialize(self.matches, "capacities")
+
     @cached_property
     def silver(self) -> DataFrame:
-        return silver_hours(self.trips, self.matches, self.weather)
+        return silver_hours(self.trips, self.capacities, self.weather)
+
+    @cached_property
+    def silver_table(self) -> DataFrame:
+        """For iterative fits, which read their input several times."""
+        return materialize(self.silver, "silver")
 
     @cached_property
     def priced(self) -> DataFrame:

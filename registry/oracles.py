@@ -402,7 +402,8 @@ ORACLES: dict[str, str] = {
         "write_read_roundtrip": "SELECT station_id, event_hour, bike_demand, dock_demand, "
         "CAST(year(event_hour) AS INTEGER) AS year, CAST(month(event_hour) AS INTEGER) AS month FROM hourly",
         "station_feed": "SELECT * FROM feed",
-        "weather_daily": "SELECT * FROM weather",
+        "weather_daily": "SELECT CAST(date AS VARCHAR) AS date, temp_c, precip_mm, wind_kmh FROM weather",
+        "model_roundtrip": "SELECT count(*) AS rows, true AS same_features FROM assembled",
         "pricing_csv_roundtrip": f"SELECT {_PRICED} FROM priced",
         "parse_timestamps": f"SELECT {_PARSED} FROM raw",
         "drop_missing_station": "SELECT ride_id, start_station_id, end_station_id FROM raw "

@@ -122,7 +122,7 @@ def _weather_daily(t: Tables) -> DataFrame:
         F.concat_ws(",", F.col("date"), "temp_c", "precip_mm", "wind_kmh").alias("value"),
     )
     lines.unionByName(days).orderBy("n", "day").select("value").write.text(out)
-    return read_weather(t.spark, out)
+    return read_weather(t.spark, out).withColumn("date", F.col("date").cast("string"))
 
 
 @query("pricing_csv_roundtrip")
@@ -136,7 +136,7 @@ def _pricing_csv_roundtrip(t: Tables) -> DataFrame:
 def _model_roundtrip(t: Tables) -> DataFrame:
     """Saved and loaded steps give the features of the fitted ones."""
     folder = scratch_path(t.spark, "gold-model")
-    silver = t.silver.persist()
+    silver = t.silver_table
     _, model = gold.gold_features(silver, k=5)
     model.write().overwrite().save(folder)
     loaded = PipelineModel.load(folder)
@@ -147,7 +147,6 @@ def _model_roundtrip(t: Tables) -> DataFrame:
     table = model.transform(silver).agg(F.count(F.lit(1)).alias("rows"), digest(model).alias("fitted"))
     again = loaded.transform(silver).agg(digest(loaded).alias("loaded"))
     row, other = table.first(), again.first()
-    silver.unpersist()
     return t.spark.createDataFrame(
         [(row["rows"], row["fitted"] == other["loaded"])], "rows bigint, same_features boolean"
     )
@@ -157,7 +156,7 @@ def _model_roundtrip(t: Tables) -> DataFrame:
 def _training_summary(t: Tables) -> DataFrame:
     """The summary read back from the JSON written by training."""
     out = scratch_path(t.spark, "summary")
-    summary, _ = training.train(t.silver, "rf", summary_path=out, **FOREST)
+    summary, _ = training.train(t.silver_table, "rf", summary_path=out, **FOREST)
     return t.spark.read.schema(summary.schema).json(out).drop("train_time_s")
 
 
@@ -245,7 +244,7 @@ def _weather_join(t: Tables) -> DataFrame:
 
 @query("capacity_join")
 def _capacity_join(t: Tables) -> DataFrame:
-    return enrich.with_capacity(_hours(t), t.matches)
+    return enrich.with_capacity(_hours(t), t.capacities)
 
 
 @query("haversine")
@@ -272,7 +271,7 @@ def _silver_hourly(t: Tables) -> DataFrame:
 def _join_coverage(t: Tables) -> DataFrame:
     """Row coverage of the joins, and station coverage of the spatial match."""
     rows = enrich.join_coverage(t.silver)
-    stations = spatial.match_coverage(t.matches)
+    stations = spatial.match_coverage(t.capacities)
     measures = ["total_rows", "weather_matched", "weather_missing", "capacity_known"]
     station_measures = ["stations", "stations_matched", "stations_with_capacity"]
     return rows.unpivot([], measures, "measure", "value").unionByName(
@@ -390,7 +389,7 @@ def _station_forecast(t: Tables) -> DataFrame:
 
 
 def _series(t: Tables) -> DataFrame:
-    known = t.matches.where("capacity > 0").select("station_id", "capacity")
+    known = t.capacities.where("capacity > 0").select("station_id", "capacity")
     return _hourly(t).select("station_id", "event_hour", "bike_demand", "dock_demand").join(
         known, "station_id", "left"
     )
@@ -446,7 +445,7 @@ def _assembled_rows(t: Tables) -> DataFrame:
 
 @query("standardized")
 def _standardized(t: Tables) -> DataFrame:
-    silver = t.silver
+    silver = t.silver_table
     columns = feature_columns(silver)
     scaled = features.fit_scaling(silver, columns).transform(silver)
     values = scaled.select(
@@ -456,7 +455,7 @@ def _standardized(t: Tables) -> DataFrame:
 
 
 def _gold(t: Tables, k: int) -> DataFrame:
-    return gold.gold_features(t.silver, k)[0]
+    return gold.gold_features(t.silver_table, k)[0]
 
 
 @query("pca_components")
@@ -473,11 +472,11 @@ def _gold_features(t: Tables) -> DataFrame:
 
 @query("pca_variance")
 def _pca_variance(t: Tables) -> DataFrame:
-    return gold.component_report(t.silver, k=5)
+    return gold.component_report(t.silver_table, k=5)
 
 
 def _predictions(t: Tables, kind: str, params: dict) -> DataFrame:
-    data = training.training_data(t.silver)
+    data = training.training_data(t.silver_table)
     scored = data.rows
     for target in training.TARGETS:
         scored = training.fit_target(data, kind, target, **params).transform(scored)
@@ -507,7 +506,7 @@ def _regression_metrics(t: Tables) -> DataFrame:
 
 @query("train_summary")
 def _train_summary(t: Tables) -> DataFrame:
-    summary, _ = training.train(t.silver, "gbt", **BOOSTED)
+    summary, _ = training.train(t.silver_table, "gbt", **BOOSTED)
     return summary.drop("train_time_s")
 
 
@@ -517,4 +516,4 @@ def _param_search(t: Tables) -> DataFrame:
         {**params, "numTrees": 10 + i, "maxDepth": 4 + i}
         for i, params in enumerate(draw_parameters("rf", 3))
     ]
-    return training.search(t.silver, "rf", "bike", draws=draws)
+    return training.search(t.silver_table, "rf", "bike", draws=draws)
