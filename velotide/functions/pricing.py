@@ -19,9 +19,21 @@ BASE_PRICE_USD = 4.49
 # Stock assumed for a station of unknown capacity.
 UNKNOWN_STOCK = 15
 
-# Thresholds and slopes: fixed values of the pricing policy.
+# Thresholds on the gap ratios: fixed values of the pricing policy.
 SHORT_BOTH, SHORT_ONE, AMPLE = -0.5, -0.3, 0.5
 
+# Explanations: fixed texts.
+REASONS = {
+    "both short": "Double shortage: bikes %d short, docks %d short. Heavy surge applied.",
+    "bikes short": "Bike shortage: predicted demand exceeds supply by %d. "
+    "Surge applied to encourage nearby station use.",
+    "docks short": "Dock congestion: predicted returns exceed empty docks by %d. "
+    "Mild surge to discourage returns here.",
+    "both ample": "Double surplus: bikes and docks both abundant. Discount applied to attract riders.",
+    "bikes ample": "Bike surplus: %d extra bikes. Mild discount to encourage use.",
+    "balanced": "Supply and demand balanced. Standard pricing.",
+}
+
 
 def estimated_bikes(capacity: Column) -> Column:
     """Half the docks are assumed occupied, at least one bike."""
@@ -99,46 +111,18 @@ def decision_zone(b: Column, d: Column) -> Column:
 
 
 def decision_reason(b: Column, d: Column, bike_gap: Column, dock_gap: Column) -> Column:
-    """Explanation shown to the rider; fixed texts around whole-number gaps."""
+    """Explanation shown to the rider, with gaps as whole numbers."""
     bikes_short, docks_short = whole(-bike_gap), whole(-dock_gap)
     return (
         F.when(
             (b < SHORT_BOTH) & (d < SHORT_BOTH),
-            F.concat(
-                F.lit("Double shortage: bikes "), bikes_short,
-                F.lit(" short, docks "), docks_short,
-                F.lit(" short. Heavy surge applied."),
-            ),
-        )
-        .when(
-            b < SHORT_ONE,
-            F.concat(
-                F.lit("Bike shortage: predicted demand exceeds supply by "), bikes_short,
-                F.lit(". Surge applied to encourage nearby station use."),
-            ),
-        )
-        .when(
-            d < SHORT_ONE,
-            F.concat(
-                F.lit("Dock congestion: predicted returns exceed empty docks by "), docks_short,
-                F.lit(". Mild surge to discourage returns here."),
-            ),
-        )
-        .when(
-            (b > AMPLE) & (d > AMPLE),
-            F.lit(
-                "Double surplus: bikes and docks both abundant. "
-                "Discount applied to attract riders."
-            ),
-        )
-        .when(
-            b > AMPLE,
-            F.concat(
-                F.lit("Bike surplus: "), whole(bike_gap),
-                F.lit(" extra bikes. Mild discount to encourage use."),
-            ),
+            F.format_string(REASONS["both short"], bikes_short, docks_short),
         )
-        .otherwise("Supply and demand balanced. Standard pricing.")
+        .when(b < SHORT_ONE, F.format_string(REASONS["bikes short"], bikes_short))
+        .when(d < SHORT_ONE, F.format_string(REASONS["docks short"], docks_short))
+        .when((b > AMPLE) & (d > AMPLE), REASONS["both ample"])
+        .when(b > AMPLE, F.format_string(REASONS["bikes ample"], whole(bike_gap)))
+        .otherwise(REASONS["balanced"])
     )
 
 

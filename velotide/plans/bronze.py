@@ -12,7 +12,7 @@ from velotide.operators.trips import (
 )
 from velotide.schemas import DEMAND_COLUMNS
 from velotide.sources.parquet import read_parquet, write_parquet
-from velotide.sources.scratch import materialize
+from velotide.sources.scratch import materialized
 
 
 def demand_trips(raw: DataFrame) -> DataFrame:
@@ -29,9 +29,9 @@ def run_bronze(spark: SparkSession, raw_path: str, trips_path: str, stations_pat
     """
     seen = Observation("bronze_input")
     raw = read_parquet(spark, raw_path).observe(seen, F.count(F.lit(1)).alias("rows"))
-    clean = materialize(clean_trips(raw), "clean-trips")
-    write_parquet(without_station_attributes(clean), trips_path)
-    write_parquet(station_dimension(clean), stations_path)
+    with materialized(clean_trips(raw), "clean-trips") as clean:
+        write_parquet(without_station_attributes(clean), trips_path)
+        write_parquet(station_dimension(clean), stations_path)
     counts = (
         seen.get["rows"],
         read_parquet(spark, trips_path).count(),

@@ -9,7 +9,7 @@ from velotide.operators.enrich import with_capacity, with_holiday, with_weather
 from velotide.operators.spatial import match_stations
 from velotide.operators.trips import trip_events
 from velotide.sources.parquet import read_parquet, write_parquet
-from velotide.sources.scratch import materialize
+from velotide.sources.scratch import materialized
 from velotide.sources.station_feed import read_station_feed
 from velotide.sources.weather import read_weather
 
@@ -36,14 +36,12 @@ def run_silver(
     max_distance_m: float = 100.0,
 ) -> None:
     """Write station-hours in one folder per month."""
-    # As a written table its size is known when the plan is made, so a small one
-    # is broadcast and the station-hours are not shuffled for it.
-    capacities = materialize(
-        match_stations(
-            read_parquet(spark, stations_path), read_station_feed(spark, feed_path), max_distance_m
-        ),
-        "capacities",
+    matches = match_stations(
+        read_parquet(spark, stations_path), read_station_feed(spark, feed_path), max_distance_m
     )
     weather = read_weather(spark, weather_path) if weather_path else None
-    silver = silver_hours(read_parquet(spark, trips_path), capacities, weather)
-    write_parquet(silver, out, partition_by=["year", "month"])
+    # As a written table its size is known when the plan is made, so a small one
+    # is broadcast and the station-hours are not shuffled for it.
+    with materialized(matches, "capacities") as capacities:
+        silver = silver_hours(read_parquet(spark, trips_path), capacities, weather)
+        write_parquet(silver, out, partition_by=["year", "month"])

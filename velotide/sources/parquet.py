@@ -9,19 +9,45 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _reads_from(df: DataFrame, path: str) -> bool:
+    """Whether a file scan of ``df`` has its root at, above or below ``path``."""
+    spark = df.sparkSession
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def qualified(jvm_path) -> str:
+        return jvm_path.getFileSystem(hadoop).makeQualified(jvm_path).toString().rstrip("/") + "/"
+
+    target = qualified(spark._jvm.org.apache.hadoop.fs.Path(path))
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation":
+            continue
+        relation = leaf.relation()
+        if relation.getClass().getSimpleName() == "HadoopFsRelation":
+            roots = relation.location().rootPaths()
+            for j in range(roots.size()):
+                root = qualified(roots.apply(j))
+                if root.startswith(target) or target.startswith(root):
+                    return True
+    return False
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
 ) -> None:
-    """Write ``df``; an existing folder is replaced by the job's commit.
+    """Write ``df``, by default replacing what ``path`` holds.
 
-    Nothing is deleted beforehand, so a plan that reads ``path`` is refused by
-    Spark instead of losing the data.  With ``partition_by`` the rows are
-    rebalanced first: each folder gets a few files of good size, and adaptive
-    execution splits a folder that holds much more than the others.
+    Overwriting clears the folder before rows are read, so a plan that reads
+    ``path`` itself is refused.  With ``partition_by`` the rows are rebalanced
+    first: each folder gets a few files of good size, and adaptive execution
+    splits a folder that holds much more than the others.
     """
+    if mode == "overwrite" and _reads_from(df, path):
+        raise ValueError(f"the plan reads the folder it would replace: {path}")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
         df.write.mode(mode).partitionBy(*partition_by).parquet(path)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,12 +24,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError(f"{_KEY} must name a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="velotide-")
     path = f"{base.rstrip('/')}/velotide/{label}-{uuid.uuid4().hex}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jvm_path = _located(spark, path)
     fs.deleteOnExit(jvm_path)
     return path
 
 
+def _located(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: lineage ends at a durable, columnar
     table, so later readers prune columns and a lost executor repeats nothing
@@ -36,3 +42,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``materialize`` for a table that is done with at the end of the block."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        fs, jvm_path = _located(spark, path)
+        fs.delete(jvm_path, True)
