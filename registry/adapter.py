@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velotide.functions.calendar import TRIP_TIME_FORMAT
+from velotide.operators.demand import hourly_demand
 from velotide.operators.pricing import price_station_hours
 from velotide.operators.spatial import match_stations
-from velotide.operators.trips import clean_trips, station_dimension
+from velotide.operators.trips import clean_trips, station_dimension, trip_events
 from velotide.plans.bronze import demand_trips
 from velotide.plans.silver import silver_hours
 from velotide.schemas import RAW_TRIPS
@@ -188,6 +189,14 @@ class Tables:
         """For iterative fits, which read their input several times."""
         return materialize(self.silver, "silver")
 
+    @cached_property
+    def hourly_table(self) -> DataFrame:
+        """The demand history as lookups find it: a stored table."""
+        hourly = hourly_demand(trip_events(self.trips))
+        return materialize(
+            hourly.select("station_id", "event_hour", "bike_demand", "dock_demand"), "hourly"
+        )
+
     @cached_property
     def priced(self) -> DataFrame:
         return price_station_hours(self.silver)

@@ -71,6 +71,7 @@ def main(argv: list[str]) -> int:
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()

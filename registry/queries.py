@@ -14,7 +14,11 @@ from velotide.functions import pricing as rule
 from velotide.functions.geo import haversine_m
 from velotide.operators import demand, enrich, features, pricing, reports, sampling, spatial, trips
 from velotide.operators.features import NOT_FEATURES, NOT_TRAINING_FEATURES, feature_columns
-from velotide.operators.lookup import demand_by_hour_of_day, lookup_demand
+from velotide.operators.lookup import (
+    demand_by_hour_of_day,
+    demand_by_station_hour,
+    lookup_demand,
+)
 from velotide.operators.models import draw_parameters, regression_metrics
 from velotide.operators.stock import running_stock, with_default_stock
 from velotide.plans import gold, serving, training
@@ -374,25 +378,23 @@ def _demand_heuristic(t: Tables) -> DataFrame:
 def _demand_lookup(t: Tables) -> DataFrame:
     asked = serving.checked_requests(t.price_requests).select("request_id", "station_id", "asked_at")
     return comparable(
-        lookup_demand(asked, _hourly(t)), "predicted_bike_demand", "predicted_dock_demand"
+        lookup_demand(asked, t.hourly_table), "predicted_bike_demand", "predicted_dock_demand"
     )
 
 
 @query("price_requests")
 def _price_requests(t: Tables) -> DataFrame:
-    return serving.answer_requests(t.price_requests, _hourly(t))
+    return serving.answer_requests(t.price_requests, t.hourly_table)
 
 
 @query("station_forecast")
 def _station_forecast(t: Tables) -> DataFrame:
-    return serving.forecast(t.forecast_requests, _hourly(t), AS_OF)
+    return serving.forecast(t.forecast_requests, t.hourly_table, AS_OF)
 
 
 def _series(t: Tables) -> DataFrame:
     known = t.capacities.where("capacity > 0").select("station_id", "capacity")
-    return _hourly(t).select("station_id", "event_hour", "bike_demand", "dock_demand").join(
-        known, "station_id", "left"
-    )
+    return t.hourly_table.join(known, "station_id", "left")
 
 
 @query("running_stock")
@@ -496,8 +498,9 @@ def _gbt_demand(t: Tables) -> DataFrame:
 @query("regression_metrics")
 def _regression_metrics(t: Tables) -> DataFrame:
     """Metrics of the hour-of-day mean as a prediction, per part of the data."""
-    hours = _hourly(t).withColumn("hour_of_day", F.hour("event_hour"))
-    scored = hours.join(F.broadcast(demand_by_hour_of_day(hours)), "hour_of_day").withColumn(
+    hours = t.hourly_table.withColumn("hour_of_day", F.hour("event_hour"))
+    by_hour = demand_by_hour_of_day(demand_by_station_hour(hours))
+    scored = hours.join(F.broadcast(by_hour), "hour_of_day").withColumn(
         "part", sampling.split_column(training.ROW_KEY, training.TRAINING_PARTS)
     )
     metrics = regression_metrics(scored, "bike_demand", "hour_bikes", by=["part"])

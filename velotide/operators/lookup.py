@@ -10,16 +10,31 @@ from velotide.functions.pricing import heuristic_demand
 from velotide.operators.skew import left_join_hot_keys
 
 
+_DEMAND = {"bike_demand": "bikes", "dock_demand": "docks"}
+
+
 def demand_by_station_hour(history: DataFrame) -> DataFrame:
-    return history.groupBy("station_id", "event_hour").agg(
-        F.avg("bike_demand").alias("station_bikes"), F.avg("dock_demand").alias("station_docks")
+    """Mean demand per station and hour, with the sums and counts behind it."""
+    sums = history.groupBy("station_id", "event_hour").agg(
+        *[F.sum(c).alias(f"sum_{n}") for c, n in _DEMAND.items()],
+        *[F.count(c).alias(f"count_{n}") for c, n in _DEMAND.items()],
+    )
+    return sums.withColumns(
+        {f"station_{n}": F.try_divide(f"sum_{n}", f"count_{n}") for n in _DEMAND.values()}
     )
 
 
-def demand_by_hour_of_day(history: DataFrame) -> DataFrame:
-    """At most 24 rows."""
-    return history.groupBy(F.hour("event_hour").alias("hour_of_day")).agg(
-        F.avg("bike_demand").alias("hour_bikes"), F.avg("dock_demand").alias("hour_docks")
+def demand_by_hour_of_day(station_hours: DataFrame) -> DataFrame:
+    """Mean demand of all rows at each hour of day; at most 24 rows.
+
+    Built on the sums of ``demand_by_station_hour``, so that the history is
+    read and shuffled once for both.
+    """
+    return station_hours.groupBy(F.hour("event_hour").alias("hour_of_day")).agg(
+        *[
+            F.try_divide(F.sum(f"sum_{n}"), F.sum(f"count_{n}")).alias(f"hour_{n}")
+            for n in _DEMAND.values()
+        ]
     )
 
 
@@ -34,10 +49,14 @@ def lookup_demand(requests: DataFrame, history: DataFrame) -> DataFrame:
         {"event_hour": hour_of(F.col("asked_at")), "hour_of_day": F.hour("asked_at")}
     )
     by_station = demand_by_station_hour(history)
-    by_hour = F.broadcast(demand_by_hour_of_day(history))
+    by_hour = F.broadcast(demand_by_hour_of_day(by_station))
     bikes, docks = heuristic_demand(F.col("asked_at"))
     return (
-        left_join_hot_keys(keyed, by_station, ["station_id", "event_hour"])
+        left_join_hot_keys(
+            keyed,
+            by_station.select("station_id", "event_hour", "station_bikes", "station_docks"),
+            ["station_id", "event_hour"],
+        )
         .join(by_hour, "hour_of_day", "left")
         .withColumns(
             {

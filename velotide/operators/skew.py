@@ -18,23 +18,24 @@ def left_join_hot_keys(
 ) -> DataFrame:
     """``rows LEFT JOIN table USING (keys)`` for a ``table`` unique on ``keys``.
 
-    The most frequent keys of ``rows`` are joined by broadcast and never
-    shuffled; the rest is shuffled on the keys.  Every row takes exactly one of
-    the two ways, so the result is that of the plain join.
+    Keys are counted first, which reduces them before they are shuffled, and
+    looked up once each.  The most frequent ones are broadcast with what was
+    found, so their rows are never shuffled; the others are shuffled on the
+    keys.  Every row takes exactly one of the two ways, so the result is that
+    of the plain join.
     """
+    found = [c for c in table.columns if c not in keys]
+    counts = rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     hot = (
-        rows.dropna(subset=keys)
-        .groupBy(*keys)
-        .count()
-        .orderBy(F.desc("count"), *keys)
+        counts.join(table, keys, "left")
+        .orderBy(F.desc("_rows"), *keys)
         .limit(hot_keys)
-        .select(*keys)
+        .select(*keys, *found, F.lit(True).alias("_listed"))
     )
-    marked = rows.join(F.broadcast(hot.withColumn("_listed", F.lit(True))), keys, "left")
+    marked = rows.join(F.broadcast(hot), keys, "left")
     # A row without a key matches nothing; it stays out of the shuffle as well.
     keyless = reduce(or_, [F.col(key).isNull() for key in keys])
-    marked = marked.withColumn("_stays", F.col("_listed").isNotNull() | keyless).drop("_listed")
-    hot_table = table.join(F.broadcast(hot), keys, "left_semi")
-    on_hot = marked.where("_stays").join(F.broadcast(hot_table), keys, "left")
-    on_rest = marked.where("NOT _stays").join(table, keys, "left")
-    return on_hot.unionByName(on_rest).drop("_stays")
+    stays = F.col("_listed").isNotNull() | keyless
+    on_hot = marked.where(stays).drop("_listed")
+    on_rest = marked.where(~stays).drop("_listed", *found).join(table, keys, "left")
+    return on_hot.unionByName(on_rest)
