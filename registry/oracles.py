@@ -468,9 +468,9 @@ GROUP BY ALL""",
         "top_surge_stations": f"SELECT station_id, {_STAT_ROUNDED} FROM "
         "(SELECT * FROM station_stat ORDER BY avg_multiplier DESC, station_id LIMIT 10)",
         "headline_kpis": "SELECT count(*) AS station_hours, count(DISTINCT station_id) AS stations, "
-        + scaled_round("CAST(sum(CAST(round_even(pricing_multiplier * 100e0, 0) AS BIGINT)) AS DOUBLE) / count(*) / 100e0", 2)
+        + exact_round("CAST(sum(CAST(round_even(pricing_multiplier * 100e0, 0) AS BIGINT)) AS DOUBLE) / count(*) / 100e0", 2)
         + " AS avg_multiplier, "
-        + scaled_round(f"{_ZONE_CENTS} / count(*) / 100e0", 2) + " AS avg_price FROM priced",
+        + exact_round(f"{_ZONE_CENTS} / count(*) / 100e0", 2) + " AS avg_price FROM priced",
         "demand_scatter": f"SELECT station_id, event_hour, pricing_zone, {_CLIP.format(c='bike_demand')}, "
         f"{_CLIP.format(c='dock_demand')} FROM (SELECT * FROM priced ORDER BY md5({_KEY_TEXT}), station_id, event_hour LIMIT 2000)",
         "demand_heuristic": f"SELECT request_id, {heuristic('asked_at')} AS bike_demand, "

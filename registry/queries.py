@@ -14,11 +14,7 @@ from velotide.functions import pricing as rule
 from velotide.functions.geo import haversine_m
 from velotide.operators import demand, enrich, features, pricing, reports, sampling, spatial, trips
 from velotide.operators.features import NOT_FEATURES, NOT_TRAINING_FEATURES, feature_columns
-from velotide.operators.lookup import (
-    demand_by_hour_of_day,
-    demand_by_station_hour,
-    lookup_demand,
-)
+from velotide.operators.lookup import demand_by_hour_of_day, lookup_demand
 from velotide.operators.models import draw_parameters, regression_metrics
 from velotide.operators.stock import running_stock, with_default_stock
 from velotide.plans import gold, serving, training
@@ -499,7 +495,7 @@ def _gbt_demand(t: Tables) -> DataFrame:
 def _regression_metrics(t: Tables) -> DataFrame:
     """Metrics of the hour-of-day mean as a prediction, per part of the data."""
     hours = t.hourly_table.withColumn("hour_of_day", F.hour("event_hour"))
-    by_hour = demand_by_hour_of_day(demand_by_station_hour(hours))
+    by_hour = demand_by_hour_of_day(hours)
     scored = hours.join(F.broadcast(by_hour), "hour_of_day").withColumn(
         "part", sampling.split_column(training.ROW_KEY, training.TRAINING_PARTS)
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velotide.functions.calendar import hour_of
@@ -10,31 +10,17 @@ from velotide.functions.pricing import heuristic_demand
 from velotide.operators.skew import left_join_hot_keys
 
 
-_DEMAND = {"bike_demand": "bikes", "dock_demand": "docks"}
-
-
 def demand_by_station_hour(history: DataFrame) -> DataFrame:
-    """Mean demand per station and hour, with the sums and counts behind it."""
-    sums = history.groupBy("station_id", "event_hour").agg(
-        *[F.sum(c).alias(f"sum_{n}") for c, n in _DEMAND.items()],
-        *[F.count(c).alias(f"count_{n}") for c, n in _DEMAND.items()],
-    )
-    return sums.withColumns(
-        {f"station_{n}": F.try_divide(f"sum_{n}", f"count_{n}") for n in _DEMAND.values()}
+    return history.groupBy("station_id", "event_hour").agg(
+        F.avg("bike_demand").alias("station_bikes"), F.avg("dock_demand").alias("station_docks")
     )
 
 
-def demand_by_hour_of_day(station_hours: DataFrame) -> DataFrame:
-    """Mean demand of all rows at each hour of day; at most 24 rows.
-
-    Built on the sums of ``demand_by_station_hour``, so that the history is
-    read and shuffled once for both.
-    """
-    return station_hours.groupBy(F.hour("event_hour").alias("hour_of_day")).agg(
-        *[
-            F.try_divide(F.sum(f"sum_{n}"), F.sum(f"count_{n}")).alias(f"hour_{n}")
-            for n in _DEMAND.values()
-        ]
+def demand_by_hour_of_day(history: DataFrame) -> DataFrame:
+    """Mean over all rows at each hour of day: at most 24 rows, and at most 24
+    per task are shuffled."""
+    return history.groupBy(F.hour("event_hour").alias("hour_of_day")).agg(
+        F.avg("bike_demand").alias("hour_bikes"), F.avg("dock_demand").alias("hour_docks")
     )
 
 
@@ -49,14 +35,10 @@ def lookup_demand(requests: DataFrame, history: DataFrame) -> DataFrame:
         {"event_hour": hour_of(F.col("asked_at")), "hour_of_day": F.hour("asked_at")}
     )
     by_station = demand_by_station_hour(history)
-    by_hour = F.broadcast(demand_by_hour_of_day(by_station))
+    by_hour = F.broadcast(demand_by_hour_of_day(history))
     bikes, docks = heuristic_demand(F.col("asked_at"))
     return (
-        left_join_hot_keys(
-            keyed,
-            by_station.select("station_id", "event_hour", "station_bikes", "station_docks"),
-            ["station_id", "event_hour"],
-        )
+        left_join_hot_keys(keyed, by_station, ["station_id", "event_hour"])
         .join(by_hour, "hour_of_day", "left")
         .withColumns(
             {
@@ -66,3 +48,44 @@ def lookup_demand(requests: DataFrame, history: DataFrame) -> DataFrame:
         )
         .select(*requests.columns, "predicted_bike_demand", "predicted_dock_demand")
     )
+
+
+def lookup_horizon(requests: DataFrame, history: DataFrame, start: Column, hours: int) -> DataFrame:
+    """Adds demands: the cascade for each hour of a horizon shared by all rows.
+
+    ``demands`` is an array of (event_hour, bike_demand, dock_demand), so a
+    request stays one row: only the station is joined, the history is filtered
+    to the horizon in the scan, and the 24 means by hour of day are a single
+    value.
+    """
+    end = start + F.make_dt_interval(hours=F.lit(hours - 1))
+    horizon = F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))
+
+    def as_map(key: str, bikes: str, docks: str) -> Column:
+        value = F.struct(F.col(bikes).alias("bikes"), F.col(docks).alias("docks"))
+        return F.map_from_entries(F.collect_list(F.struct(key, value)))
+
+    # At most one entry per hour of the horizon.
+    by_station = (
+        demand_by_station_hour(history.where(F.col("event_hour").between(start, end)))
+        .groupBy("station_id")
+        .agg(as_map("event_hour", "station_bikes", "station_docks").alias("_at_station"))
+    )
+    by_hour = demand_by_hour_of_day(history).agg(as_map("hour_of_day", "hour_bikes", "hour_docks"))
+
+    def demand(ts: Column) -> Column:
+        own = F.try_element_at(F.col("_at_station"), ts)
+        any_station = F.try_element_at(F.col("_at_any"), F.hour(ts))
+        bikes, docks = heuristic_demand(ts)
+        return F.struct(
+            ts.alias("event_hour"),
+            F.coalesce(own["bikes"], any_station["bikes"], bikes).alias("bike_demand"),
+            F.coalesce(own["docks"], any_station["docks"], docks).alias("dock_demand"),
+        )
+
+    return (
+        left_join_hot_keys(requests, by_station, ["station_id"])
+        .withColumn("_at_any", by_hour.scalar())
+        .withColumn("demands", F.transform(horizon, demand))
+        .drop("_at_station", "_at_any")
+    )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velotide.functions.rounding import half_even_cents, scaled_round
+from velotide.functions.rounding import exact_round, half_even_cents, scaled_round
 from velotide.operators.sampling import sample_rows
 from velotide.schemas import PRICING_ZONES
 
@@ -142,8 +142,8 @@ def headline_figures(priced: DataFrame) -> DataFrame:
     return priced.agg(
         F.count(F.lit(1)).alias("station_hours"),
         F.countDistinct("station_id").alias("stations"),
-        scaled_round(mean_of_cents(F.col("pricing_multiplier")), 2).alias("avg_multiplier"),
-        scaled_round(mean_of_cents(F.col("suggested_price")), 2).alias("avg_price"),
+        exact_round(mean_of_cents(F.col("pricing_multiplier")), 2).alias("avg_multiplier"),
+        exact_round(mean_of_cents(F.col("suggested_price")), 2).alias("avg_price"),
     )
 
 

@@ -175,29 +175,24 @@ def _week_starts() -> Column:
     return F.aggregate(weeks, start, advance, lambda state: state["path"])
 
 
-def walk_requests(request_hours: DataFrame, key: str) -> DataFrame:
-    """Running stock of short, independent series: one walk per ``key``.
+def walk_demands(requests: DataFrame) -> DataFrame:
+    """One row per hour of each request's ``demands``, with the stock before it.
 
-    For forecasts: a series has the hours of one horizon by construction, so
-    the group that is collected is bounded.
+    The walk happens inside the row; nothing is grouped or shuffled.
     """
-    carried = ["bike_demand", "dock_demand"]
-    constant = [c for c in request_hours.columns if c not in {key, "event_hour", *carried}]
-    series = (
-        _typed_stock(request_hours)
-        .groupBy(key)
-        .agg(_ordered_hours(carried).alias("hours"), *[F.min(c).alias(c) for c in constant])
-    )
-    kept = [c for c in constant if c not in ("start_bikes", "start_docks")]
-    return series.select(
-        key,
-        *kept,
-        F.inline(
-            _walk(F.col("hours"), F.col("capacity"), F.col("start_bikes"), F.col("start_docks"))
+    hours = F.transform(
+        "demands",
+        lambda d: F.struct(
+            d["event_hour"].alias("event_hour"),
+            d["bike_demand"].alias("bike_demand"),
+            d["dock_demand"].alias("dock_demand"),
+            hourly_shift(d["bike_demand"], d["dock_demand"]).alias("shift"),
         ),
-    ).select(
-        key,
-        *kept,
+    )
+    stock = [F.col(c).cast("bigint") for c in _STATION]
+    rest = [c for c in requests.columns if c not in ("demands", "start_bikes", "start_docks")]
+    return requests.select(*rest, F.inline(_walk(hours, *stock))).select(
+        *rest,
         "hour.event_hour",
         "hour.bike_demand",
         "hour.dock_demand",

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velotide.functions.calendar import REQUEST_TIME_FORMAT, parse_time
-from velotide.operators.lookup import lookup_demand
+from velotide.functions.calendar import REQUEST_TIME_FORMAT, hour_of, parse_time
+from velotide.operators.lookup import lookup_demand, lookup_horizon
 from velotide.operators.pricing import decide_prices
-from velotide.operators.stock import running_stock, walk_requests, with_default_stock
+from velotide.operators.stock import running_stock, walk_demands, with_default_stock
 
 FORECAST_HOURS = 24
 
@@ -53,24 +53,10 @@ def forecast(requests: DataFrame, history: DataFrame, as_of: str) -> DataFrame:
 
     Stock moves with the predicted demand from hour to hour.
     """
-    start = F.date_trunc("hour", F.lit(as_of).cast("timestamp_ntz")).cast("timestamp_ntz")
-    horizon = F.sequence(
-        start, start + F.make_dt_interval(hours=F.lit(FORECAST_HOURS - 1)), F.expr("INTERVAL 1 HOUR")
-    )
-    hours = requests.select(
-        "request_id", "station_id", "capacity",
-        F.col("available_bikes").alias("start_bikes"),
-        F.col("available_docks").alias("start_docks"),
-        F.explode(horizon).alias("asked_at"),
-    )
-    demand = lookup_demand(hours, history).withColumnsRenamed(
-        {
-            "asked_at": "event_hour",
-            "predicted_bike_demand": "bike_demand",
-            "predicted_dock_demand": "dock_demand",
-        }
-    )
-    walked = walk_requests(demand, "request_id").withColumnsRenamed(
+    start = hour_of(F.lit(as_of).cast("timestamp_ntz"))
+    stock = {"available_bikes": "start_bikes", "available_docks": "start_docks"}
+    asked = requests.withColumnsRenamed(stock)
+    walked = walk_demands(lookup_horizon(asked, history, start, FORECAST_HOURS)).withColumnsRenamed(
         {"bike_demand": "predicted_bike_demand", "dock_demand": "predicted_dock_demand"}
     )
     return decide_prices(walked).select(
