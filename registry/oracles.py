@@ -412,7 +412,8 @@ ORACLES: dict[str, str] = {
         "bronze_trips": "SELECT ride_id, rideable_type, started_at, ended_at, start_station_id, "
         "end_station_id, member_casual FROM clean",
         "bronze_report": "SELECT (SELECT count(*) FROM raw) AS input_rows, "
-        "(SELECT count(*) FROM clean) AS output_rows, (SELECT count(*) FROM station) AS station_count",
+        "(SELECT count(*) FROM clean) AS output_rows, (SELECT count(*) FROM station) AS station_count, "
+        "(SELECT count(*) FROM raw WHERE started_at IS NULL OR ended_at IS NULL) AS unreadable_times",
         "station_dim": "SELECT * FROM station",
         "trip_events": "SELECT * FROM trip_event",
         "hourly_demand": "SELECT * FROM hourly_sum",

@@ -9,7 +9,7 @@ from registry.oracles import ORACLES
 from tests.helpers import rows
 from velotide.__main__ import main
 from velotide.operators.demand import hourly_demand
-from velotide.operators.trips import trip_events
+from velotide.operators.trips import parse_trip_times, trip_events
 from velotide.plans.bronze import run_bronze
 from velotide.plans.gold import run_gold
 from velotide.plans.prices import pricing_summary, run_pricing
@@ -37,7 +37,8 @@ def test_files_to_prices(spark, tmp_path):
 
     assert land_trip_files(spark, paths["csv"], paths["raw"]) == t.raw.count()
     counts = run_bronze(spark, paths["raw"], paths["trips"], paths["stations"]).first()
-    assert tuple(counts) == (t.raw.count(), t.clean.count(), t.stations.count())
+    unreadable = parse_trip_times(t.raw).where("started_at IS NULL OR ended_at IS NULL").count()
+    assert tuple(counts) == (t.raw.count(), t.clean.count(), t.stations.count(), unreadable) and unreadable > 0
     run_silver(spark, paths["trips"], paths["stations"], paths["feed"], paths["silver"], str(weather))
     silver = read_parquet(spark, paths["silver"])
     assert rows(silver.select(t.silver.columns)) == rows(t.silver)

@@ -36,6 +36,15 @@ def test_scan_reads_the_folder_only_and_keeps_ids_as_text(spark, folder):
     assert got == {"r1": "6535.10", "r2": None, "r3": "6535.10"}
 
 
+def test_lines_that_do_not_fit_are_kept(spark, tmp_path):
+    bad = trip_line("r2").replace("40.1", "north")
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n{trip_line('r1')}\n{bad}\nr3,electric_bike\n")
+    got = read_trip_files(spark, str(tmp_path), corrupt_column="line").orderBy("ride_id").collect()
+    assert [(r.ride_id, r.start_lat, r.line) for r in got] == [
+        ("r1", 40.1, None), ("r2", None, bad), ("r3", None, "r3,electric_bike")]
+    assert read_trip_files(spark, str(tmp_path)).count() == 3
+
+
 def test_file_names(spark, folder):
     got = rows(with_file_name(read_trip_files(spark, folder)).select("ride_id", "file_name"))
     assert got == [("r1", "a.csv"), ("r2", "a.csv"), ("r3", "b%202.csv")]

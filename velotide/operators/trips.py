@@ -50,9 +50,13 @@ def without_station_attributes(trips: DataFrame) -> DataFrame:
     return trips.drop(*STATION_ATTRIBUTES)
 
 
+def clean_parsed_trips(parsed: DataFrame) -> DataFrame:
+    """De-duplicated trips that have both stations."""
+    return parsed.transform(first_ride_copy).transform(with_both_stations)
+
+
 def clean_trips(raw: DataFrame) -> DataFrame:
-    """Parsed, de-duplicated trips that have both stations."""
-    return raw.transform(parse_trip_times).transform(first_ride_copy).transform(with_both_stations)
+    return raw.transform(parse_trip_times).transform(clean_parsed_trips)
 
 
 def trip_ends_as_stations(trips: DataFrame) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from velotide.operators.trips import (
+    clean_parsed_trips,
     clean_trips,
+    parse_trip_times,
     station_dimension,
     without_station_attributes,
 )
@@ -22,21 +24,27 @@ def demand_trips(raw: DataFrame) -> DataFrame:
 
 
 def run_bronze(spark: SparkSession, raw_path: str, trips_path: str, stations_path: str) -> DataFrame:
-    """Write both tables; returns one row of input, output and station counts.
+    """Write both tables; returns one row of input, output and station counts,
+    and of input rows whose start or end time could not be read.
 
     Trips are de-duplicated once into an intermediate table, from which both
     outputs are projected; the input is counted while that table is written.
     """
     seen = Observation("bronze_input")
-    raw = read_parquet(spark, raw_path).observe(seen, F.count(F.lit(1)).alias("rows"))
-    with materialized(clean_trips(raw), "clean-trips") as clean:
+    unreadable = F.col("started_at").isNull() | F.col("ended_at").isNull()
+    parsed = parse_trip_times(read_parquet(spark, raw_path)).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(unreadable).alias("unreadable")
+    )
+    with materialized(clean_parsed_trips(parsed), "clean-trips") as clean:
         write_parquet(without_station_attributes(clean), trips_path)
         write_parquet(station_dimension(clean), stations_path)
     counts = (
         seen.get["rows"],
         read_parquet(spark, trips_path).count(),
         read_parquet(spark, stations_path).count(),
+        seen.get["unreadable"],
     )
     return spark.createDataFrame(
-        [counts], "input_rows bigint, output_rows bigint, station_count bigint"
+        [counts],
+        "input_rows bigint, output_rows bigint, station_count bigint, unreadable_times bigint",
     )

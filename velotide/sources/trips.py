@@ -11,17 +11,24 @@ from velotide.sources.parquet import write_parquet
 
 
 def read_trip_files(
-    spark: SparkSession, folder: str, schema: T.StructType = RAW_TRIPS
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType = RAW_TRIPS,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """All ``*.csv`` files directly in ``folder`` as one frame.
 
     The schema is declared, so no inference pass runs over the files; a file
     whose header names other columns fails instead of being read shifted.
-    A folder without such files is an error.
+    A folder without such files is an error.  A line that does not fit keeps
+    what can be read; with ``corrupt_column`` its text is kept there as well.
     """
+    reader = spark.read.option("header", True)
+    if corrupt_column:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     return (
-        spark.read.schema(schema)
-        .option("header", True)
+        reader.schema(schema)
         .option("enforceSchema", False)
         .csv(f"{folder.rstrip('/')}/*.csv")
     )
