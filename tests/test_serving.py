@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import at, hours, rows
 from velotide.operators.lookup import lookup_demand
-from velotide.operators.skew import left_join_hot_keys
+from velotide.operators.skew import HOT_KEYS, hot_key_codes, left_join_hot_keys
 from velotide.operators.stock import running_stock, with_default_stock
 from velotide.plans.serving import TIME_ERROR, answer_requests, forecast, price_series
 from velotide.schemas import FORECAST_REQUEST, PRICE_REQUEST
@@ -63,12 +63,17 @@ def test_lookup_without_history(spark):
 
 def test_hot_key_join_equals_plain_join(spark):
     generator = random.Random(1)
-    keys = ["hot"] * 400 + [None] * 150 + [f"k{generator.randrange(60)}" for _ in range(450)]
-    left = spark.createDataFrame([(i, k, 8) for i, k in enumerate(keys)], "n int, k string, h int")
-    table = spark.createDataFrame([("hot", 8, 1.0)] + [(f"k{i}", 8, float(i)) for i in range(0, 60, 2)], "k string, h int, v double")
+    keys = ["hot"] * 9000 + [None] * 1500 + [f"k{generator.randrange(6000)}" for _ in range(9000)]
+    left = spark.createDataFrame([(i, k, 8) for i, k in enumerate(keys)], "n int, k string, h int").repartition(6)
+    table = spark.createDataFrame([("hot", 8, 1.0)] + [(f"k{i}", 8, float(i)) for i in range(0, 6000, 2)], "k string, h int, v double")
     plain = rows(left.join(table, ["k", "h"], "left"))
-    for hot_keys in (1, 5, 1024):
-        assert rows(left_join_hot_keys(left, table, ["k", "h"], hot_keys).select("k", "h", "n", "v")) == plain
+    codes = hot_key_codes(left, ["k", "h"])
+    hot = left.where("k = 'hot'").select(F.xxhash64("k", "h")).first()[0]
+    assert hot in codes and len(codes) <= HOT_KEYS
+    assert rows(left_join_hot_keys(left, table, ["k", "h"]).select("k", "h", "n", "v")) == plain
+    nothing = left.where("false")
+    assert hot_key_codes(nothing, ["k"]) == []
+    assert left_join_hot_keys(nothing, table, ["k", "h"]).count() == 0
 
 
 def test_price_requests_keep_refused_ones(spark):

@@ -5,37 +5,42 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Keys treated as hot.  A key outside the list holds less than 1/1024 of the
-# rows; the broadcast tables have at most this many rows.
-HOT_KEYS = 1024
+# Most keys ever treated as hot, and how many a task's sketch follows.  A key
+# that holds more than about 0.2 percent of the rows cannot be overlooked.
+HOT_KEYS = 256
+_FOLLOWED = 2048
 
 
-def left_join_hot_keys(
-    rows: DataFrame, table: DataFrame, keys: list[str], hot_keys: int = HOT_KEYS
-) -> DataFrame:
+def _code(keys: list[str]) -> Column:
+    return F.xxhash64(*keys)
+
+
+def hot_key_codes(rows: DataFrame, keys: list[str]) -> list[int]:
+    """Codes of keys that stand out, at most ``HOT_KEYS``.
+
+    An action: one pass over the keys with a frequent-items sketch, whose size
+    does not depend on the number of rows or keys.
+    """
+    sketch = f"approx_top_k(_code, {HOT_KEYS}, {_FOLLOWED})"
+    codes = rows.dropna(subset=keys).select(_code(keys).alias("_code"))
+    return [entry["item"] for entry in codes.agg(F.expr(sketch).alias("top")).first()["top"] or []]
+
+
+def left_join_hot_keys(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     """``rows LEFT JOIN table USING (keys)`` for a ``table`` unique on ``keys``.
 
-    Keys are counted first, which reduces them before they are shuffled, and
-    looked up once each.  The most frequent ones are broadcast with what was
-    found, so their rows are never shuffled; the others are shuffled on the
-    keys.  Every row takes exactly one of the two ways, so the result is that
-    of the plain join.
+    Rows of hot keys are joined by broadcast with the few table rows they need
+    and are not shuffled; the others are shuffled on the keys.  Every row takes
+    exactly one of the two ways, whichever keys are found hot, so the result is
+    that of the plain join.  Looking for hot keys is an action on ``rows``.
     """
-    found = [c for c in table.columns if c not in keys]
-    counts = rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = (
-        counts.join(table, keys, "left")
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(hot_keys)
-        .select(*keys, *found, F.lit(True).alias("_listed"))
-    )
-    marked = rows.join(F.broadcast(hot), keys, "left")
-    # A row without a key matches nothing; it stays out of the shuffle as well.
+    # A row without a key matches nothing; it need not be shuffled either.
     keyless = reduce(or_, [F.col(key).isNull() for key in keys])
-    stays = F.col("_listed").isNotNull() | keyless
-    on_hot = marked.where(stays).drop("_listed")
-    on_rest = marked.where(~stays).drop("_listed", *found).join(table, keys, "left")
+    hot = _code(keys).isin(hot_key_codes(rows, keys))
+    wanted = table.dropna(subset=keys).where(hot)
+    on_hot = rows.where(hot | keyless).join(F.broadcast(wanted), keys, "left")
+    on_rest = rows.where(~hot & ~keyless).join(table, keys, "left")
     return on_hot.unionByName(on_rest)
