@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from registry import check
-from registry.adapter import Tables
+from registry.adapter import AS_OF, Tables
 from registry.oracles import ORACLES
 from tests.helpers import rows
 from velotide.__main__ import main
@@ -13,7 +13,8 @@ from velotide.operators.trips import parse_trip_times, trip_events
 from velotide.plans.bronze import run_bronze
 from velotide.plans.gold import run_gold
 from velotide.plans.prices import pricing_summary, run_pricing
-from velotide.plans.silver import run_silver
+from velotide.plans.serving import forecast
+from velotide.plans.silver import run_silver, silver_hours
 from velotide.schemas import PRICING
 from velotide.sources.holidays import HOLIDAYS
 from velotide.sources.parquet import read_parquet
@@ -83,6 +84,46 @@ def test_stream_equals_batch(spark, tmp_path):
     assert rows(spark.table("hourly_stream").select(batch.columns)) == rows(batch)
 
 
+def test_stream_emits_an_hour_once_it_closed(spark, tmp_path):
+    trips = Tables(spark, SF).trips.where("started_at < '2026-01-13' AND ended_at IS NOT NULL")
+    source = str(tmp_path / "trips")
+    for first, last in (("2026-01-01", "2026-01-07"), ("2026-01-07", "2026-01-13")):
+        part = trips.where(f"started_at >= '{first}' AND started_at < '{last}'")
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(trips.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    query = (
+        streaming_hourly_demand(stream, "2 hours")
+        .writeStream.format("memory").queryName("closed_hours").outputMode("append")
+        .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination(120)
+    batch = hourly_demand(trip_events(trips))
+    closed = batch.where("event_hour < '2026-01-12 20:00:00'")
+    emitted = spark.table("closed_hours").select(batch.columns)
+    assert set(rows(closed)) <= set(rows(emitted)) <= set(rows(batch))
+    assert emitted.count() == emitted.select("station_id", "event_hour").distinct().count()
+
+
+def test_forecast_reads_only_the_hours_it_needs(spark, tmp_path):
+    t = Tables(spark, SF)
+    path = str(tmp_path / "prices")
+    t.priced.write.parquet(path)
+    answers = forecast(t.forecast_requests, read_parquet(spark, path), AS_OF)
+    plan = answers._jdf.queryExecution().optimizedPlan().toString() + answers._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(event_hour,2026-01-15T06:00" in plan
+    assert "LessThanOrEqual(event_ho" in plan
+
+
+def test_capacity_and_weather_files_are_joined_without_a_shuffle(spark, tmp_path):
+    t = Tables(spark, SF)
+    for name, table in {"trips": t.trips, "capacities": t.matches, "weather": t.weather}.items():
+        table.write.parquet(str(tmp_path / name))
+    trips, capacities, weather = (spark.read.parquet(str(tmp_path / n)) for n in ("trips", "capacities", "weather"))
+    plan = silver_hours(trips, capacities, weather)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("BroadcastHashJoin") == 3
+    assert "Python" not in plan and plan.count("FileScan parquet") == 3
+
+
 def test_contract(spark):
     queries, oracles = contract.queries(), contract.oracle_sql()
     assert set(oracles) <= set(queries)
