@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.helpers import at, rows
 from velotide.operators.pricing import price_station_hours
 from velotide.schemas import PRICING, RAW_TRIPS
+from velotide.session import reducers_for, shuffle_sized_for
 from velotide.sources.parquet import read_parquet, write_parquet
 from velotide.sources.pricing_table import read_pricing_csv, write_pricing_csv
 from velotide.sources.scratch import materialize, scratch_path
@@ -135,3 +136,13 @@ def test_materialize_writes_under_the_checkpoint_folder(spark):
     table = materialize(spark.range(5).withColumn("x", F.col("id") * 2), "numbers")
     assert rows(table) == [(i, 2 * i) for i in range(5)]
     assert "FileScan parquet" in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shuffle_is_sized_for_its_input(spark, tmp_path):
+    gib = 1024**3
+    assert [reducers_for(n, 200) for n in (0, 10 * gib, 100 * gib, 10**14)] == [200, 200, 400, 100_000]
+    path = str(tmp_path / "t")
+    spark.range(10).write.parquet(path)
+    with shuffle_sized_for(spark, path) as reducers:
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(reducers) == "8"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"

@@ -13,6 +13,7 @@ from velotide.operators.trips import (
     without_station_attributes,
 )
 from velotide.schemas import DEMAND_COLUMNS
+from velotide.session import shuffle_sized_for
 from velotide.sources.parquet import read_parquet, write_parquet
 from velotide.sources.scratch import materialized
 
@@ -35,7 +36,10 @@ def run_bronze(spark: SparkSession, raw_path: str, trips_path: str, stations_pat
     parsed = parse_trip_times(read_parquet(spark, raw_path)).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.count_if(unreadable).alias("unreadable")
     )
-    with materialized(clean_parsed_trips(parsed), "clean-trips") as clean:
+    with (
+        shuffle_sized_for(spark, raw_path),
+        materialized(clean_parsed_trips(parsed), "clean-trips") as clean,
+    ):
         write_parquet(without_station_attributes(clean), trips_path)
         write_parquet(station_dimension(clean), stations_path)
     counts = (

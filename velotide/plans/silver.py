@@ -8,6 +8,7 @@ from velotide.operators.demand import hourly_demand, with_calendar, with_cycles
 from velotide.operators.enrich import with_capacity, with_holiday, with_weather
 from velotide.operators.spatial import match_stations
 from velotide.operators.trips import trip_events
+from velotide.session import shuffle_sized_for
 from velotide.sources.parquet import read_parquet, write_parquet
 from velotide.sources.scratch import materialized
 from velotide.sources.station_feed import read_station_feed
@@ -42,6 +43,6 @@ def run_silver(
     weather = read_weather(spark, weather_path) if weather_path else None
     # As a written table its size is known when the plan is made, so a small one
     # is broadcast and the station-hours are not shuffled for it.
-    with materialized(matches, "capacities") as capacities:
+    with materialized(matches, "capacities") as capacities, shuffle_sized_for(spark, trips_path):
         silver = silver_hours(read_parquet(spark, trips_path), capacities, weather)
         write_parquet(silver, out, partition_by=["year", "month"])
