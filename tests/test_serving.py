@@ -112,6 +112,15 @@ def test_running_stock_by_hand(spark):
     assert [r.available_docks for r in got] == [7, 50, 48, 0]
 
 
+def test_hours_are_shuffled_once(spark, tmp_path):
+    table = [(f"s{i % 5}", f"2026-01-{1 + i % 28:02d} 0{i % 10}:00:00", 1.0 * (i % 7), 2.0) for i in range(140)]
+    hours(spark, table, SERIES).write.parquet(str(tmp_path / "hours"))
+    stock = running_stock(with_default_stock(spark.read.parquet(str(tmp_path / "hours"))))
+    assert len(stock.collect()) == 140
+    plan = stock._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
 def test_default_stock_is_half_the_capacity(spark):
     df = hours(spark, [("1.10", "2026-01-05 00:00:00", 1.0, 1.0)], SERIES)
     row = running_stock(with_default_stock(df, 51)).first()

@@ -14,6 +14,10 @@ HOT_KEYS = 256
 _FOLLOWED = 2048
 
 
+def _keyless(keys: list[str]) -> Column:
+    return reduce(or_, [F.col(key).isNull() for key in keys])
+
+
 def _code(keys: list[str]) -> Column:
     return F.xxhash64(*keys)
 
@@ -25,7 +29,7 @@ def hot_key_codes(rows: DataFrame, keys: list[str]) -> list[int]:
     does not depend on the number of rows or keys.
     """
     sketch = f"approx_top_k(_code, {HOT_KEYS}, {_FOLLOWED})"
-    codes = rows.dropna(subset=keys).select(_code(keys).alias("_code"))
+    codes = rows.where(~_keyless(keys)).select(_code(keys).alias("_code"))
     return [entry["item"] for entry in codes.agg(F.expr(sketch).alias("top")).first()["top"] or []]
 
 
@@ -38,9 +42,9 @@ def left_join_hot_keys(rows: DataFrame, table: DataFrame, keys: list[str]) -> Da
     that of the plain join.  Looking for hot keys is an action on ``rows``.
     """
     # A row without a key matches nothing; it need not be shuffled either.
-    keyless = reduce(or_, [F.col(key).isNull() for key in keys])
+    keyless = _keyless(keys)
     hot = _code(keys).isin(hot_key_codes(rows, keys))
-    wanted = table.dropna(subset=keys).where(hot)
+    wanted = table.where(hot & ~keyless)
     on_hot = rows.where(hot | keyless).join(F.broadcast(wanted), keys, "left")
     on_rest = rows.where(~hot & ~keyless).join(table, keys, "left")
     return on_hot.unionByName(on_rest)

@@ -131,7 +131,8 @@ def match_stations(
     limit_deg = max_distance_m / METRES_PER_DEGREE
     cell = limit_deg * _MARGIN
     positions = feed_positions(feed)
-    places = stations.select("latitude", "longitude").dropna().distinct()
+    located = stations.where("latitude IS NOT NULL AND longitude IS NOT NULL")
+    places = located.select("latitude", "longitude").distinct()
 
     depth = search_depth(positions, cell, crowded)
     pairs = _candidates(places, positions, cell, depth, limit_deg)

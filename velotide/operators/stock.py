@@ -112,32 +112,32 @@ def running_stock(station_hours: DataFrame) -> DataFrame:
     ``with_default_stock``).  The very first hour uses the given docks; later
     ones are what the bikes leave free.
     """
+    # Both uses of ``weeks`` have the same filters and need exactly these two
+    # aggregates, so the hours are read and shuffled once.
     weeks = (
         _typed_stock(station_hours)
-        .groupBy("station_id", F.date_trunc("week", "event_hour").alias("week"))
+        .withColumn("week", F.date_trunc("week", "event_hour"))
+        .where("station_id IS NOT NULL AND week IS NOT NULL")
+        .groupBy("station_id", "week")
         .agg(
             _ordered_hours(["bike_demand", "dock_demand"]).alias("hours"),
-            *[F.min(c).alias(c) for c in _STATION],
+            F.min(F.struct(*_STATION)).alias("station"),
         )
     )
-    steps = weeks.select("station_id", "week", *_STATION, _combine(F.col("hours"), F.col("capacity")).alias("step"))
+    step = F.struct("week", _combine(F.col("hours"), F.col("station.capacity")).alias("step"))
     starts = (
-        steps.groupBy("station_id")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("week", F.col("step.shift").alias("shift"),
-                                                 F.col("step.low").alias("low"),
-                                                 F.col("step.high").alias("high")))).alias("weeks"),
-            *[F.min(c).alias(c) for c in _STATION],
-        )
+        weeks.select("station_id", "station", step.alias("entry"))
+        .groupBy("station_id")
+        .agg(F.array_sort(F.collect_list("entry")).alias("weeks"), F.min("station").alias("station"))
         .select("station_id", F.inline(_week_starts()))
     )
+    capacity = F.col("station.capacity")
     return (
-        weeks.drop("start_bikes", "start_docks")
-        .join(starts, ["station_id", "week"])
+        weeks.join(starts, ["station_id", "week"])
         .select(
             "station_id",
-            "capacity",
-            F.inline(_walk(F.col("hours"), F.col("capacity"), F.col("bikes"), F.col("docks"))),
+            capacity.alias("capacity"),
+            F.inline(_walk(F.col("hours"), capacity, F.col("bikes"), F.col("docks"))),
         )
         .select(
             "station_id",
@@ -154,7 +154,8 @@ def running_stock(station_hours: DataFrame) -> DataFrame:
 def _week_starts() -> Column:
     """(week, bikes, docks) at the start of each week of a station."""
     weeks = F.col("weeks")
-    bikes, docks, capacity = F.col("start_bikes"), F.col("start_docks"), F.col("capacity")
+    bikes, docks = F.col("station.start_bikes"), F.col("station.start_docks")
+    capacity = F.col("station.capacity")
 
     def entry(week: Column, stock: Column, free: Column) -> Column:
         return F.struct(week["week"].alias("week"), stock.alias("bikes"), free.alias("docks"))
@@ -163,7 +164,7 @@ def _week_starts() -> Column:
     start = F.struct(bikes.alias("bikes"), docks.alias("docks"), nothing.alias("path"))
 
     def advance(state: Column, week: Column) -> Column:
-        after = _apply(week, state["bikes"])
+        after = _apply(week["step"], state["bikes"])
         return F.struct(
             after.alias("bikes"),
             (capacity - after).alias("docks"),

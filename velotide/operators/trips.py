@@ -43,7 +43,7 @@ def first_ride_copy(trips: DataFrame) -> DataFrame:
 
 
 def with_both_stations(trips: DataFrame) -> DataFrame:
-    return trips.dropna(how="any", subset=["start_station_id", "end_station_id"])
+    return trips.where("start_station_id IS NOT NULL AND end_station_id IS NOT NULL")
 
 
 def without_station_attributes(trips: DataFrame) -> DataFrame:
