@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from velotide.llm.common import octets, rows_of
 from velotide.llm.components import connected_components
+from velotide.llm.gram_sets import GramSets
 from velotide.sources.scratch import materialize
 
 # Cells of the frequency table that orders grams: a power of two, and the size
@@ -33,41 +34,11 @@ MOST_SENT_IDS = 1 << 21
 # Rows of one gram up to which a single window looks for the hub.
 _ROWS_OF_A_HUB = 100_000
 
-# Words whose hashes a task remembers.
-_REMEMBERED = 200_000
+# A set's parity sketch: 512 bits in 64-bit columns.
+_SKETCH = [f"s{i}" for i in range(8)]
 
-
-class GramSets:
-    """Sorted 64-bit hashes of the distinct word n-grams of a text."""
-
-    def __init__(self, n: int):
-        self.n = n
-        self.words: dict[bytes, int] = {}
-
-    def __call__(self, text: bytes | None) -> np.ndarray:
-        """Empty without words; one gram of all words with fewer than n of them."""
-        # bytes.lower changes A-Z only and bytes.split cuts at space, tab to return.
-        words = text.lower().split() if text else []
-        if not words:
-            return np.empty(0, np.uint64)
-        if len(self.words) > _REMEMBERED:
-            self.words.clear()
-        known = self.words
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        width = min(self.n, len(words))
-        grams = np.full(len(words) - width + 1, width, np.uint64)
-        for i in range(width):
-            grams = _mixed(grams ^ hashes[i : len(hashes) - width + 1 + i])
-        return np.unique(grams)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64 bits in which every input bit matters (a published finaliser)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+# Stands for a null doc_id while documents are looked up.
+_NO_ID = -(1 << 63)
 
 
 def _digest(grams: np.ndarray) -> int:
@@ -85,31 +56,47 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def parity(grams: np.ndarray) -> np.ndarray:
+    """For each of 512 ranges of hashes whether it holds an odd number, as eight words.
+
+    Sets that differ in d hashes have sketches that differ in d bits at most.
+    """
+    odd = (np.bincount((grams >> np.uint64(55)).astype(np.int64), minlength=512) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def document_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
-    """``members(doc_id, n_shingles, vertex)`` and how many grams fall into each cell.
+    """``members(doc_id, n_shingles, vertex, s0..s7)`` and how many grams fall into each cell.
 
     Documents with equal sets have one vertex.  Both come from one reading of
     the texts; for the counts every task adds at most one row a cell.
     """
+    names = ["doc_id", "n_shingles", "vertex", *_SKETCH, "cell"]
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, counts = GramSets(words), np.zeros(FREQUENCY_CELLS, np.int64)
-        names = ["doc_id", "n_shingles", "vertex", "cell"]
 
-        def rows(*columns):
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+        def rows(n: int, **columns):
+            return pa.RecordBatch.from_arrays([pa.array(columns.get(c, [None] * n), pa.int64()) for c in names], names)
 
         for ids, texts in rows_of(batches, "doc_id", "text"):
-            found = [sets(t) for t in texts]
+            found = sets(texts)
             counts += np.bincount(_cells(np.concatenate(found)), minlength=FREQUENCY_CELLS)
-            yield rows(ids, [len(g) for g in found], list(map(_digest, found)), [None] * len(ids))
+            sketches = np.array([parity(g) for g in found]).T
+            yield rows(
+                len(ids),
+                doc_id=ids,
+                n_shingles=[len(g) for g in found],
+                vertex=list(map(_digest, found)),
+                **dict(zip(_SKETCH, sketches, strict=True)),
+            )
         cells = np.flatnonzero(counts)
         for start in range(0, len(cells), 8192):
             part = cells[start : start + 8192]
-            yield rows([None] * len(part), counts[part], [None] * len(part), part)
+            yield rows(len(part), n_shingles=counts[part], cell=part)
 
     slim = docs.select(F.col("doc_id").cast("long"), octets("text").alias("text"))
-    both = materialize(slim.mapInArrow(scanned, "doc_id long, n_shingles long, vertex long, cell long"), "sets-and-counts")
+    both = materialize(slim.mapInArrow(scanned, ", ".join(f"{c} long" for c in names)), "sets-and-counts")
     totals = np.zeros(FREQUENCY_CELLS, np.int64)
     sums = both.filter("cell IS NOT NULL").groupBy("cell").agg(F.sum("n_shingles").alias("n"))
     for r in sums.collect():
@@ -136,8 +123,7 @@ def prefixes(docs: DataFrame, words: int, percent: int, frequencies: np.ndarray)
         sets, counts, sent = GramSets(words), order.value, set()
         for (texts,) in rows_of(batches, "text"):
             chosen, vertices, sizes, lengths = [], [], [], []
-            for text in texts:
-                grams = sets(text)
+            for grams in sets(texts):
                 vertex = _digest(grams)
                 if not len(grams) or vertex in sent:
                     continue
@@ -181,6 +167,13 @@ def _may_link(percent: int):
     return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & (most >= fewest)
 
 
+def _sketches_may_link(percent: int):
+    """Suffix filter: the sets may not differ in more grams than a link allows."""
+    n = F.col("n").cast("long") + F.col("n_b").cast("long")
+    differ = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"{s}_b"))) for s in _SKETCH), F.lit(0))
+    return differ <= n - 2 * F.ceil(percent * n / F.lit(100 + percent))
+
+
 def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("vertex", "vertex_b").alias("a"), F.greatest("vertex", "vertex_b").alias("b")).distinct()
 
@@ -214,59 +207,48 @@ def suffix_bound(a: np.ndarray, b: np.ndarray, cuts: np.ndarray) -> int:
 _CUTS = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, words: int, percent: int) -> DataFrame:
     """The linked ones of distinct ``pairs(a, b)`` of vertices, each compared once.
 
-    Only sets of documents in a pair are gathered: read from the text again,
-    they travel once to a table and from there to their pairs.
+    Only sets of documents in a pair are gathered: their texts are read again,
+    one document a vertex, and their hashes travel to the pairs.
     """
     spark = docs.sparkSession
-    involved = materialize(
-        pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct(), "involved"
-    )
-    few = involved.count() <= MOST_SENT_IDS
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
+    involved = materialize(vertices.select("vertex", "doc_id").join(ends, "vertex", "left_semi"), "involved")
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), octets("text").alias("text"))
     chosen = None
-    if few:
-        ids = np.sort(np.fromiter((r["vertex"] for r in involved.toLocalIterator()), np.int64))
-        chosen = spark.sparkContext.broadcast(ids)
+    if involved.count() <= MOST_SENT_IDS:
+        ids = np.fromiter((r["doc_id"] for r in involved.select("doc_id").toLocalIterator()), np.int64)
+        chosen = spark.sparkContext.broadcast(np.unique(ids))
+    else:
+        texts = texts.join(involved.select("doc_id").distinct(), "doc_id", "left_semi")
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, sent = GramSets(words), set()
-        ids = chosen.value if chosen is not None else None
-        for (texts,) in rows_of(batches, "text"):
-            vertices, bodies = [], []
-            for text in texts:
-                grams = sets(text)
-                vertex = _digest(grams)
-                if not len(grams) or vertex in sent:
-                    continue
-                if ids is not None:
-                    at = np.searchsorted(ids, vertex)
-                    if at == len(ids) or ids[at] != vertex:
-                        continue
-                if len(sent) > 1_000_000:
-                    sent.clear()
-                sent.add(vertex)
-                vertices.append(vertex)
-                bodies.append(grams.tobytes())
-            if vertices:
-                yield pa.RecordBatch.from_arrays([pa.array(vertices, pa.int64()), pa.array(bodies, pa.binary())], ["vertex", "grams"])
-
-    bodies = docs.select(octets("text").alias("text")).mapInArrow(gathered, "vertex long, grams binary")
-    if not few:
-        bodies = bodies.join(involved, "vertex", "left_semi")
-    # One row a vertex, written so that a join with a busy hub can be split.
-    stored = materialize(bodies.dropDuplicates(["vertex"]), "sets")
-    sided = pairs.join(stored.select(F.col("vertex").alias("b"), F.col("grams").alias("grams_b")), "b")
-    sided = sided.join(stored.select(F.col("vertex").alias("a"), F.col("grams").alias("grams_a")), "a")
+        sets = GramSets(words)
+        for batch in batches:
+            if chosen is not None:
+                ids, known = batch.column(0).to_numpy(), chosen.value
+                at = np.minimum(np.searchsorted(known, ids), len(known) - 1)
+                batch = batch.filter(pa.array(known[at] == ids))
+            for (bodies,) in rows_of([batch], "text"):
+                found = sets(bodies)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(map(_digest, found), pa.int64()), pa.array([g.tobytes() for g in found], pa.binary())],
+                    ["vertex", "grams"],
+                )
+
+    # Written, so that a join with a busy hub can be split.
+    sets = materialize(texts.mapInArrow(gathered, "vertex long, grams binary"), "sets")
+    sided = pairs.join(sets.select(F.col("vertex").alias("b"), F.col("grams").alias("grams_b")), "b")
+    sided = sided.join(sets.select(F.col("vertex").alias("a"), F.col("grams").alias("grams_a")), "a")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b, one, other in rows_of(batches, "a", "b", "grams_a", "grams_b"):
             kept_a, kept_b = [], []
             for i, (x, y) in enumerate(zip(one, other, strict=True)):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                fewest = least_overlap(len(x), len(y), percent)
-                if suffix_bound(x, y, _CUTS) < fewest:
+                if suffix_bound(x, y, _CUTS) < least_overlap(len(x), len(y), percent):
                     continue
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * both >= percent * (len(x) + len(y) - both):
@@ -281,38 +263,57 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
 def ngram_jaccard_join(docs: DataFrame, *, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """Documents by set, and links between sets that connect all that is linked.
 
-    Returns ``members(doc_id, n_shingles, vertex)``, one row per row of ``docs``,
-    and ``links(a, b)`` between vertices whose word n-gram sets have a Jaccard
-    similarity of ``percent`` or more.  Every link between different sets is in
-    ``links`` or lies within a component that ``links`` connects: pairs whose
-    ends are already connected through a hub are not compared.  A null text, or
-    one without words, has an empty set (n_shingles 0) and no link.  Columns
-    other than doc_id and text are ignored.
+    Returns ``members(doc_id, n_shingles, vertex, ...)``, one row per row of
+    ``docs``, and ``links(a, b)`` between vertices whose word n-gram sets have a
+    Jaccard similarity of ``percent`` or more.  Every link between different
+    sets is in ``links`` or lies within a component that ``links`` connects:
+    pairs whose ends are already connected through a hub are not compared.  A
+    null text, or one without words, has an empty set (n_shingles 0) and no
+    link.  Columns other than doc_id and text are ignored.
     """
     members, frequencies = document_sets(docs, words)
+    vertices = members.filter("n_shingles > 0").groupBy("vertex").agg(
+        F.min(F.coalesce("doc_id", F.lit(_NO_ID))).alias("doc_id"),
+        F.max("n_shingles").alias("n"),
+        *[F.max(s).alias(s) for s in _SKETCH],
+    )
+    vertices = materialize(vertices, "vertices")
+
     # A gram of one vertex pairs nothing: most rows end here, within one shuffle.
     shared = materialize(with_hub(prefixes(docs, words, percent, frequencies), "gram", "part"), "prefixes")
+    of_a = vertices.select(F.col("vertex").alias("a"), "n", *_SKETCH)
+    of_b = vertices.select(F.col("vertex").alias("b"), F.col("n").alias("n_b"), *[F.col(s).alias(f"{s}_b") for s in _SKETCH])
     tied = materialize(hub_candidates(shared, percent), "hub-pairs")
-    links = materialize(verified(docs, tied, words, percent), "hub-links")
+    likely = tied.join(of_a, "a").join(of_b, "b").filter(_sketches_may_link(percent)).select("a", "b")
+    links = materialize(verified(docs, materialize(likely, "likely"), vertices, words, percent), "hub-links")
     component = materialize(connected_components(links), "hub-components")
 
     # What is left: vertices of one gram in different components, pair by pair.
-    placed = shared.drop("hub").join(component.withColumnRenamed("node", "vertex"), "vertex", "left")
-    placed = materialize(placed.withColumn("component", F.coalesce("component", "vertex")), "placed-prefixes")
+    known = vertices.select("vertex", *_SKETCH).join(component.withColumnRenamed("node", "vertex"), "vertex", "left")
+    known = materialize(known.withColumn("component", F.coalesce("component", "vertex")), "known")
+    placed = shared.select("gram", "vertex", "n", "pos").distinct().join(known.select("vertex", "component"), "vertex")
+    placed = materialize(placed, "placed-prefixes")
     spread = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_grams = materialize(spread.filter(F.col("low") < F.col("high")).select("gram"), "open-grams")
-    open_rows = placed.join(open_grams, "gram", "left_semi").select("gram", "vertex", "n", "pos", "component").distinct()
+    # A pair is met at the first gram it shares, as far as four earlier ones tell.
+    earlier = Window.partitionBy("vertex").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    open_rows = (
+        placed.join(open_grams, "gram", "left_semi")
+        .withColumn("earlier", F.array_compact(F.array(*[F.nth_value("gram", i).over(earlier) for i in range(1, 5)])))
+        .join(known.select("vertex", *_SKETCH), "vertex")
+    )
     open_rows = materialize(open_rows, "open-prefixes")
-    other = open_rows.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("vertex", "n", "pos", "component")])
+    sides = ["vertex", "n", "pos", "component", "earlier", *_SKETCH]
+    other = open_rows.select("gram", *[F.col(c).alias(f"{c}_b") for c in sides])
     rest = _pairs(
         open_rows.join(other, "gram")
         .filter((F.col("vertex") < F.col("vertex_b")) & (F.col("component") != F.col("component_b")))
-        .filter(_may_link(percent))
+        .filter(_may_link(percent) & _sketches_may_link(percent) & ~F.arrays_overlap("earlier", "earlier_b"))
     )
     rest = materialize(rest.join(tied, ["a", "b"], "left_anti"), "other-pairs")
     if rest.isEmpty():
         return members, links
-    return members, materialize(links.unionByName(verified(docs, rest, words, percent)), "links")
+    return members, materialize(links.unionByName(verified(docs, rest, vertices, words, percent)), "links")
 
 
 def near_duplicate_groups(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
@@ -323,6 +324,7 @@ def near_duplicate_groups(docs: DataFrame, *, words: int = 5, percent: int = 80)
     component.
     """
     members, links = ngram_jaccard_join(docs, words=words, percent=percent)
+    members = members.select("doc_id", "n_shingles", "vertex")
     component = connected_components(links)
     placed = members.join(component.withColumnRenamed("node", "vertex"), "vertex", "left").withColumn(
         "component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "vertex"))

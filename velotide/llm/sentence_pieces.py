@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velotide.llm.common import octets
-from velotide.llm.ngram_join import _mixed
+from velotide.llm.gram_sets import mixed
 
 _UNITS = re.compile(rb"\n| *[^ \n]+| +")
 _SPACE = "▁"
@@ -183,7 +183,7 @@ class Lattices:
         counts = np.zeros(len(units), np.int64)
         step = 0
         while len(active):
-            random = _mixed(seeds[active] + np.uint64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+            random = mixed(seeds[active] + np.uint64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
             share = (random >> np.uint64(11)).astype(np.float64) * 2.0**-53
             # An edge's key is the upper end of its share; the largest is node + 1.
             edge = np.searchsorted(keys, node + np.minimum(share, 1 - 2.0**-20), side="right")
@@ -234,7 +234,7 @@ class Sampler:
         lengths = [len(c) for c in cut]
         row = np.repeat(np.array([_seed(k, self.seed) for k in keys], np.uint64), lengths)
         place = np.concatenate([np.arange(n, dtype=np.uint64) for n in lengths])
-        ids, counts = self.lattices.draw(units, _mixed(row + place * np.uint64(0xD6E8FEB86659FD93)))
+        ids, counts = self.lattices.draw(units, mixed(row + place * np.uint64(0xD6E8FEB86659FD93)))
         through = np.concatenate(([0], np.cumsum(counts)))
         edges = through[np.concatenate(([0], np.cumsum(lengths)))]
         return ids, np.diff(edges)
