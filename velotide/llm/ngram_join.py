@@ -37,6 +37,9 @@ _ROWS_OF_A_HUB = 100_000
 # A set's parity sketch: 512 bits in 64-bit columns.
 _SKETCH = [f"s{i}" for i in range(8)]
 
+# Gram hashes compared in one place (8 bytes each), a block against a block.
+_GRAMS_IN_A_PLACE = 1 << 17
+
 # Stands for a null doc_id while documents are looked up.
 _NO_ID = -(1 << 63)
 
@@ -211,11 +214,14 @@ def verified(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, words: int,
     """The linked ones of distinct ``pairs(a, b)`` of vertices, each compared once.
 
     Only sets of documents in a pair are gathered: their texts are read again,
-    one document a vertex, and their hashes travel to the pairs.
+    one document a vertex.  Vertices that pairs connect are compared in one
+    place, so that a set travels once and not with every pair; where they are
+    many, they are dealt into blocks, and every two blocks meet.
     """
     spark = docs.sparkSession
     ends = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
-    involved = materialize(vertices.select("vertex", "doc_id").join(ends, "vertex", "left_semi"), "involved")
+    involved = materialize(vertices.select("vertex", "doc_id", "n").join(ends, "vertex", "left_semi"), "involved")
+    placed, keyed = _blocks(pairs, involved)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), octets("text").alias("text"))
     chosen = None
     if involved.count() <= MOST_SENT_IDS:
@@ -238,26 +244,48 @@ def verified(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, words: int,
                     ["vertex", "grams"],
                 )
 
-    # Written, so that a join with a busy hub can be split.
-    sets = materialize(texts.mapInArrow(gathered, "vertex long, grams binary"), "sets")
-    sided = pairs.join(sets.select(F.col("vertex").alias("b"), F.col("grams").alias("grams_b")), "b")
-    sided = sided.join(sets.select(F.col("vertex").alias("a"), F.col("grams").alias("grams_a")), "a")
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for a, b, one, other in rows_of(batches, "a", "b", "grams_a", "grams_b"):
-            kept_a, kept_b = [], []
-            for i, (x, y) in enumerate(zip(one, other, strict=True)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if suffix_bound(x, y, _CUTS) < least_overlap(len(x), len(y), percent):
-                    continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    kept_a.append(a[i])
-                    kept_b.append(b[i])
-            if kept_a:
-                yield pa.RecordBatch.from_arrays([pa.array(kept_a, pa.int64()), pa.array(kept_b, pa.int64())], ["a", "b"])
-
-    return sided.mapInArrow(compared, "a long, b long")
+    sets = placed.join(texts.mapInArrow(gathered, "vertex long, grams binary"), "vertex")
+
+    def compared(bodies: pa.Table, pairs: pa.Table) -> pa.Table:
+        found = {
+            v: np.frombuffer(g, np.uint64)
+            for v, g in zip(bodies["vertex"].to_pylist(), bodies["grams"].to_pylist(), strict=True)
+        }
+        kept = []
+        for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist(), strict=True):
+            x, y = found[a], found[b]
+            if suffix_bound(x, y, _CUTS) < least_overlap(len(x), len(y), percent):
+                continue
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                kept.append((a, b))
+        return pa.table({c: pa.array([k[i] for k in kept], pa.int64()) for i, c in enumerate("ab")})
+
+    return sets.groupBy("key").cogroup(keyed.groupBy("key")).applyInArrow(compared, "a long, b long")
+
+
+def _blocks(pairs: DataFrame, involved: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(key, vertex)`` and ``(key, a, b)``: where sets and pairs meet.
+
+    A component of the pairs with more grams than fit one place is cut into
+    blocks by vertex; smaller ones share places.
+    """
+    component = connected_components(pairs).withColumnRenamed("node", "vertex")
+    of_vertex = materialize(involved.select("vertex", "n").join(component, "vertex"), "placed")
+    sizes = of_vertex.groupBy("component").agg(F.sum("n").alias("grams"))
+    sizes = materialize(sizes.withColumn("blocks", F.ceil(F.col("grams") / F.lit(_GRAMS_IN_A_PLACE)).cast("long")), "sizes")
+    grams = sizes.agg(F.sum("grams")).first()[0] or 0
+    places = max(1, grams // _GRAMS_IN_A_PLACE)
+    of_vertex = of_vertex.join(sizes.select("component", "blocks"), "component")
+    of_vertex = materialize(of_vertex.withColumn("block", F.pmod(F.xxhash64("vertex"), F.col("blocks"))), "blocks")
+    one = of_vertex.select(F.col("vertex").alias("a"), "component", "blocks", F.col("block").alias("block_a"))
+    other = of_vertex.select(F.col("vertex").alias("b"), F.col("block").alias("block_b"))
+    key = F.when(F.col("blocks") == 1, F.pmod("component", F.lit(places))).otherwise(
+        F.xxhash64("component", F.least("block_a", "block_b"), F.greatest("block_a", "block_b"))
+    )
+    keyed = materialize(pairs.join(one, "a").join(other, "b").select(key.alias("key"), "a", "b"), "keyed-pairs")
+    met = keyed.select("key", F.explode(F.array("a", "b")).alias("vertex")).distinct()
+    return materialize(met, "met"), keyed
 
 
 def ngram_jaccard_join(docs: DataFrame, *, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
