@@ -1,0 +1,512 @@
+"""Each corpus operator against brute force on small tables with awkward rows."""
+
+from __future__ import annotations
+
+import hashlib
+import io
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from velotide.llm import (
+    embedding_join,
+    fingerprints,
+    language,
+    mixing,
+    ngram_join,
+    resharding,
+    sentence_pieces,
+    url_templates,
+    warc,
+    wavelet,
+)
+from velotide.llm.components import connected_components
+
+# Columns of documents, and some that clash with names the operators use inside.
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, vertex string, size string, score string"
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def table(spark, rows):
+    """Rows of (doc_id, text[, lang, source])."""
+    full = [(*r, *[None] * (4 - len(r)), -1, "x", "y", "z") for r in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def prose(seed: int, words: int, vocabulary: int = 400) -> str:
+    pick = random.Random(seed)
+    return " ".join(f"w{pick.randrange(vocabulary)}" for _ in range(words))
+
+
+def varied(text: str, seed: int, changes: int) -> str:
+    words, pick = text.split(), random.Random(seed)
+    for _ in range(changes):
+        words[pick.randrange(len(words))] = f"v{pick.randrange(10**6)}"
+    return " ".join(words)
+
+
+AWKWARD = [
+    (1, None),
+    (2, ""),
+    (3, " \t\n\r\x0b\x0c "),
+    (4, "one"),
+    (5, "ONE"),
+    (6, "Äpfel äpfel\u00a0x  y\n\nz "),
+    (7, "▁ literal ▁▁ mark  and 日本語 🙂\ttab"),
+    (8, "<|endoftext|> 0 <s>"),
+]
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rows = [(100 + i, prose(i, 60 + i)) for i in range(20)]
+    base = prose(999, 120)
+    rows += [(200 + i, varied(base, i, i % 7)) for i in range(40)]
+    rows += [(300 + i, base) for i in range(5)]
+    rows += [(400, "  ".join(prose(1, 30_000, 5_000).split())), (401, "x" * 300_000)]
+    return AWKWARD + rows
+
+
+# Fingerprints
+
+
+def shingle_count(text, words=5):
+    found = [w for w in (text or "").lower().split(" ") if w]
+    return len({tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))}) if found else 0
+
+
+def test_sketch_neighbours_and_edits(spark, corpus):
+    rows = {r["doc_id"]: r for r in fingerprints.fingerprints(table(spark, corpus)).collect()}
+    texts = {i: t or "" for i, t in corpus}
+    order = sorted(texts, reverse=True)
+    assert sorted(rows) == sorted(texts)
+    for i, following in zip(order, order[1:] + order[:1], strict=True):
+        third = len(texts[i]) // 3
+        assert rows[i]["edited"] == texts[i][: len(texts[i]) - third] + texts[following][:third]
+        assert rows[i]["next_text"] == texts[following]
+    by_text = defaultdict(set)
+    for i, r in rows.items():
+        by_text[r["text"]].add(tuple(r["sketch"]))
+        assert r["sketch"] == sorted(set(r["sketch"]))
+    assert all(len(s) == 1 for s in by_text.values())
+    assert rows[1]["sketch"] == rows[3]["sketch"] == [] and rows[4]["sketch"]
+
+
+def test_sketch_estimates_containment(spark):
+    long = prose(5, 6_000, 100_000)
+    part = " ".join(long.split()[1_000:2_500])
+    other = prose(6, 3_000, 100_000)
+    row = spark.createDataFrame([(long, part, other)], "a string, b string, c string").select(
+        *[fingerprints.sketch(F.col(c)).alias(c) for c in "abc"]
+    )
+    row = row.select(
+        "*",
+        fingerprints.containment(F.col("a"), F.col("b")).alias("ab"),
+        fingerprints.containment(F.col("a"), F.col("c")).alias("ac"),
+        fingerprints.merged(F.col("a"), F.col("c")).alias("m"),
+    ).first()
+    assert row["ab"] == 1.0 and row["ac"] == 0.0
+    assert row["m"] == sorted({*row["a"], *row["c"]})
+    assert abs(len(row["a"]) * fingerprints.SCALE / shingle_count(long) - 1) < 0.15
+
+
+def test_sketch_of_ties_and_few_rows(spark):
+    assert fingerprints.fingerprints(table(spark, [])).count() == 0
+    one = fingerprints.fingerprints(table(spark, [(7, "abcdef")])).first()
+    assert one["next_text"] == "abcdef" and one["edited"] == "abcdab"
+    rows = fingerprints.fingerprints(table(spark, [(None, "n"), (5, "a"), (5, "a"), (5, "b"), (None, None)])).collect()
+    assert Counter(r["doc_id"] for r in rows) == {None: 2, 5: 3}
+
+
+# N-gram join
+
+
+def brute_groups(rows, words, percent):
+    sets = {}
+    for i, text in rows:
+        w = (text or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + words]) for k in range(max(1, len(w) - words + 1))} if w else set()
+    label = {i: i for i in sets}
+    ids = sorted(sets)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
+                low, high = sorted((label[a], label[b]))
+                label = {k: low if v == high else v for k, v in label.items()}
+    return {i: (len(sets[i]), label[i]) for i in sets}
+
+
+@pytest.mark.parametrize(("words", "percent"), [(4, 85), (5, 80), (1, 50)])
+def test_ngram_groups_equal_brute_force(spark, corpus, words, percent):
+    found = ngram_join.near_duplicate_groups(table(spark, corpus), words=words, percent=percent).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_groups(corpus, words, percent)
+    assert len(found) == len(corpus)
+
+
+def test_ngram_groups_with_parts_and_blocks(spark, corpus, monkeypatch):
+    monkeypatch.setattr(ngram_join, "_ROWS_OF_A_HUB", 50)
+    monkeypatch.setattr(ngram_join, "_GRAMS_IN_A_PLACE", 500)
+    monkeypatch.setattr(ngram_join, "MOST_SENT_IDS", 0)
+    found = ngram_join.near_duplicate_groups(table(spark, corpus), words=4, percent=85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_groups(corpus, 4, 85)
+
+
+def test_one_of_each_group(spark, corpus):
+    docs = table(spark, corpus + [(None, "one"), (4, "one")])
+    kept = ngram_join.one_of_each_group(docs, words=4, percent=85)
+    assert kept.columns == docs.columns
+    want = [i for i, (_, c) in brute_groups(corpus, 4, 85).items() if i == c]
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter([*want, None, 4])
+    assert ngram_join.one_of_each_group(table(spark, [])).count() == 0
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(1, 60) if i % 20] + [(500, 70), (70, 900), (900, 500), (8, 8), (None, 3)]
+    found = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    got = {r["node"]: r["component"] for r in found}
+    assert len(found) == len(got)
+    assert got == {i: (i - 1) // 20 * 20 + 1 for i in range(1, 61)} | {70: 70, 500: 70, 900: 70}
+
+
+# Vectors
+
+
+def test_vectors_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(embedding_join, "CELL_VECTORS", 40)
+    monkeypatch.setattr(embedding_join, "BLOCK_VECTORS", 16)
+    monkeypatch.setattr(embedding_join, "GUESTS_IN_A_RUN", 100)
+    pick = np.random.default_rng(4)
+    centres = pick.normal(size=(12, 8))
+    vectors = [(c + pick.normal(size=8) * 0.12 * (i % 4)).tolist() for i, c in enumerate(np.repeat(centres, 20, axis=0))]
+    vectors += [vectors[0]] * 15 + [[3 * x for x in vectors[1]], [0.0] * 8, [math.nan] * 8, None, [], [1.0, None] + [0.0] * 6]
+    rows = [(i * 3, v, 1, "clash") for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, home int, body string")
+    got = {r["vec_id"]: r for r in embedding_join.near_vectors(df, cosine=0.9).collect()}
+    label, links = {r[0]: r[0] for r in rows}, Counter()
+    good = [(i, np.array(v)) for i, v, *_ in rows if v and None not in v and np.isfinite(v).all() and any(v)]
+    for x, (a, va) in enumerate(good):
+        for b, vb in good[x + 1 :]:
+            if va @ vb / math.sqrt((va @ va) * (vb @ vb)) >= 0.9:
+                links[a] += 1
+                links[b] += 1
+                low, high = sorted((label[a], label[b]))
+                label = {k: low if v == high else v for k, v in label.items()}
+    assert {i: r["n_links"] for i, r in got.items()} == {r[0]: links[r[0]] for r in rows}
+    assert {i: r["component_id"] for i, r in got.items()} == label
+    assert all(r["kept"] == (i == label[i]) for i, r in got.items())
+
+
+def test_vectors_without_links(spark):
+    schema = "vec_id long, embedding array<float>"
+    assert embedding_join.near_vectors(spark.createDataFrame([], schema)).count() == 0
+    row = embedding_join.near_vectors(spark.createDataFrame([(1, None)], schema)).first()
+    assert tuple(row) == (1, 0, 1, True)
+
+
+# Archives
+
+
+def test_archives_round_trip(spark):
+    long = "<p>é</p>" * 40_000
+    pages = [(i, f"http://h/{i}", h) for i, h in enumerate([None, "", "a" * 99, "a" * 99, "b" * 100, "b" * 100, long, "b" * 100])]
+    pages += [(50, None, "c" * 200), (51, "http://x/\r\nEvil: 1", "\r\n\r\nWARC/1.1\r\n" * 20), (20, "http://y", long)]
+    df = spark.createDataFrame([(*p, "k") for p in pages], "page_id long, url string, html string, digest string")
+    got = {r["page_id"]: r for r in warc.archived(df).collect()}
+    first = {}
+    for i, _, h in sorted(pages, key=lambda p: p[0]):
+        body = (h or "").encode()
+        digest = hashlib.sha256(body).hexdigest()
+        original = first.setdefault(digest, i) if len(body) >= 100 else i
+        want = (i, len(body), digest, "revisit" if original != i else "response", original if original != i else None)
+        assert tuple(got[i]) == want
+    assert len(got) == len(pages)
+    assert warc.archived(df.limit(0)).count() == 0
+
+
+def test_normaliser_reads_any_gzip_and_indexes_members(tmp_path):
+    data = [warc.record(i, "http://u", b"x" * i, "d", None, i) for i in (0, 5, 100_000)]
+    whole = zlib.compressobj(6, zlib.DEFLATED, 31)
+    stream = whole.compress(b"".join(data[:2])) + whole.flush()
+    second = zlib.compressobj(6, zlib.DEFLATED, 31)
+    stream += second.compress(data[2]) + second.flush()
+    assert list(warc.records(warc.inflated(io.BytesIO(stream), 7))) == data
+    with pytest.raises(ValueError, match="within a record"):
+        list(warc.records([data[2][:-10]]))
+
+
+def test_index_points_at_members(spark, tmp_path):
+    folder = f"file://{tmp_path}"
+    pages = spark.createDataFrame([(i, "http://u", "p" * i * 100) for i in range(9)], "page_id long, url string, html string")
+    files = warc.normalise(warc.write_monolithic(warc.annotated(pages), folder), folder).collect()
+    seen = []
+    for f in files:
+        entries = warc.index_entries(f["index"])
+        with warc.open_source(f["path"]) as source:
+            for entry in reversed(entries):
+                fields, _ = warc.parsed(warc.read_member(source, entry))
+                assert fields["warc-record-id"] == entry["id"]
+                seen.append(entry["id"])
+    assert len(set(seen)) == 9
+
+
+# Shards
+
+
+def test_flow_is_minimal():
+    pick = random.Random(3)
+    for _ in range(30):
+        supply = [pick.randrange(0, 9) for _ in range(3)]
+        demand = [pick.randrange(3, 12) for _ in range(3)]
+        if sum(demand) < sum(supply):
+            continue
+        cost = [[pick.randrange(0, 5) for _ in range(3)] for _ in range(3)]
+        flow = resharding.minimum_cost_flow(supply, demand, cost)
+        assert [sum(r) for r in flow] == supply
+        assert all(sum(r[j] for r in flow) <= demand[j] for j in range(3))
+        paid = sum(flow[i][j] * cost[i][j] for i in range(3) for j in range(3))
+        best = {tuple(demand): 0}
+        for i in range(3):
+            step = {}
+            for room, price in best.items():
+                for a in range(supply[i] + 1):
+                    for b in range(supply[i] - a + 1):
+                        take = (a, b, supply[i] - a - b)
+                        left = tuple(r - t for r, t in zip(room, take, strict=True))
+                        if min(left) >= 0:
+                            p = price + sum(t * c for t, c in zip(take, cost[i], strict=True))
+                            step[left] = min(p, step.get(left, 10**9))
+            best = step
+        assert paid == min(best.values())
+    with pytest.raises(ValueError, match="capacities"):
+        resharding.minimum_cost_flow([3], [2], [[0]])
+
+
+def test_resharding_balances_and_moves_little(spark):
+    rows = AWKWARD + [(1000 + i, prose(i, 20 + i % 50)) for i in range(3000)] + [(9000 + i, "same text here") for i in range(300)]
+    found = resharding.reshard(table(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in found) == sorted((i, t or "") for i, t in rows)
+    size, slots = Counter(), defaultdict(list)
+    for r in found:
+        assert r["size"] == len((r["text"] or "").encode()) + 1
+        size[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert set(size) == set(range(8))
+    assert max(size.values()) - min(size.values()) < 0.06 * sum(size.values()) / 8
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len({r["shard"] for r in found if r["text"] == "same text here"}) == 1
+    assert resharding.reshard(table(spark, [])).count() == 0
+
+
+def test_blocks_move_only_what_exceeds():
+    blocks = {s: [(s * 100 + k, 10) for k in range(40)] for s in range(6)}
+    placed = resharding.block_transfers(blocks, [300] * 8)
+    moved = sum(10 for s, b in blocks.items() for k, _ in b if placed[k] != s)
+    assert moved == 600
+    assert Counter(placed.values()) == {j: 30 for j in range(8)}
+
+
+# Tokens
+
+
+def test_wavelet_matrix_answers():
+    ids = np.random.default_rng(1).zipf(1.3, 100_000).clip(0, 50_256).astype(np.uint32)
+    matrix = wavelet.WaveletMatrix(io.BytesIO(wavelet.pack(ids, [3, None], [0, 40_000])))
+    assert (matrix.tokens() == ids).all() and matrix.doc_ids == [3, None]
+    for i in (0, 1, 32_767, 32_768, 65_535, 99_999):
+        assert matrix.access(i) == ids[i]
+    for value in (1, 2, 17, 50_256, 49_999, 70_000):
+        where = np.flatnonzero(ids == value)
+        assert matrix.count(value) == len(where)
+        assert matrix.rank(value, 33_333) == (where < 33_333).sum()
+        for k in {0, len(where) // 2, len(where) - 1} if len(where) else ():
+            assert matrix.select(value, k) == where[k]
+    rare = next(v for v in ids.tolist() if (ids == v).sum() < 9)
+    assert matrix.occurrences(rare) == np.flatnonzero(ids == rare).tolist()
+    with pytest.raises(IndexError):
+        matrix.select(70_000, 0)
+
+
+def test_tokens_equal_the_tokenizer(spark, corpus, monkeypatch):
+    monkeypatch.setattr(wavelet, "SHARD_TOKENS", 500)
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(TOKENIZER)
+    spaced = [(500, " a  b \n c"), (501, "a\u3000 b"), (502, "a \u3000b\x1c c"), (503, "it's  we'll 12 3"), (504, "x \n\n  y")]
+    rows = corpus + spaced
+    found = sorted(wavelet.tokenised(table(spark, rows), TOKENIZER).collect(), key=lambda r: r["start"])
+    start = 0
+    for (i, text), r in zip(sorted(rows), found, strict=True):
+        ids = plain.encode(text or "", add_special_tokens=False).ids + [0]
+        assert tuple(r) == (i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert wavelet.tokenised(table(spark, []), TOKENIZER).count() == 0
+
+
+# Languages
+
+
+def test_language_of_seen_and_unseen_words(spark):
+    en = "the house and the river with this and that are old and the water was there"
+    fr = "la maison et le fleuve avec les eaux dans une ville est pour nous sur la rue"
+    docs = [(i, en if i % 2 else fr, "en" if i % 2 else "fr") for i in range(40)] + [(90, None, "en"), (91, "x", None)]
+    model = language.fit(table(spark, docs))
+    assert model.languages == ("en", "fr")
+    asked = [(1, "The rivers aren't there"), (2, "les maisons"), (3, None), (4, ""), (5, "12 --- ²"), (6, "zzzqqq" * 9_000)]
+    found = {r["doc_id"]: r for r in language.identify(table(spark, asked), model).collect()}
+    assert [found[i]["lang_pred"] for i in range(1, 6)] == ["en", "fr", "und", "und", "und"]
+    assert found[3]["score"] == 0 and all(0 <= r["score"] <= 1 for r in found.values())
+    kept = language.confident(table(spark, asked), model)
+    assert kept.columns == SCHEMA_NAMES and {1, 2} <= {r["doc_id"] for r in kept.collect()} <= {1, 2, 6}
+    nothing = language.fit(table(spark, []))
+    assert language.identify(table(spark, asked), nothing).filter("lang_pred <> 'und'").count() == 0
+
+
+SCHEMA_NAMES = [part.split()[0] for part in SCHEMA.split(", ")]
+
+
+def test_backoff_takes_the_longest_known_grams():
+    model = language.LanguageModel(("a", "b"), 3, {"w": [0.0, -1.0]}, {"xyz": [-1.0, -2.0], "x": [-5.0, -3.0]})
+    scorer = language.Scorer(model)
+    assert scorer.scores[scorer["xyz"]].tolist() == [-1.0, -2.0]
+    assert scorer.scores[scorer["xq"]].tolist() == [-5.0, -3.0]
+    assert scorer.scores[scorer["q"]].tolist() == [0.0, 0.0]
+    assert scorer.predict("w W")[0] == "a"
+
+
+# Addresses
+
+
+def test_hosts_paths_and_rules(spark):
+    rules = [
+        url_templates.Rule("net", "/", "block"),
+        url_templates.Rule("example.net", "/en/", "allow"),
+        url_templates.Rule("example.com", "/de/", "block"),
+    ]
+    cases = {
+        "HTTP://WWW.Example.NET/en/1?q=/x#f": ("www.example.net", "/en/1", "example.net/en/", "allow"),
+        "http://notexample.net/en/": ("notexample.net", "/en/", "net/", "block"),
+        "http://example.com/de/": ("example.com", "/de/", "example.com/de/", "block"),
+        "http://example.com?x://y/z": ("example.com", "", None, "allow"),
+        "http://a.net": ("a.net", "", None, "allow"),
+        "no scheme": ("", "", None, "allow"),
+        "": ("", "", None, "allow"),
+        "x://": ("", "", None, "allow"),
+        "a\nb://Ä.org/p\nq#": ("Ä.org", "/p\nq", None, "allow"),
+    }
+    rows = [(i, u, "t", 1) for i, u in enumerate(cases)] + [(99, None, "t", 1), (None, "http://h/" + "a/" * 300, "t", 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, template string, bad int")
+    labels = spark.createDataFrame([], "page_id long, bad int")
+    found = {r["page_id"]: r for r in url_templates.judged(pages, labels, rules).collect()}
+    for i, want in enumerate(cases.values()):
+        assert tuple(found[i][c] for c in ("host", "path", "rule", "verdict")) == want
+    assert found[99]["host"] == "" and found[None]["path"].startswith("/a/a/")
+    assert url_templates.judged(pages.limit(0), labels, rules).count() == 0
+
+
+def test_templates_generalise_merge_and_reject(spark):
+    rows, labels = [], []
+    for i in range(60):
+        bad = i % 3 == 0
+        rows.append((i, f"http://h.org/{'spam' if bad else ('news', 'blog')[i % 2]}/item{i}"))
+        labels.append((i, int(bad)))
+    rows += [(100 + i, f"http://big.org/{chr(97 + i % 26)}{chr(97 + i // 26)}/x") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    found = {r["page_id"]: r for r in url_templates.judged(pages, spark.createDataFrame(labels, "page_id long, bad int"), []).collect()}
+    assert {found[i]["template"] for i in range(60)} == {"/spam/*", "/news/*", "/blog/*"} or {
+        found[i]["template"] for i in range(60)
+    } == {"/spam/*", "/*/*"}
+    assert all(found[i]["verdict"] == ("block" if i % 3 == 0 else "allow") for i in range(60))
+    assert {found[100 + i]["template"] for i in range(60)} == {"/*/x"}
+
+
+# Pieces
+
+
+def test_pieces_are_lossless_and_reproducible(spark, corpus):
+    docs = table(spark, corpus)
+    cut = docs.withColumn("ids", sentence_pieces.sampled_pieces("doc_id", F.encode("text", "utf-8"), MODEL))
+    read = cut.withColumn("back", sentence_pieces.decoded(F.col("ids"), MODEL).cast("string"))
+    rows = {r["doc_id"]: r for r in read.collect()}
+    assert all(r["back"] == (r["text"] or "") for r in rows.values())
+    again = {r["doc_id"]: r["ids"] for r in cut.repartition(3, "text").select("doc_id", "ids").collect()}
+    assert all(rows[i]["ids"] == again[i] for i in rows)
+    assert rows[300]["ids"] != rows[301]["ids"]  # one text, two keys
+    assert sentence_pieces.segmented(table(spark, []), MODEL).count() == 0
+
+
+def test_pieces_are_drawn_by_weight():
+    sampler = sentence_pieces.Sampler(MODEL, 0.5, 0)
+    table_ = sampler.lattices.table
+    word = b" there"
+    ways = {}
+
+    def walk(at, ids, weight):
+        if at == len(word):
+            ways[tuple(ids)] = weight
+        for end in range(at + 1, len(word) + 1):
+            i = table_.ids.get(word[at:end], -1)
+            if i >= 0:
+                walk(end, [*ids, i], weight * table_.weights[i])
+
+    walk(0, [], 1.0)
+    n = 20_000
+    ids, counts = sampler([str(k) for k in range(n)], [word[1:]] * n)
+    ends = np.cumsum(counts)
+    seen = Counter(tuple(ids[e - c : e].tolist()) for e, c in zip(ends.tolist(), counts.tolist(), strict=True))
+    total = sum(ways.values())
+    assert set(seen) <= set(ways)
+    for way, weight in ways.items():
+        share = weight / total
+        assert abs(seen[way] / n - share) < 5 * math.sqrt(share * (1 - share) / n) + 1e-3
+
+
+# Mixing
+
+
+def test_mix_follows_targets(spark):
+    rows = [(i, prose(i, 1 + i * 7 % 40), None, ("a", "b", None, "Z", "é")[i * i % 5]) for i in range(800)]
+    rows += [(900, None, None, "void"), (901, "  ", None, "void"), (902, None, None, "a"), (903, prose(1, 400), None, "b")]
+    copies = mixing.mix(table(spark, rows))
+    found = mixing.taken_words(copies).collect()
+    assert len(found) == len(rows)
+    size, taken, target = Counter(), Counter(), {}
+    for r in found:
+        size[r["source"]] += r["size"]
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        assert r["taken"] in (0, r["size"], 2 * r["size"])
+    order = sorted((s for s in size if s is not None), key=lambda s: s.encode()) + [None]
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    want, open_, left = {}, set(order), 1.5 * sum(size.values())
+    while True:
+        level = left / sum(weight[s] for s in open_) if open_ else 0
+        full = {s for s in open_ if level * weight[s] > 2 * size[s]}
+        if not full:
+            break
+        for s in full:
+            want[s] = 2 * size[s]
+            left -= want[s]
+        open_ -= full
+    want |= {s: level * weight[s] for s in open_}
+    for s in order:
+        assert target[s] == pytest.approx(want[s])
+        assert abs(taken[s] - target[s]) <= 2 * 400
+    assert sum(taken.values()) <= 1.5 * sum(size.values())
+    again = mixing.taken_words(mixing.mix(table(spark, rows[::-1]).repartition(5))).collect()
+    assert {(r["doc_id"], r["taken"]) for r in again} == {(r["doc_id"], r["taken"]) for r in found}
+
+
+def test_mixed_documents_repeat(spark):
+    docs = table(spark, [(1, "a b", "l", "s"), (1, "a b", "l", "s"), (None, "c", "l", "t"), (2, None, "l", "t")])
+    out = mixing.mixed_documents(docs, share_percent=200)
+    assert out.columns == docs.columns
+    assert Counter(r["doc_id"] for r in out.collect()) == {1: 4, None: 2, 2: 2}
+    assert mixing.mixed_documents(table(spark, [])).count() == 0

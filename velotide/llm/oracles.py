@@ -76,7 +76,42 @@ FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
 LEFT JOIN taken t ON t.doc_id IS NOT DISTINCT FROM s.doc_id AND t.source IS NOT DISTINCT FROM s.source
 """
 
+OP3 = r"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, r.component_id, e.vec_id = r.component_id AS kept
+FROM embeddings e
+JOIN (SELECT a, min(b) AS component_id FROM reached GROUP BY a) r ON r.a = e.vec_id
+LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) n ON n.a = e.vec_id
+"""
+
+OP4 = r"""
+WITH sized AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), original AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS original
+  FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id > original THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > original THEN original END AS refers_to
+FROM original
+"""
+
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard_join": OP2,
+    "op3_pivot_range_join": OP3,
+    "op4_warc_normaliser": OP4,
     "op10_weighted_fair_mix": OP10,
 }

@@ -8,17 +8,74 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velotide.llm import language, mixing, ngram_join, sentence_pieces
+from velotide.llm import (
+    embedding_join,
+    fingerprints,
+    language,
+    mixing,
+    ngram_join,
+    resharding,
+    sentence_pieces,
+    url_templates,
+    warc,
+    wavelet,
+)
 from velotide.llm.common import octets, table
 from velotide.llm.oracles import ORACLES
 
 PIECES = "piece_bpe_32k.model"
+TOKENIZER = "byte_bpe_50k.json"
+
+URL_RULES = [
+    url_templates.Rule("net", "/", "block"),
+    url_templates.Rule("example.net", "/en/", "allow"),
+    url_templates.Rule("example.com", "/de/", "block"),
+    url_templates.Rule("org", "/fr/", "allow"),
+]
+
+
+def op1_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.printed(F.col("sketch")).alias("fingerprint"),
+        fingerprints.printed(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.containment(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.containment(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicate_groups(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op3_pivot_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+def op4_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+def op5_min_cost_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = resharding.reshard(table(spark, sf_dir, "documents"), old_shards=6, new_shards=8)
+    return moved.select(
+        "doc_id",
+        "size",
+        F.crc32(octets("text")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op6_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.tokenised(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
@@ -27,6 +84,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    bad = labels.select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad"))
+    return url_templates.judged(table(spark, sf_dir, "pages"), bad, URL_RULES)
+
+
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path(PIECES)
     docs = table(spark, sf_dir, "documents").select("doc_id", octets("text").alias("body"))

@@ -241,7 +241,7 @@ class Sampler:
 
 
 def sampled_pieces(
-    key: Column | str, text: Column, model: str, *, alpha: float = 0.5, seed: int = 0
+    key: Column | str, text: Column, model: str, *, alpha: float = 0.2, seed: int = 0
 ) -> Column:
     """Column of piece ids: one way to cut the UTF-8 bytes ``text``, drawn by ``key``.
 
@@ -265,7 +265,7 @@ def decoded(ids: Column, model: str) -> Column:
 
     @F.arrow_udf("binary")
     def joined(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = pieces(model, 0.5).bytes
+        table = pieces(model, 0.2).bytes
         for lists in batches:
             values, ends = _flat(lists)
             each = list(map(table.__getitem__, values.tolist()))
