@@ -28,8 +28,8 @@ _UNITS = re.compile(rb"\n| *[^ \n]+| +")
 _SPACE = "▁"
 
 # Distinct units and lattice edges a task remembers, and bytes of text cut at once.
-_UNITS_HELD = 150_000
-_EDGES_HELD = 4_000_000
+_UNITS_HELD = 300_000
+_EDGES_HELD = 6_000_000
 _TEXT_AT_ONCE = 1 << 20
 
 # Units up to this length are summed without logarithms: weights are at least
@@ -110,11 +110,19 @@ class Lattices:
         self.edges = self.nodes = 0
 
     def learn(self, units: set[bytes]) -> None:
+        keys: list[float] = []
+        back: list[int] = []
+        piece: list[int] = []
         for unit in units.difference(self.units):
-            self._add(unit)
+            self._add(unit, keys, back, piece)
+        a, b = self.edges, self.edges + len(keys)
+        if b > len(self.keys):
+            self.keys, self.back, self.piece = (np.resize(x, 2 * b) for x in (self.keys, self.back, self.piece))
+        self.keys[a:b], self.back[a:b], self.piece[a:b] = keys, back, piece
+        self.edges = b
 
-    def room(self, bytes_ahead: int) -> bool:
-        return len(self.units) < _UNITS_HELD and self.edges + 20 * bytes_ahead < len(self.keys)
+    def room(self) -> bool:
+        return len(self.units) < _UNITS_HELD and self.edges < _EDGES_HELD
 
     def _edges_into(self, unit: bytes) -> list[list[tuple[int, int]]]:
         """For every place in the unit, (start, piece) of the pieces that end there."""
@@ -135,9 +143,8 @@ class Lattices:
             at += width
         return into
 
-    def _add(self, unit: bytes) -> None:
-        into, weights = self._edges_into(unit), self.table.weights
-        keys, back, piece, base = [], [], [], self.nodes
+    def _add(self, unit: bytes, keys: list[float], back: list[int], piece: list[int]) -> None:
+        into, weights, base = self._edges_into(unit), self.table.weights, self.nodes
         if len(unit) <= _SHORT:
             ways = [1.0]
             for node, edges in enumerate(into[1:], base + 1):
@@ -163,12 +170,7 @@ class Lattices:
                 keys += (node + shares / shares[-1]).tolist()
                 back += [base + start for start, _ in edges]
                 piece += [i for _, i in edges]
-        a, b = self.edges, self.edges + len(keys)
-        if b > len(self.keys):
-            grown = 2 * b
-            self.keys, self.back, self.piece = (np.resize(x, grown) for x in (self.keys, self.back, self.piece))
-        self.keys[a:b], self.back[a:b], self.piece[a:b] = keys, back, piece
-        self.edges, self.nodes = b, base + len(unit) + 1
+        self.nodes = base + len(unit) + 1
         self.units[unit] = len(self.ends)
         self.ends.append(base + len(unit))
 
@@ -216,14 +218,14 @@ class Sampler:
             while end < len(texts) and size < _TEXT_AT_ONCE:
                 size += len(texts[end] or b"")
                 end += 1
-            part = self._part(keys[start:end], texts[start:end], size)
+            part = self._part(keys[start:end], texts[start:end])
             ids.append(part[0])
             counts.append(part[1])
             start = end
         return (np.concatenate(ids), np.concatenate(counts)) if ids else (np.empty(0, np.int32), np.empty(0, np.int64))
 
-    def _part(self, keys: list, texts: list[bytes | None], size: int) -> tuple[np.ndarray, np.ndarray]:
-        if not self.lattices.room(size):
+    def _part(self, keys: list, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        if not self.lattices.room():
             self.lattices.forget()
         # A space goes before every text but the empty one, as the model does.
         cut = [_UNITS.findall(b" " + t) if t else [] for t in texts]
@@ -240,6 +242,12 @@ class Sampler:
         return ids, np.diff(edges)
 
 
+@lru_cache(maxsize=1)
+def sampler_of(model: str, alpha: float, seed: int) -> Sampler:
+    """A worker's sampler: what it has learned serves its next tasks too."""
+    return Sampler(model, alpha, seed)
+
+
 def sampled_pieces(
     key: Column | str, text: Column, model: str, *, alpha: float = 0.2, seed: int = 0
 ) -> Column:
@@ -251,7 +259,7 @@ def sampled_pieces(
 
     @F.arrow_udf("array<int>")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        sampler = Sampler(model, alpha, seed)
+        sampler = sampler_of(model, alpha, seed)
         for keys, texts in batches:
             ids, counts = sampler(keys.to_pylist(), texts.to_pylist())
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)

@@ -36,7 +36,7 @@ _END = 0  # the id that ends a document
 
 # Tokens after which a task starts a new shard, and texts' pieces it remembers.
 SHARD_TOKENS = 1 << 22
-_REMEMBERED = 300_000
+_REMEMBERED = 800_000
 
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -70,8 +70,8 @@ def pack(ids: np.ndarray, doc_ids: list[int | None], starts: list[int]) -> bytes
     for ones in planes(ids, bits):
         packed = np.packbits(ones, bitorder="little").tobytes()
         blocks = [zipper.compress(packed[i : i + _BLOCK // 8]) for i in range(0, len(packed), _BLOCK // 8)]
-        counts = np.add.reduceat(ones, np.arange(0, len(ones), _BLOCK), dtype=np.int64) if len(ones) else np.empty(0, np.int64)
-        before = np.concatenate(([0], np.cumsum(counts)))
+        counts = [np.count_nonzero(ones[i : i + _BLOCK]) for i in range(0, len(ones), _BLOCK)]
+        before = np.cumsum([0, *counts])
         offsets = np.concatenate(([0], np.cumsum([len(b) for b in blocks]))).astype("<i8")
         plane = {"zeros": int(len(ones) - before[-1]), "offsets": add(offsets.tobytes()), "ones": add(before.astype("<i8").tobytes())}
         plane["blocks"] = size
@@ -236,6 +236,12 @@ class Encoder:
         return [b"".join([self.first[c[0]], *map(self.later.__getitem__, c[1:])]) for c in cut]
 
 
+@lru_cache(maxsize=1)
+def encoder(tokenizer: str) -> Encoder:
+    """A worker's encoder: what it has encoded serves its next tasks too."""
+    return Encoder(tokenizer)
+
+
 def write_shards(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
     """Encoded documents in ascending doc_id order: ``(part, place, path, docs, tokens)``, a row a file.
 
@@ -248,7 +254,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
     end = np.array([_END], "<u4").tobytes()
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         part, place = TaskContext.get().partitionId(), 0
         held, doc_ids, starts, tokens = [], [], [], 0
 
