@@ -398,7 +398,7 @@ ORACLES: dict[str, str] = {
         "scan_trips_csv": "SELECT * FROM raw_text",
         "trips_file_name": "SELECT ride_id, 'csv' AS file_suffix FROM raw_text",
         "ingest_report": "SELECT count(*) AS rows_read, count(*) AS rows_landed FROM raw_text",
-        "scan_parquet": "SELECT event_id, user_id, event_type, value FROM events",
+        "scan_parquet": "SELECT * FROM events",
         "write_read_roundtrip": "SELECT station_id, event_hour, bike_demand, dock_demand, "
         "CAST(year(event_hour) AS INTEGER) AS year, CAST(month(event_hour) AS INTEGER) AS month FROM hourly",
         "station_feed": "SELECT * FROM feed",
@@ -464,7 +464,8 @@ FROM (VALUES {_EDGES}) b(n, label, lo, hi)
 LEFT JOIN priced p ON p.suggested_price > CAST(b.lo AS DOUBLE) AND p.suggested_price <= CAST(b.hi AS DOUBLE)
 GROUP BY ALL""",
         "station_stats": "SELECT * FROM station_stat",
-        "hotspots": f"SELECT side, station_id, {_STAT_ROUNDED}, {scaled_round('surge_pct', 1)} AS surge_pct FROM ("
+        "hotspots": f"SELECT side, station_id, {exact_round('avg_price', 2)} AS avg_price, "
+        f"{exact_round('avg_multiplier', 2)} AS avg_multiplier, {exact_round('surge_pct', 1)} AS surge_pct FROM ("
         + _TOP.format(side="surge", way="DESC") + " UNION ALL " + _TOP.format(side="discount", way="ASC") + ")",
         "top_surge_stations": f"SELECT station_id, {_STAT_ROUNDED} FROM "
         "(SELECT * FROM station_stat ORDER BY avg_multiplier DESC, station_id LIMIT 10)",

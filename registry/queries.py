@@ -26,10 +26,6 @@ from velotide.sources.station_feed import read_station_feed
 from velotide.sources.trips import land_trip_files, read_trip_files, with_file_name
 from velotide.sources.weather import DATE_HEADER, MEASURES, read_weather
 
-# Small model settings so that a check takes seconds; the data is whole.
-FOREST = {"numTrees": 10, "maxDepth": 5}
-BOOSTED = {"maxIter": 5, "maxDepth": 4}
-
 Query = Callable[[Tables], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
@@ -90,9 +86,7 @@ def _ingest_report(t: Tables) -> DataFrame:
 
 @query("scan_parquet")
 def _scan_parquet(t: Tables) -> DataFrame:
-    return read_parquet(t.spark, f"{t.sf_dir}/events.parquet").select(
-        "event_id", "user_id", "event_type", "value"
-    )
+    return read_parquet(t.spark, f"{t.sf_dir}/events.parquet")
 
 
 @query("write_read_roundtrip")
@@ -156,7 +150,7 @@ def _model_roundtrip(t: Tables) -> DataFrame:
 def _training_summary(t: Tables) -> DataFrame:
     """The summary read back from the JSON written by training."""
     out = scratch_path(t.spark, "summary")
-    summary, _ = training.train(t.silver_table, "rf", summary_path=out, **FOREST)
+    summary, _ = training.train(t.silver_table, "rf", summary_path=out)
     return t.spark.read.schema(summary.schema).json(out).drop("train_time_s")
 
 
@@ -473,22 +467,22 @@ def _pca_variance(t: Tables) -> DataFrame:
     return gold.component_report(t.silver_table, k=5)
 
 
-def _predictions(t: Tables, kind: str, params: dict) -> DataFrame:
+def _predictions(t: Tables, kind: str) -> DataFrame:
     data = training.training_data(t.silver_table)
     scored = data.rows
     for target in training.TARGETS:
-        scored = training.fit_target(data, kind, target, **params).transform(scored)
+        scored = training.fit_target(data, kind, target).transform(scored)
     return scored.where("part = 'test'").drop("features", "part")
 
 
 @query("rf_demand")
 def _rf_demand(t: Tables) -> DataFrame:
-    return _predictions(t, "rf", FOREST)
+    return _predictions(t, "rf")
 
 
 @query("gbt_demand")
 def _gbt_demand(t: Tables) -> DataFrame:
-    return _predictions(t, "gbt", BOOSTED)
+    return _predictions(t, "gbt")
 
 
 @query("regression_metrics")
@@ -505,14 +499,10 @@ def _regression_metrics(t: Tables) -> DataFrame:
 
 @query("train_summary")
 def _train_summary(t: Tables) -> DataFrame:
-    summary, _ = training.train(t.silver_table, "gbt", **BOOSTED)
+    summary, _ = training.train(t.silver_table, "gbt")
     return summary.drop("train_time_s")
 
 
 @query("param_search")
 def _param_search(t: Tables) -> DataFrame:
-    draws = [
-        {**params, "numTrees": 10 + i, "maxDepth": 4 + i}
-        for i, params in enumerate(draw_parameters("rf", 3))
-    ]
-    return training.search(t.silver_table, "rf", "bike", draws=draws)
+    return training.search(t.silver_table, "rf", "bike", draws=draw_parameters("rf", 3))

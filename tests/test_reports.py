@@ -1,6 +1,8 @@
 from pyspark.sql import functions as F
 
 from tests.helpers import at, rows
+import pytest
+
 from velotide.operators import reports
 from velotide.operators.pricing import price_station_hours
 from velotide.operators.sampling import bernoulli_sample, sample_rows, split_column
@@ -108,5 +110,18 @@ def test_split_is_stable_and_near_its_fractions(spark):
 
 def test_bernoulli_sample(spark):
     df = spark.range(4000)
-    assert bernoulli_sample(df, 4000, 42).count() == 4000
-    assert 800 < bernoulli_sample(df, 1000, 42).count() < 1200
+    assert bernoulli_sample(df, ["id"], 4000, 42).count() == 4000
+    some = bernoulli_sample(df, ["id"], 1000, 42)
+    assert 800 < some.count() < 1200
+    assert rows(some) == rows(bernoulli_sample(df.repartition(7), ["id"], 1000, 42))
+
+
+def test_split_of_other_fractions(spark):
+    df = spark.range(4000)
+    cut = split_column(["id"], {"train": 0.9, "validation": 0.1, "test": 0.0}).alias("part")
+    counts = {r["part"]: r["count"] for r in df.select(cut).groupBy("part").count().collect()}
+    assert set(counts) == {"train", "validation"} and abs(counts["train"] - 3600) < 120
+    assert df.select(split_column(["id"], {"a": 1.0, "b": 0.0}).alias("p")).where("p = 'a'").count() == 4000
+    for wrong in ({"a": 0.5, "b": 0.4}, {"a": 1.5, "b": -0.5}):
+        with pytest.raises(ValueError, match="fractions"):
+            split_column(["id"], wrong)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 TRIP_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 REQUEST_TIME_FORMAT = "yyyy-MM-dd HH:mm"
+# Reads that and one-digit months, days, hours and minutes.
+REQUEST_TIME_PATTERN = "yyyy-M-d H:m"
 
 
 def parse_time(text: Column, fmt: str = TRIP_TIME_FORMAT) -> Column:

@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velotide.functions.calendar import calendar_columns, cyclic_columns, hour_of
 
 
+# The sums of an hour's events, for tables and streams.
+_SUMS = {
+    "bike_demand": "bike_departure",
+    "dock_demand": "bike_arrival",
+    "electric_count": "is_electric",
+    "member_count": "is_member",
+    "total_duration_sec": "trip_duration_sec",
+}
+
+
+def hourly_aggregates() -> list[Column]:
+    return [F.sum(source).alias(name) for name, source in _SUMS.items()]
+
+
 def hourly_sums(events: DataFrame) -> DataFrame:
     """Sums per station and hour; events without a time are left out.
 
@@ -18,13 +32,7 @@ def hourly_sums(events: DataFrame) -> DataFrame:
     return (
         events.where("event_time IS NOT NULL")
         .groupBy("station_id", hour_of(F.col("event_time")).alias("event_hour"))
-        .agg(
-            F.sum("bike_departure").alias("bike_demand"),
-            F.sum("bike_arrival").alias("dock_demand"),
-            F.sum("is_electric").alias("electric_count"),
-            F.sum("is_member").alias("member_count"),
-            F.sum("trip_duration_sec").alias("total_duration_sec"),
-        )
+        .agg(*hourly_aggregates())
     )
 
 

@@ -19,7 +19,8 @@ def demand_by_station_hour(history: DataFrame) -> DataFrame:
 def demand_by_hour_of_day(history: DataFrame) -> DataFrame:
     """Mean over all rows at each hour of day: at most 24 rows, and at most 24
     per task are shuffled."""
-    return history.groupBy(F.hour("event_hour").alias("hour_of_day")).agg(
+    known = history.where("event_hour IS NOT NULL")
+    return known.groupBy(F.hour("event_hour").alias("hour_of_day")).agg(
         F.avg("bike_demand").alias("hour_bikes"), F.avg("dock_demand").alias("hour_docks")
     )
 

@@ -112,12 +112,12 @@ def _top(stats: DataFrame, n: int, descending: bool) -> DataFrame:
     return stats.orderBy(key, "station_id").limit(n)
 
 
-def _rounded(stats: DataFrame) -> DataFrame:
+def _rounded(stats: DataFrame, rounding) -> DataFrame:
     return stats.withColumns(
         {
-            "avg_price": scaled_round(F.col("avg_price"), 2),
-            "avg_multiplier": scaled_round(F.col("avg_multiplier"), 2),
-            "surge_pct": scaled_round(F.col("surge_pct"), 1),
+            "avg_price": rounding(F.col("avg_price"), 2),
+            "avg_multiplier": rounding(F.col("avg_multiplier"), 2),
+            "surge_pct": rounding(F.col("surge_pct"), 1),
         }
     )
 
@@ -127,13 +127,13 @@ def hotspots(priced: DataFrame, n: int = 5) -> DataFrame:
     stats = station_stats(priced)
     surge = _top(stats, n, descending=True).withColumn("side", F.lit("surge"))
     discount = _top(stats, n, descending=False).withColumn("side", F.lit("discount"))
-    return _rounded(surge.unionByName(discount)).select(
+    return _rounded(surge.unionByName(discount), exact_round).select(
         "side", "station_id", "avg_price", "avg_multiplier", "surge_pct"
     )
 
 
 def top_surge_stations(priced: DataFrame, n: int = 10) -> DataFrame:
-    return _rounded(_top(station_stats(priced), n, descending=True)).select(
+    return _rounded(_top(station_stats(priced), n, descending=True), scaled_round).select(
         "station_id", "avg_price", "avg_multiplier"
     )
 

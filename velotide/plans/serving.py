@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velotide.functions.calendar import REQUEST_TIME_FORMAT, hour_of, parse_time
+from velotide.functions.calendar import REQUEST_TIME_FORMAT, REQUEST_TIME_PATTERN, hour_of, parse_time
 from velotide.operators.lookup import lookup_demand, lookup_horizon
 from velotide.operators.pricing import decide_prices
 from velotide.operators.stock import running_stock, walk_demands, with_default_stock
@@ -25,9 +25,21 @@ RESPONSE = [
 TIME_ERROR = f"timestamp must have the format '{REQUEST_TIME_FORMAT}'"
 
 
+# What a request that leaves them out is taken to say.
+REQUEST_DEFAULTS = {"available_bikes": 15, "available_docks": 15, "capacity": 50}
+
+
+def with_defaults(requests: DataFrame) -> DataFrame:
+    """Null or absent stock and capacity replaced by the request defaults."""
+    filled = {
+        c: F.coalesce(F.col(c), F.lit(v)) if c in requests.columns else F.lit(v) for c, v in REQUEST_DEFAULTS.items()
+    }
+    return requests.withColumns(filled)
+
+
 def checked_requests(requests: DataFrame) -> DataFrame:
     """Adds asked_at and error; a timestamp of another form sets the error."""
-    asked_at = parse_time(F.col("timestamp"), REQUEST_TIME_FORMAT)
+    asked_at = parse_time(F.col("timestamp"), REQUEST_TIME_PATTERN)
     return requests.withColumn("asked_at", asked_at).withColumn(
         "error", F.when(F.col("asked_at").isNull(), TIME_ERROR)
     )
@@ -38,7 +50,7 @@ def answer_requests(requests: DataFrame, history: DataFrame) -> DataFrame:
 
     A refused request keeps its row, with the error and no price.
     """
-    checked = checked_requests(requests).select(
+    checked = checked_requests(with_defaults(requests)).select(
         "request_id", "station_id", "timestamp", "available_bikes", "available_docks", "asked_at", "error"
     )
     answers = decide_prices(lookup_demand(checked, history))
@@ -55,7 +67,7 @@ def forecast(requests: DataFrame, history: DataFrame, as_of: str) -> DataFrame:
     """
     start = hour_of(F.lit(as_of).cast("timestamp_ntz"))
     stock = {"available_bikes": "start_bikes", "available_docks": "start_docks"}
-    asked = requests.withColumnsRenamed(stock)
+    asked = with_defaults(requests).withColumnsRenamed(stock)
     walked = walk_demands(lookup_horizon(asked, history, start, FORECAST_HOURS)).withColumnsRenamed(
         {"bike_demand": "predicted_bike_demand", "dock_demand": "predicted_dock_demand"}
     )

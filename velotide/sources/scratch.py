@@ -10,19 +10,23 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+_local: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """New folder name under the cluster's checkpoint folder.
 
     The folder is removed when the driver's JVM ends.  Only a local session
-    without that setting falls back to the machine's temporary folder.
+    without that setting falls back to one temporary folder a session.
     """
     base = spark.conf.get(_KEY, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"{_KEY} must name a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="velotide-")
+        app = spark.sparkContext.applicationId
+        if app not in _local:
+            _local[app] = tempfile.mkdtemp(prefix="velotide-")
+        base = _local[app]
     path = f"{base.rstrip('/')}/velotide/{label}-{uuid.uuid4().hex}"
     fs, jvm_path = _located(spark, path)
     fs.deleteOnExit(jvm_path)

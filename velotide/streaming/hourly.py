@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velotide.operators.demand import with_ratios
+from velotide.operators.demand import hourly_aggregates, with_ratios
 from velotide.operators.trips import trip_events
 
 
-def streaming_hourly_demand(trips: DataFrame, lateness: str = "2 hours") -> DataFrame:
+def streaming_hourly_demand(trips: DataFrame, lateness: str) -> DataFrame:
     """The batch aggregate with a watermark; an hour is emitted once it closed.
 
     ``trips`` are clean trips from ``readStream``.  State is one row per station
-    and open hour.
+    and open hour.  Events older than ``lateness`` behind the newest one are
+    dropped, without a count but Spark's ``numRowsDroppedByWatermark``: a trip
+    arrives when it ends, so ``lateness`` must cover the longest ride and the
+    disorder of the files.
     """
     return (
         trip_events(trips)
@@ -22,13 +25,7 @@ def streaming_hourly_demand(trips: DataFrame, lateness: str = "2 hours") -> Data
         .withColumn("event_time", F.col("event_time").cast("timestamp"))
         .withWatermark("event_time", lateness)
         .groupBy("station_id", F.window("event_time", "1 hour").alias("hour_window"))
-        .agg(
-            F.sum("bike_departure").alias("bike_demand"),
-            F.sum("bike_arrival").alias("dock_demand"),
-            F.sum("is_electric").alias("electric_count"),
-            F.sum("is_member").alias("member_count"),
-            F.sum("trip_duration_sec").alias("total_duration_sec"),
-        )
+        .agg(*hourly_aggregates())
         .withColumn("event_hour", F.col("hour_window.start").cast("timestamp_ntz"))
         .drop("hour_window")
         .transform(with_ratios)
