@@ -37,8 +37,10 @@ _ROWS_OF_A_HUB = 100_000
 # A set's parity sketch: 512 bits in 64-bit columns.
 _SKETCH = [f"s{i}" for i in range(8)]
 
-# Gram hashes compared in one place (8 bytes each), a block against a block.
-_GRAMS_IN_A_PLACE = 1 << 17
+# Gram hashes of a block (8 bytes each); a place compares a block with a block.
+_GRAMS_IN_A_PLACE = 1 << 20
+# Gram hashes of small components that share a place.
+_GRAMS_SHARING = 1 << 17
 
 # Stands for a null doc_id while documents are looked up.
 _NO_ID = -(1 << 63)
@@ -275,7 +277,7 @@ def _blocks(pairs: DataFrame, involved: DataFrame) -> tuple[DataFrame, DataFrame
     sizes = of_vertex.groupBy("component").agg(F.sum("n").alias("grams"))
     sizes = materialize(sizes.withColumn("blocks", F.ceil(F.col("grams") / F.lit(_GRAMS_IN_A_PLACE)).cast("long")), "sizes")
     grams = sizes.agg(F.sum("grams")).first()[0] or 0
-    places = max(1, grams // _GRAMS_IN_A_PLACE)
+    places = max(1, grams // _GRAMS_SHARING)
     of_vertex = of_vertex.join(sizes.select("component", "blocks"), "component")
     of_vertex = materialize(of_vertex.withColumn("block", F.pmod(F.xxhash64("vertex"), F.col("blocks"))), "blocks")
     one = of_vertex.select(F.col("vertex").alias("a"), "component", "blocks", F.col("block").alias("block_a"))
