@@ -8,7 +8,6 @@ text is always cut the same way.
 
 from __future__ import annotations
 
-import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -32,19 +31,24 @@ _UNITS_HELD = 300_000
 _EDGES_HELD = 6_000_000
 _TEXT_AT_ONCE = 1 << 20
 
-# Units up to this length are summed without logarithms: weights are at least
-# about 1e-6, so no product of them is out of range.
-_SHORT = 32
+# Units up to this length are added many at once, and need no scaling.
+_SHORT = 48
+
+# Places after which the sums of ways are scaled: weights are at least about
+# 1e-6, so no product of so many, or of a piece's length more, is out of range.
+_SCALED_EVERY = 16
 
 
 class Pieces:
     """Pieces of a model as bytes, with a weight each.
 
     A BPE model has ranks, no probabilities; a piece's weight follows its rank
-    by Zipf's law, raised to ``alpha``: smaller values cut more evenly.
+    by Zipf's law, raised to ``alpha`` (0 to 1): smaller values cut more evenly.
     """
 
     def __init__(self, model: str, alpha: float):
+        if not 0 <= alpha <= 1:
+            raise ValueError(f"alpha must be from 0 to 1: {alpha}")
         processor = sentencepiece.SentencePieceProcessor(model_file=model)
         self.bytes: list[bytes] = []
         self.byte_ids = [0] * 256
@@ -68,6 +72,7 @@ class Pieces:
         least = min(self.weights[i] for _, i in ordinary)
         for i in self.byte_ids:
             self.weights[i] = least
+        self.longest = max(4, *(len(self.bytes[i]) for _, i in ordinary))
         # Pieces, and as -1 the beginnings of pieces.
         self.ids: dict[bytes, int] = {}
         for _, i in ordinary:
@@ -77,6 +82,18 @@ class Pieces:
             for end in range(1, len(piece)):
                 self.ids.setdefault(piece[:end], -1)
             self.ids[piece] = i
+        self._number_beginnings()
+
+    def _number_beginnings(self) -> None:
+        """The same as sorted steps ``beginning << 8 | byte``, for walks of many texts at once."""
+        number = {b"": 0}
+        for beginning in self.ids:
+            number[beginning] = len(number)
+        steps = sorted((number[b[:-1]] << 8 | b[-1], number[b]) for b in self.ids)
+        self.steps, self.step_to = (np.array(x, np.int64) for x in zip(*steps, strict=True))
+        self.piece_of = np.array([-1, *self.ids.values()], np.int32)
+        self.weight = np.array(self.weights)
+        self.byte_id = np.array(self.byte_ids, np.int32)
 
 
 @lru_cache(maxsize=2)
@@ -88,13 +105,21 @@ def _width(lead: int) -> int:
     return 1 if lead < 0xC0 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
 
 
+def _is_text(unit: bytes) -> bool:
+    try:
+        return unit.isascii() or unit.decode() is not None
+    except UnicodeDecodeError:
+        return False
+
+
 class Lattices:
     """Lattices of distinct units, ready for drawing.
 
     A unit is a newline, or spaces and what follows them up to the next: no
     piece crosses units, so the lattice of a text is the chain of theirs.  The
-    edges into a node are stored as ``node + cumulative share``, one ascending
-    array for all units, so that one binary search draws for many units at once.
+    edges into a node are stored side by side with their cumulative shares, in
+    one array for all units, so that a draw for many units at once walks from
+    the first edge of each node.
     """
 
     def __init__(self, table: Pieces):
@@ -102,6 +127,7 @@ class Lattices:
         self.keys = np.empty(_EDGES_HELD)
         self.back = np.empty(_EDGES_HELD, np.int32)
         self.piece = np.empty(_EDGES_HELD, np.int32)
+        self.first = np.empty(_EDGES_HELD, np.int32)
         self.forget()
 
     def forget(self) -> None:
@@ -110,16 +136,28 @@ class Lattices:
         self.edges = self.nodes = 0
 
     def learn(self, units: set[bytes]) -> None:
-        keys: list[float] = []
-        back: list[int] = []
-        piece: list[int] = []
+        short, rest = [], []
         for unit in units.difference(self.units):
-            self._add(unit, keys, back, piece)
+            (short if len(unit) <= _SHORT and _is_text(unit) else rest).append(unit)
+        if short:
+            self._add_many(short)
+        for unit in rest:
+            self._add(unit)
+
+    def _store(self, units: list[bytes], keys, back, piece, first) -> None:
+        """Keeps edges, and for each node of the units in turn where its edges begin."""
         a, b = self.edges, self.edges + len(keys)
         if b > len(self.keys):
             self.keys, self.back, self.piece = (np.resize(x, 2 * b) for x in (self.keys, self.back, self.piece))
+        node = self.nodes + len(first)
+        if node > len(self.first):
+            self.first = np.resize(self.first, 2 * node)
         self.keys[a:b], self.back[a:b], self.piece[a:b] = keys, back, piece
-        self.edges = b
+        self.first[self.nodes : node] = first
+        ends = self.nodes - 1 + np.cumsum([len(u) + 1 for u in units])
+        self.units.update(zip(units, range(len(self.ends), len(self.ends) + len(units)), strict=True))
+        self.ends += ends.tolist()
+        self.edges, self.nodes = b, node
 
     def room(self) -> bool:
         return len(self.units) < _UNITS_HELD and self.edges < _EDGES_HELD
@@ -143,36 +181,75 @@ class Lattices:
             at += width
         return into
 
-    def _add(self, unit: bytes, keys: list[float], back: list[int], piece: list[int]) -> None:
+    def _add(self, unit: bytes) -> None:
+        """One unit of any length and content; its sums are scaled as they grow small."""
         into, weights, base = self._edges_into(unit), self.table.weights, self.nodes
-        if len(unit) <= _SHORT:
-            ways = [1.0]
-            for node, edges in enumerate(into[1:], base + 1):
-                total = 0.0
-                shares = []
-                for start, i in edges:
-                    total += ways[start] * weights[i]
-                    shares.append(total)
-                    back.append(base + start)
-                    piece.append(i)
-                ways.append(total)
-                keys += [node + s / total for s in shares] if total else []
-        else:
-            logs = [0.0]
-            for node, edges in enumerate(into[1:], base + 1):
-                if not edges:
-                    logs.append(-math.inf)
-                    continue
-                terms = [logs[start] + math.log(weights[i]) for start, i in edges]
-                most = max(terms)
-                shares = np.cumsum(np.exp(np.array(terms) - most))
-                logs.append(most + math.log(shares[-1]))
-                keys += (node + shares / shares[-1]).tolist()
-                back += [base + start for start, _ in edges]
-                piece += [i for _, i in edges]
-        self.nodes = base + len(unit) + 1
-        self.units[unit] = len(self.ends)
-        self.ends.append(base + len(unit))
+        ways, keys, back, piece, first = [1.0], [], [], [], [self.edges]
+        for at in range(1, len(into)):
+            first.append(self.edges + len(keys))
+            total = 0.0
+            shares = []
+            for start, i in into[at]:
+                total += ways[start] * weights[i]
+                shares.append(total)
+                back.append(base + start)
+                piece.append(i)
+            ways.append(total)
+            keys += [s / total for s in shares]
+            if at % _SCALED_EVERY == 0:
+                near = ways[-self.table.longest :]
+                most = max(near)
+                ways[-self.table.longest :] = [w / most for w in near]
+        self._store([unit], keys, back, piece, first)
+
+    def _edges_of_many(self, data: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin, end and piece of all edges in UTF-8 bytes whose units end at ``stop``."""
+        table = self.table
+        begin = np.flatnonzero(data & 0xC0 != 0x80)
+        width = np.diff(begin, append=len(data))
+        whole = np.zeros(len(begin), bool)
+        who, state, found = np.arange(len(begin)), np.zeros(len(begin), np.int64), []
+        for k in range(table.longest):
+            at = begin[who] + k
+            inside = at < stop[begin[who]]
+            who, state, at = who[inside], state[inside], at[inside]
+            step = state << 8 | data[at]
+            i = np.minimum(np.searchsorted(table.steps, step), len(table.steps) - 1)
+            there = table.steps[i] == step
+            who, state = who[there], table.step_to[i[there]]
+            if not len(who):
+                break
+            piece = table.piece_of[state]
+            ends = piece >= 0
+            found.append((begin[who[ends]], begin[who[ends]] + k + 1, piece[ends]))
+            whole[who[ends & (width[who] == k + 1)]] = True
+        single = np.flatnonzero(np.repeat(~whole, width))
+        found.append((single, single + 1, table.byte_id[data[single]]))
+        a, b, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        return a, b, piece
+
+    def _add_many(self, units: list[bytes]) -> None:
+        """Short units of valid UTF-8: the sums go place by place through all of them."""
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        unit = np.repeat(np.arange(len(units)), lengths)
+        stop = np.cumsum(lengths)
+        a, b, piece = self._edges_of_many(np.frombuffer(b"".join(units), np.uint8), stop[unit])
+        # A unit has one node more than bytes.
+        start, end = a + unit[a], b + unit[a]
+        place = b - (stop - lengths)[unit[a]]
+        order = np.lexsort((start, end))
+        start, end, piece, place = start[order], end[order], piece[order], place[order]
+        first = np.searchsorted(end, np.arange(len(unit) + len(units)))
+        rank = np.arange(len(end)) - first[end]
+        weight, sums = self.table.weight[piece], np.empty(len(end))
+        ways = np.ones(len(first))
+        turn = np.lexsort((rank, place))
+        changes = np.flatnonzero(np.diff(place[turn] << 32 | rank[turn])) + 1
+        for edge in np.split(turn, changes):
+            added = ways[start[edge]] * weight[edge]
+            sums[edge] = added if rank[edge[0]] == 0 else sums[edge - 1] + added
+            ways[end[edge]] = sums[edge]
+        self._store(units, sums / ways[end], start + self.nodes, piece, first + self.edges)
 
     def draw(self, units: list[bytes], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all units in order, and how many each has."""
@@ -180,15 +257,18 @@ class Lattices:
         sizes = np.fromiter(map(len, units), np.int64, len(units))
         node = np.array(self.ends, np.int64)[which]
         begin = node - sizes
-        keys = self.keys[: self.edges]
         active, steps = np.arange(len(units)), []
         counts = np.zeros(len(units), np.int64)
         step = 0
         while len(active):
             random = mixed(seeds[active] + np.uint64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
             share = (random >> np.uint64(11)).astype(np.float64) * 2.0**-53
-            # An edge's key is the upper end of its share; the largest is node + 1.
-            edge = np.searchsorted(keys, node + np.minimum(share, 1 - 2.0**-20), side="right")
+            # An edge's key is the upper end of its share; that of a node's last is 1.
+            edge = self.first[node]
+            on = np.flatnonzero(self.keys[edge] <= share)
+            while len(on):
+                edge[on] += 1
+                on = on[self.keys[edge[on]] <= share[on]]
             steps.append((active, self.piece[edge]))
             counts[active] += 1
             node = self.back[edge].astype(np.int64)
