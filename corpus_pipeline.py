@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from velotide.llm import language, mixing, ngram_join, sentence_pieces
 from velotide.llm.common import octets, table
@@ -30,9 +29,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sample_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document and whether they decode to its text."""
     model = public_tokenizers.path(PIECES)
-    cut = sentence_pieces.segmented(docs, model)
-    exact = sentence_pieces.decoded(F.col("piece_ids"), model) == octets("text")
-    return cut.select("doc_id", "source", "lang", "piece_ids", exact.alias("lossless"))
+    cut = docs.withColumn("cut", sentence_pieces.round_trip("doc_id", octets("text"), model))
+    return cut.select("doc_id", "source", "lang", "cut.piece_ids", "cut.lossless")
 
 
 STAGES = [

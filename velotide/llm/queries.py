@@ -92,14 +92,9 @@ def op8_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path(PIECES)
-    docs = table(spark, sf_dir, "documents").select("doc_id", octets("text").alias("body"))
-    cut = docs.withColumn("piece_ids", sentence_pieces.sampled_pieces("doc_id", F.col("body"), model))
-    read = cut.select(
-        "doc_id",
-        sentence_pieces.digest(F.col("piece_ids")).alias("d"),
-        (sentence_pieces.decoded(F.col("piece_ids"), model) == F.col("body")).alias("lossless"),
-    )
-    return read.select("doc_id", "d.n_pieces", "d.ids_crc32", "lossless")
+    trip = sentence_pieces.round_trip("doc_id", octets("text"), model, keep_ids=False)
+    cut = table(spark, sf_dir, "documents").select("doc_id", trip.alias("d"))
+    return cut.select("doc_id", "d.n_pieces", "d.ids_crc32", "d.lossless")
 
 
 def op10_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,12 +24,18 @@ from velotide.llm.common import octets
 from velotide.llm.gram_sets import mixed
 
 _UNITS = re.compile(rb"\n| *[^ \n]+| +")
+# A unit always ends here.
+_BREAK = re.compile(rb"(?<=[^ \n])[ \n]")
 _SPACE = "▁"
 
-# Distinct units and lattice edges a task remembers, and bytes of text cut at once.
-_UNITS_HELD = 300_000
-_EDGES_HELD = 6_000_000
-_TEXT_AT_ONCE = 1 << 20
+# Distinct units and lattice edges a task remembers, units added and bytes of
+# text cut at once, and ids decoded at once: a worker's memory does not depend
+# on the length of texts but for the text and its ids.
+_UNITS_HELD = 100_000
+_EDGES_HELD = 2_000_000
+_UNITS_AT_ONCE = 4_096
+_TEXT_AT_ONCE = 1 << 18
+_IDS_AT_ONCE = 1 << 16
 
 # Units up to this length are added many at once, and need no scaling.
 _SHORT = 48
@@ -139,8 +145,8 @@ class Lattices:
         short, rest = [], []
         for unit in units.difference(self.units):
             (short if len(unit) <= _SHORT and _is_text(unit) else rest).append(unit)
-        if short:
-            self._add_many(short)
+        for start in range(0, len(short), _UNITS_AT_ONCE):
+            self._add_many(short[start : start + _UNITS_AT_ONCE])
         for unit in rest:
             self._add(unit)
 
@@ -292,34 +298,49 @@ class Sampler:
 
     def __call__(self, keys: list, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and how many each has."""
-        ids, counts, start = [], [], 0
-        while start < len(texts):
-            end, size = start + 1, len(texts[start] or b"")
-            while end < len(texts) and size < _TEXT_AT_ONCE:
-                size += len(texts[end] or b"")
-                end += 1
-            part = self._part(keys[start:end], texts[start:end])
-            ids.append(part[0])
-            counts.append(part[1])
-            start = end
-        return (np.concatenate(ids), np.concatenate(counts)) if ids else (np.empty(0, np.int32), np.empty(0, np.int64))
-
-    def _part(self, keys: list, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        if not self.lattices.room():
-            self.lattices.forget()
-        # A space goes before every text but the empty one, as the model does.
-        cut = [_UNITS.findall(b" " + t) if t else [] for t in texts]
-        units = [u for c in cut for u in c]
-        if not units:
-            return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
-        self.lattices.learn(set(units))
-        lengths = [len(c) for c in cut]
-        row = np.repeat(np.array([_seed(k, self.seed) for k in keys], np.uint64), lengths)
-        place = np.concatenate([np.arange(n, dtype=np.uint64) for n in lengths])
-        ids, counts = self.lattices.draw(units, mixed(row + place * np.uint64(0xD6E8FEB86659FD93)))
-        through = np.concatenate(([0], np.cumsum(counts)))
-        edges = through[np.concatenate(([0], np.cumsum(lengths)))]
-        return ids, np.diff(edges)
+        seeds = np.array([_seed(k, self.seed) for k in keys], np.uint64)
+        counts, places, ids = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), [np.empty(0, np.int32)]
+        rows, bodies, size = [], [], 0
+
+        def draw() -> None:
+            if not self.lattices.room():
+                self.lattices.forget()
+            cut = [_UNITS.findall(b) for b in bodies]
+            units = [u for c in cut for u in c]
+            self.lattices.learn(set(units))
+            lengths = np.array([len(c) for c in cut])
+            row = np.repeat(rows, lengths)
+            # A row's first part here goes on where the last one ended.
+            place = np.concatenate([np.arange(places[r], places[r] + n) for r, n in zip(rows, lengths, strict=True)])
+            found, each = self.lattices.draw(units, mixed(seeds[row] + place.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+            ids.append(found)
+            np.add.at(counts, row, each)
+            places[rows] += lengths
+
+        for row, text in enumerate(texts):
+            if not text:
+                continue
+            # A space goes before every text but the empty one, as the model does.
+            for body in _parts(b" " + text):
+                rows.append(row)
+                bodies.append(body)
+                size += len(body)
+                if size >= _TEXT_AT_ONCE:
+                    draw()
+                    rows, bodies, size = [], [], 0
+        if bodies:
+            draw()
+        return np.concatenate(ids), counts
+
+
+def _parts(text: bytes) -> Iterator[bytes]:
+    """A text in pieces of whole units, each not much longer than is cut at once."""
+    start = 0
+    while start < len(text):
+        found = _BREAK.search(text, start + _TEXT_AT_ONCE)
+        end = found.start() if found else len(text)
+        yield text[start:end]
+        start = end
 
 
 @lru_cache(maxsize=1)
@@ -348,6 +369,11 @@ def sampled_pieces(
     return cut(F.col(key).cast("string") if isinstance(key, str) else key.cast("string"), text)
 
 
+def _text_of(table: list[bytes], ids: np.ndarray) -> bytes:
+    parts = (ids[i : i + _IDS_AT_ONCE].tolist() for i in range(0, len(ids), _IDS_AT_ONCE))
+    return b"".join([b"".join(map(table.__getitem__, part)) for part in parts])[1:]
+
+
 def decoded(ids: Column, model: str) -> Column:
     """The bytes that piece ids stand for: exactly the text that was cut."""
 
@@ -356,12 +382,42 @@ def decoded(ids: Column, model: str) -> Column:
         table = pieces(model, 0.2).bytes
         for lists in batches:
             values, ends = _flat(lists)
-            each = list(map(table.__getitem__, values.tolist()))
-            yield pa.array([b"".join(each[a:b])[1:] for a, b in ends], pa.binary())
+            yield pa.array([_text_of(table, values[a:b]) for a, b in ends], pa.binary())
 
     return joined(ids)
 
 
+def round_trip(
+    key: str, text: Column, model: str, *, alpha: float = 0.2, seed: int = 0, keep_ids: bool = True
+) -> Column:
+    """What ``sampled_pieces``, ``digest`` and ``decoded`` give, without moving ids between tasks' workers.
+
+    A struct of piece_ids (null unless ``keep_ids``), n_pieces, ids_crc32 and
+    lossless: whether the ids decode to exactly the bytes of the text, null as empty.
+    """
+
+    @F.arrow_udf("struct<piece_ids: array<int>, n_pieces: bigint, ids_crc32: bigint, lossless: boolean>")
+    def checked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        sampler = sampler_of(model, alpha, seed)
+        table = sampler.lattices.table.bytes
+        for keys, texts in batches:
+            bodies = texts.to_pylist()
+            ids, counts = sampler(keys.to_pylist(), bodies)
+            ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+            lists = [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            yield pa.StructArray.from_arrays(
+                [
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)) if keep_ids else pa.nulls(len(keys), pa.list_(pa.int32())),
+                    pa.array(counts),
+                    pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in lists], pa.int64()),
+                    pa.array([_text_of(table, x) == (t or b"") for x, t in zip(lists, bodies, strict=True)], pa.bool_()),
+                ],
+                ["piece_ids", "n_pieces", "ids_crc32", "lossless"],
+            )
+
+    return checked(F.col(key).cast("string"), text)
+
+
 def digest(ids: Column) -> Column:
     """Number of ids and crc32 of them as little-endian 32-bit integers."""
 
