@@ -31,8 +31,8 @@ _SPACE = "▁"
 # Distinct units and lattice edges a task remembers, units added and bytes of
 # text cut at once, and ids decoded at once: a worker's memory does not depend
 # on the length of texts but for the text and its ids.
-_UNITS_HELD = 100_000
-_EDGES_HELD = 2_000_000
+_UNITS_HELD = 300_000
+_EDGES_HELD = 4_500_000
 _UNITS_AT_ONCE = 4_096
 _TEXT_AT_ONCE = 1 << 18
 _IDS_AT_ONCE = 1 << 16
