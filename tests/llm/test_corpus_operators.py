@@ -151,10 +151,10 @@ def test_ngram_groups_equal_brute_force(spark, corpus, words, percent):
     assert len(found) == len(corpus)
 
 
-def test_ngram_groups_with_parts_and_blocks(spark, corpus, monkeypatch):
+def test_ngram_groups_with_parts_and_ranges(spark, corpus, monkeypatch):
     monkeypatch.setattr(ngram_join, "_ROWS_OF_A_HUB", 50)
     monkeypatch.setattr(ngram_join, "_GRAMS_IN_A_PLACE", 500)
-    monkeypatch.setattr(ngram_join, "MOST_SENT_IDS", 0)
+    monkeypatch.setattr(ngram_join, "MOST_SENT_ROWS", 0)
     found = ngram_join.near_duplicate_groups(table(spark, corpus), words=4, percent=85).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_groups(corpus, 4, 85)
 

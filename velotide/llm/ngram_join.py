@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from velotide.llm.common import octets, rows_of
@@ -27,9 +27,9 @@ from velotide.sources.scratch import materialize
 # that grams share a cell costs candidates, never results.
 FREQUENCY_CELLS = 1 << 16
 
-# Involved documents up to which their ids go to every task (8 bytes each);
-# beyond that a join selects them.
-MOST_SENT_IDS = 1 << 21
+# Involved documents up to which their places go to every executor (40 bytes
+# each); beyond that texts are shuffled to them.
+MOST_SENT_ROWS = 1 << 20
 
 # Rows of one gram up to which a single window looks for the hub.
 _ROWS_OF_A_HUB = 100_000
@@ -37,8 +37,8 @@ _ROWS_OF_A_HUB = 100_000
 # A set's parity sketch: 512 bits in 64-bit columns.
 _SKETCH = [f"s{i}" for i in range(8)]
 
-# Gram hashes of a block (8 bytes each); a place compares a block with a block.
-_GRAMS_IN_A_PLACE = 1 << 20
+# Gram hashes of a place (8 bytes each).
+_GRAMS_IN_A_PLACE = 1 << 23
 # Gram hashes of small components that share a place.
 _GRAMS_SHARING = 1 << 17
 
@@ -70,13 +70,18 @@ def parity(grams: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64)
 
 
+def _body() -> Column:
+    """A text's hash, which with the doc_id finds the text again, also where ids repeat."""
+    return F.xxhash64("text").alias("body")
+
+
 def document_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
-    """``members(doc_id, n_shingles, vertex, s0..s7)`` and how many grams fall into each cell.
+    """``members(doc_id, body, n_shingles, vertex, s0..s7)`` and how many grams fall into each cell.
 
     Documents with equal sets have one vertex.  Both come from one reading of
     the texts; for the counts every task adds at most one row a cell.
     """
-    names = ["doc_id", "n_shingles", "vertex", *_SKETCH, "cell"]
+    names = ["doc_id", "body", "n_shingles", "vertex", *_SKETCH, "cell"]
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, counts = GramSets(words), np.zeros(FREQUENCY_CELLS, np.int64)
@@ -84,13 +89,14 @@ def document_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
         def rows(n: int, **columns):
             return pa.RecordBatch.from_arrays([pa.array(columns.get(c, [None] * n), pa.int64()) for c in names], names)
 
-        for ids, texts in rows_of(batches, "doc_id", "text"):
+        for ids, bodies, texts in rows_of(batches, "doc_id", "body", "text"):
             found = sets(texts)
             counts += np.bincount(_cells(np.concatenate(found)), minlength=FREQUENCY_CELLS)
             sketches = np.array([parity(g) for g in found]).T
             yield rows(
                 len(ids),
                 doc_id=ids,
+                body=bodies,
                 n_shingles=[len(g) for g in found],
                 vertex=list(map(_digest, found)),
                 **dict(zip(_SKETCH, sketches, strict=True)),
@@ -100,7 +106,7 @@ def document_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
             part = cells[start : start + 8192]
             yield rows(len(part), n_shingles=counts[part], cell=part)
 
-    slim = docs.select(F.col("doc_id").cast("long"), octets("text").alias("text"))
+    slim = docs.select(F.col("doc_id").cast("long"), _body(), octets("text").alias("text"))
     both = materialize(slim.mapInArrow(scanned, ", ".join(f"{c} long" for c in names)), "sets-and-counts")
     totals = np.zeros(FREQUENCY_CELLS, np.int64)
     sums = both.filter("cell IS NOT NULL").groupBy("cell").agg(F.sum("n_shingles").alias("n"))
@@ -209,85 +215,90 @@ def suffix_bound(a: np.ndarray, b: np.ndarray, cuts: np.ndarray) -> int:
     return int(np.minimum(in_a, in_b).sum())
 
 
-_CUTS = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)
-
-
 def verified(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, words: int, percent: int) -> DataFrame:
     """The linked ones of distinct ``pairs(a, b)`` of vertices, each compared once.
 
     Only sets of documents in a pair are gathered: their texts are read again,
     one document a vertex.  Vertices that pairs connect are compared in one
-    place, so that a set travels once and not with every pair; where they are
-    many, they are dealt into blocks, and every two blocks meet.
+    place; where that is too much for one, the range of hashes is cut and each
+    part counts what is common there.  Either way a gram travels once.
     """
-    spark = docs.sparkSession
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
-    involved = materialize(vertices.select("vertex", "doc_id", "n").join(ends, "vertex", "left_semi"), "involved")
-    placed, keyed = _blocks(pairs, involved)
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), octets("text").alias("text"))
-    chosen = None
-    if involved.count() <= MOST_SENT_IDS:
-        ids = np.fromiter((r["doc_id"] for r in involved.select("doc_id").toLocalIterator()), np.int64)
-        chosen = spark.sparkContext.broadcast(np.unique(ids))
-    else:
-        texts = texts.join(involved.select("doc_id").distinct(), "doc_id", "left_semi")
+    of_vertex, keyed = _places(pairs, vertices)
+    if of_vertex.count() <= MOST_SENT_ROWS:
+        of_vertex = F.broadcast(of_vertex)
+    named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), _body(), octets("text").alias("text"))
+    texts = named.join(of_vertex, ["doc_id", "body"])
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = GramSets(words)
-        for batch in batches:
-            if chosen is not None:
-                ids, known = batch.column(0).to_numpy(), chosen.value
-                at = np.minimum(np.searchsorted(known, ids), len(known) - 1)
-                batch = batch.filter(pa.array(known[at] == ids))
-            for (bodies,) in rows_of([batch], "text"):
-                found = sets(bodies)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(map(_digest, found), pa.int64()), pa.array([g.tobytes() for g in found], pa.binary())],
-                    ["vertex", "grams"],
-                )
-
-    sets = placed.join(texts.mapInArrow(gathered, "vertex long, grams binary"), "vertex")
+        sets, sent = GramSets(words), set()
+        for texts, vertices, places, ranges in rows_of(batches, "text", "vertex", "place", "ranges"):
+            rows = []
+            for grams, vertex, place, n in zip(sets(texts), vertices, places, ranges, strict=True):
+                if vertex in sent or _digest(grams) != vertex:
+                    continue
+                sent.add(vertex)
+                edges = np.searchsorted(grams, np.array([(i << 64) // n for i in range(1, n)], np.uint64))
+                pieces = np.split(grams, edges)
+                rows += [(place, i, vertex, g.tobytes()) for i, g in enumerate(pieces) if len(g)]
+            columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.binary())],
+                ["place", "part", "vertex", "grams"],
+            )
+
+    sets = texts.select("text", "vertex", "place", "ranges").mapInArrow(
+        gathered, "place long, part long, vertex long, grams binary"
+    )
 
     def compared(bodies: pa.Table, pairs: pa.Table) -> pa.Table:
         found = {
             v: np.frombuffer(g, np.uint64)
             for v, g in zip(bodies["vertex"].to_pylist(), bodies["grams"].to_pylist(), strict=True)
         }
-        kept = []
-        for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist(), strict=True):
-            x, y = found[a], found[b]
-            if suffix_bound(x, y, _CUTS) < least_overlap(len(x), len(y), percent):
+        none, counted = np.empty(0, np.uint64), []
+        names = ["a", "b", "n_a", "n_b"]
+        for a, b, n_a, n_b in zip(*[pairs[c].to_pylist() for c in names], strict=True):
+            x, y = found.get(a, none), found.get(b, none)
+            elsewhere = min(n_a - len(x), n_b - len(y))
+            cuts = x[:: 1 + len(x) // 16]
+            if elsewhere + suffix_bound(x, y, cuts) < least_overlap(n_a, n_b, percent):
                 continue
             both = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * both >= percent * (len(x) + len(y) - both):
-                kept.append((a, b))
-        return pa.table({c: pa.array([k[i] for k in kept], pa.int64()) for i, c in enumerate("ab")})
+            if both:
+                counted.append((a, b, n_a, n_b, both))
+        return pa.table({c: pa.array([k[i] for k in counted], pa.int64()) for i, c in enumerate([*names, "n_both"])})
 
-    return sets.groupBy("key").cogroup(keyed.groupBy("key")).applyInArrow(compared, "a long, b long")
+    keys = ["place", "part"]
+    counts = sets.groupBy(*keys).cogroup(keyed.groupBy(*keys)).applyInArrow(
+        compared, "a long, b long, n_a long, n_b long, n_both long"
+    )
+    whole = counts.groupBy("a", "b", "n_a", "n_b").agg(F.sum("n_both").alias("n_both"))
+    return whole.filter(100 * F.col("n_both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("n_both"))).select("a", "b")
 
 
-def _blocks(pairs: DataFrame, involved: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(key, vertex)`` and ``(key, a, b)``: where sets and pairs meet.
+def _places(pairs: DataFrame, vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, body, vertex, place, ranges)`` and ``(place, part, a, b, n_a, n_b)``.
 
-    A component of the pairs with more grams than fit one place is cut into
-    blocks by vertex; smaller ones share places.
+    A component of the pairs with more grams than fit one place has a place of
+    its own for each of several ranges of hashes; smaller ones share places.
     """
     component = connected_components(pairs).withColumnRenamed("node", "vertex")
-    of_vertex = materialize(involved.select("vertex", "n").join(component, "vertex"), "placed")
+    of_vertex = materialize(vertices.select("vertex", "doc_id", "body", "n").join(component, "vertex"), "involved")
     sizes = of_vertex.groupBy("component").agg(F.sum("n").alias("grams"))
-    sizes = materialize(sizes.withColumn("blocks", F.ceil(F.col("grams") / F.lit(_GRAMS_IN_A_PLACE)).cast("long")), "sizes")
-    grams = sizes.agg(F.sum("grams")).first()[0] or 0
-    places = max(1, grams // _GRAMS_SHARING)
-    of_vertex = of_vertex.join(sizes.select("component", "blocks"), "component")
-    of_vertex = materialize(of_vertex.withColumn("block", F.pmod(F.xxhash64("vertex"), F.col("blocks"))), "blocks")
-    one = of_vertex.select(F.col("vertex").alias("a"), "component", "blocks", F.col("block").alias("block_a"))
-    other = of_vertex.select(F.col("vertex").alias("b"), F.col("block").alias("block_b"))
-    key = F.when(F.col("blocks") == 1, F.pmod("component", F.lit(places))).otherwise(
-        F.xxhash64("component", F.least("block_a", "block_b"), F.greatest("block_a", "block_b"))
+    sizes = materialize(sizes.withColumn("ranges", F.ceil(F.col("grams") / F.lit(_GRAMS_IN_A_PLACE)).cast("long")), "sizes")
+    shared = max(1, (sizes.agg(F.sum("grams")).first()[0] or 0) // _GRAMS_SHARING)
+    # Shared places have numbers from 0, so those of large components are negative.
+    place = F.when(F.col("ranges") == 1, F.pmod("component", F.lit(shared))).otherwise(
+        -1 - F.col("component").bitwiseAND(F.lit((1 << 62) - 1))
+    )
+    of_vertex = of_vertex.join(sizes.select("component", "ranges"), "component").withColumn("place", place)
+    of_vertex = materialize(of_vertex.select("doc_id", "body", "vertex", "n", "place", "ranges"), "in-places")
+    of_a = of_vertex.select(F.col("vertex").alias("a"), F.col("n").alias("n_a"), "place", "ranges")
+    of_b = of_vertex.select(F.col("vertex").alias("b"), F.col("n").alias("n_b"))
+    keyed = pairs.join(of_a, "a").join(of_b, "b").select(
+        "place", F.explode(F.sequence(F.lit(0), F.col("ranges") - 1)).alias("part"), "a", "b", "n_a", "n_b"
     )
-    keyed = materialize(pairs.join(one, "a").join(other, "b").select(key.alias("key"), "a", "b"), "keyed-pairs")
-    met = keyed.select("key", F.explode(F.array("a", "b")).alias("vertex")).distinct()
-    return materialize(met, "met"), keyed
+    return of_vertex.drop("n"), materialize(keyed, "keyed-pairs")
 
 
 def ngram_jaccard_join(docs: DataFrame, *, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -303,11 +314,11 @@ def ngram_jaccard_join(docs: DataFrame, *, words: int = 5, percent: int = 80) ->
     """
     members, frequencies = document_sets(docs, words)
     vertices = members.filter("n_shingles > 0").groupBy("vertex").agg(
-        F.min(F.coalesce("doc_id", F.lit(_NO_ID))).alias("doc_id"),
+        F.min(F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id"), "body")).alias("first"),
         F.max("n_shingles").alias("n"),
         *[F.max(s).alias(s) for s in _SKETCH],
     )
-    vertices = materialize(vertices, "vertices")
+    vertices = materialize(vertices.select("*", "first.*").drop("first"), "vertices")
 
     # A gram of one vertex pairs nothing: most rows end here, within one shuffle.
     shared = materialize(with_hub(prefixes(docs, words, percent, frequencies), "gram", "part"), "prefixes")
