@@ -10,6 +10,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+# Spark's own setting: remove an execution's shuffle files when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local: dict[str, str] = {}
 
 
@@ -38,13 +40,24 @@ def _located(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
 
 
+def _write(df: DataFrame, path: str) -> None:
+    """Write the table and free the shuffles behind it, which nothing reads again."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: lineage ends at a durable, columnar
     table, so later readers prune columns and a lost executor repeats nothing
     upstream."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    _write(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -53,7 +66,7 @@ def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``materialize`` for a table that is done with at the end of the block."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    _write(df, path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
