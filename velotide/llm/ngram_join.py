@@ -190,7 +190,7 @@ def _pairs(rows: DataFrame) -> DataFrame:
 
 
 def with_hub(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows of groups with several vertices, next to the group's smallest vertex."""
+    """Rows of groups with several vertices, once each, next to the group's smallest vertex."""
     group = Window.partitionBy(*keys)
     hub = F.min(F.struct(F.col("vertex").alias("vertex_b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b")))
     return (
@@ -198,6 +198,7 @@ def with_hub(rows: DataFrame, *keys: str) -> DataFrame:
         .withColumn("last", F.max("vertex").over(group))
         .filter((F.col("hub.vertex_b") < F.col("last")) | (F.col("part") > 0))
         .drop("last")
+        .distinct()  # within the groups: no further shuffle
     )
 
 
@@ -332,7 +333,7 @@ def ngram_jaccard_join(docs: DataFrame, *, words: int = 5, percent: int = 80) ->
     # What is left: vertices of one gram in different components, pair by pair.
     known = vertices.select("vertex", *_SKETCH).join(component.withColumnRenamed("node", "vertex"), "vertex", "left")
     known = materialize(known.withColumn("component", F.coalesce("component", "vertex")), "known")
-    placed = shared.select("gram", "vertex", "n", "pos").distinct().join(known.select("vertex", "component"), "vertex")
+    placed = shared.select("gram", "vertex", "n", "pos").join(known.select("vertex", "component"), "vertex")
     placed = materialize(placed, "placed-prefixes")
     spread = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_grams = materialize(spread.filter(F.col("low") < F.col("high")).select("gram"), "open-grams")
