@@ -41,6 +41,12 @@ _SKETCH = [f"s{i}" for i in range(8)]
 _GRAMS_IN_A_PLACE = 1 << 23
 # Gram hashes of small components that share a place.
 _GRAMS_SHARING = 1 << 17
+# Pairs that are compared in one place.
+_PAIRS_IN_A_PLACE = 1 << 18
+# Rows of one gram on either side that meet in one place.
+_ROWS_THAT_MEET = 4096
+# Bytes of sets in one batch on their way to their places.
+_SENT_BYTES = 1 << 24
 
 # Stands for a null doc_id while documents are looked up.
 _NO_ID = -(1 << 63)
@@ -221,8 +227,10 @@ def verified(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, words: int,
 
     Only sets of documents in a pair are gathered: their texts are read again,
     one document a vertex.  Vertices that pairs connect are compared in one
-    place; where that is too much for one, the range of hashes is cut and each
-    part counts what is common there.  Either way a gram travels once.
+    place; where those are too many pairs for one, the pairs are cut into
+    blocks, and where a block has too many grams, the range of hashes is cut and
+    each part counts what is common there.  A gram travels once to every block
+    that has a pair of its set.
     """
     of_vertex, keyed = _places(pairs, vertices)
     if of_vertex.count() <= MOST_SENT_ROWS:
@@ -232,23 +240,33 @@ def verified(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, words: int,
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, sent = GramSets(words), set()
-        for texts, vertices, places, ranges in rows_of(batches, "text", "vertex", "place", "ranges"):
-            rows = []
-            for grams, vertex, place, n in zip(sets(texts), vertices, places, ranges, strict=True):
+
+        def batch(rows: list) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            return pa.RecordBatch.from_arrays(
+                [*[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.binary())],
+                ["place", "block", "part", "vertex", "grams"],
+            )
+
+        for texts, vertices, places in rows_of(batches, "text", "vertex", "places"):
+            rows, size = [], 0
+            for grams, vertex, needed in zip(sets(texts), vertices, places, strict=True):
                 if vertex in sent or _digest(grams) != vertex:
                     continue
                 sent.add(vertex)
-                edges = np.searchsorted(grams, np.array([(i << 64) // n for i in range(1, n)], np.uint64))
-                pieces = np.split(grams, edges)
-                rows += [(place, i, vertex, g.tobytes()) for i, g in enumerate(pieces) if len(g)]
-            columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [*[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.binary())],
-                ["place", "part", "vertex", "grams"],
-            )
-
-    sets = texts.select("text", "vertex", "place", "ranges").mapInArrow(
-        gathered, "place long, part long, vertex long, grams binary"
+                for to in needed:
+                    n = to["ranges"]
+                    edges = np.searchsorted(grams, np.array([(i << 64) // n for i in range(1, n)], np.uint64))
+                    pieces = np.split(grams, edges)
+                    rows += [(to["place"], to["block"], i, vertex, g.tobytes()) for i, g in enumerate(pieces) if len(g)]
+                    size += grams.nbytes
+                    if size > _SENT_BYTES:
+                        yield batch(rows)
+                        rows, size = [], 0
+            yield batch(rows)
+
+    sets = texts.select("text", "vertex", "places").mapInArrow(
+        gathered, "place long, block long, part long, vertex long, grams binary"
     )
 
     def compared(bodies: pa.Table, pairs: pa.Table) -> pa.Table:
@@ -258,18 +276,19 @@ def verified(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, words: int,
         }
         none, counted = np.empty(0, np.uint64), []
         names = ["a", "b", "n_a", "n_b"]
-        for a, b, n_a, n_b in zip(*[pairs[c].to_pylist() for c in names], strict=True):
-            x, y = found.get(a, none), found.get(b, none)
-            elsewhere = min(n_a - len(x), n_b - len(y))
-            cuts = x[:: 1 + len(x) // 16]
-            if elsewhere + suffix_bound(x, y, cuts) < least_overlap(n_a, n_b, percent):
-                continue
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if both:
-                counted.append((a, b, n_a, n_b, both))
+        for some in pairs.select(names).to_batches(max_chunksize=8192):
+            for a, b, n_a, n_b in zip(*[c.to_pylist() for c in some.columns], strict=True):
+                x, y = found.get(a, none), found.get(b, none)
+                elsewhere = min(n_a - len(x), n_b - len(y))
+                cuts = x[:: 1 + len(x) // 16]
+                if elsewhere + suffix_bound(x, y, cuts) < least_overlap(n_a, n_b, percent):
+                    continue
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if both:
+                    counted.append((a, b, n_a, n_b, both))
         return pa.table({c: pa.array([k[i] for k in counted], pa.int64()) for i, c in enumerate([*names, "n_both"])})
 
-    keys = ["place", "part"]
+    keys = ["place", "block", "part"]
     counts = sets.groupBy(*keys).cogroup(keyed.groupBy(*keys)).applyInArrow(
         compared, "a long, b long, n_a long, n_b long, n_both long"
     )
@@ -277,29 +296,84 @@ def verified(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, words: int,
     return whole.filter(100 * F.col("n_both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("n_both"))).select("a", "b")
 
 
+def _blocks(pairs: DataFrame, of_vertex: DataFrame) -> DataFrame:
+    """``(a, b, n_a, n_b, component, blocks, block)``: a component's pairs in blocks of bounded size.
+
+    A block has all pairs of its vertices b.  A vertex b of more pairs than a
+    block may have is cut again, by a.
+    """
+    of_a = of_vertex.select(F.col("vertex").alias("a"), F.col("n").alias("n_a"), "component")
+    of_b = of_vertex.select(F.col("vertex").alias("b"), F.col("n").alias("n_b"))
+    sized = materialize(pairs.join(of_a, "a").join(of_b, "b"), "sized-pairs")
+    in_blocks = lambda column: F.ceil(F.col(column) / F.lit(_PAIRS_IN_A_PLACE)).cast("long")
+    blocks = sized.groupBy("component").agg(F.count(F.lit(1)).alias("pairs"))
+    blocks = materialize(blocks.select("component", in_blocks("pairs").alias("blocks")), "blocks")
+    # One row for every so many pairs at most.
+    heavy = sized.groupBy("b").agg(F.count(F.lit(1)).alias("pairs")).filter(F.col("pairs") > _PAIRS_IN_A_PLACE)
+    heavy = materialize(heavy.select("b", in_blocks("pairs").alias("cuts")), "heavy")
+    cut = F.pmod(F.xxhash64("a"), F.coalesce("cuts", F.lit(1)))
+    block = F.pmod(F.xxhash64("b", cut), F.col("blocks"))
+    return sized.join(F.broadcast(heavy), "b", "left").join(blocks, "component").withColumn("block", block).drop("cuts")
+
+
 def _places(pairs: DataFrame, vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, body, vertex, place, ranges)`` and ``(place, part, a, b, n_a, n_b)``.
+    """``(doc_id, body, vertex, places)`` and ``(place, block, part, a, b, n_a, n_b)``.
 
-    A component of the pairs with more grams than fit one place has a place of
-    its own for each of several ranges of hashes; smaller ones share places.
+    ``places`` are the structs (place, block, ranges) a set is needed in.  A
+    block of a component with more grams than fit one place has a place of its
+    own for each of several ranges of hashes; small components share places.
     """
     component = connected_components(pairs).withColumnRenamed("node", "vertex")
     of_vertex = materialize(vertices.select("vertex", "doc_id", "body", "n").join(component, "vertex"), "involved")
-    sizes = of_vertex.groupBy("component").agg(F.sum("n").alias("grams"))
+    blocked = materialize(_blocks(pairs, of_vertex), "blocked-pairs")
+    cut = blocked.filter("blocks > 1")
+    needs = [cut.select("component", "block", F.col(v).alias("vertex"), F.col(f"n_{v}").alias("n")) for v in "ab"]
+    uncut = of_vertex.join(cut.select("component").distinct(), "component", "left_anti")
+    needed = needs[0].unionByName(needs[1]).distinct()
+    needed = materialize(needed.unionByName(uncut.select("component", F.lit(0).cast("long").alias("block"), "vertex", "n")), "needed")
+    sizes = needed.groupBy("component", "block").agg(F.sum("n").alias("grams"))
+    counts = blocked.groupBy("component", "block").agg(F.count(F.lit(1)).alias("pairs"), F.max("blocks").alias("blocks"))
+    sizes = sizes.join(counts, ["component", "block"])
     sizes = materialize(sizes.withColumn("ranges", F.ceil(F.col("grams") / F.lit(_GRAMS_IN_A_PLACE)).cast("long")), "sizes")
-    shared = max(1, (sizes.agg(F.sum("grams")).first()[0] or 0) // _GRAMS_SHARING)
+    grams, n_pairs = sizes.filter("blocks = 1").agg(F.sum("grams"), F.sum("pairs")).first()
+    shared = max(1, (grams or 0) // _GRAMS_SHARING, (n_pairs or 0) // _PAIRS_IN_A_PLACE)
     # Shared places have numbers from 0, so those of large components are negative.
-    place = F.when(F.col("ranges") == 1, F.pmod("component", F.lit(shared))).otherwise(
+    place = F.when((F.col("ranges") == 1) & (F.col("blocks") == 1), F.pmod("component", F.lit(shared))).otherwise(
         -1 - F.col("component").bitwiseAND(F.lit((1 << 62) - 1))
     )
-    of_vertex = of_vertex.join(sizes.select("component", "ranges"), "component").withColumn("place", place)
-    of_vertex = materialize(of_vertex.select("doc_id", "body", "vertex", "n", "place", "ranges"), "in-places")
-    of_a = of_vertex.select(F.col("vertex").alias("a"), F.col("n").alias("n_a"), "place", "ranges")
-    of_b = of_vertex.select(F.col("vertex").alias("b"), F.col("n").alias("n_b"))
-    keyed = pairs.join(of_a, "a").join(of_b, "b").select(
-        "place", F.explode(F.sequence(F.lit(0), F.col("ranges") - 1)).alias("part"), "a", "b", "n_a", "n_b"
+    sizes = materialize(sizes.select("component", "block", "ranges", place.alias("place")), "block-places")
+    of_set = needed.join(sizes, ["component", "block"]).groupBy("vertex").agg(
+        F.collect_list(F.struct("place", "block", "ranges")).alias("places")
     )
-    return of_vertex.drop("n"), materialize(keyed, "keyed-pairs")
+    of_set = materialize(of_vertex.select("doc_id", "body", "vertex").join(of_set, "vertex"), "in-places")
+    keyed = blocked.join(sizes, ["component", "block"]).select(
+        "place", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ranges") - 1)).alias("part"), "a", "b", "n_a", "n_b"
+    )
+    return of_set, materialize(keyed, "keyed-pairs")
+
+
+def met_pairs(rows: DataFrame, known: DataFrame, percent: int, other_components: bool) -> DataFrame:
+    """Distinct pairs ``(a, b)`` of vertices that share a gram of ``rows(gram, vertex, n, pos, met)`` and may link.
+
+    ``met`` is how many rows the gram has.  Rows of a gram meet in blocks of
+    bounded size: both sides are cut by their vertices, and each block of one
+    side goes to every block of the other.  With ``other_components`` only
+    pairs between components of ``known(vertex, component, s0..s7)`` are met.
+    """
+    # A pair is met at the first gram it shares, as far as four earlier ones tell.
+    earlier = Window.partitionBy("vertex").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("earlier", F.array_compact(F.array(*[F.nth_value("gram", i).over(earlier) for i in range(1, 5)])))
+    rows = rows.join(known.select("vertex", "component", *_SKETCH), "vertex")
+    rows = rows.withColumn("cuts", F.ceil(F.col("met") / F.lit(_ROWS_THAT_MEET)).cast("long"))
+    rows = materialize(rows.withColumn("own", F.pmod(F.xxhash64("vertex"), F.col("cuts"))).drop("met"), "open-prefixes")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1))
+    sides = ["vertex", "n", "pos", "component", "earlier", *_SKETCH]
+    left = rows.select("gram", F.col("own").alias("i"), every.alias("j"), *sides)
+    right = rows.select("gram", every.alias("i"), F.col("own").alias("j"), *[F.col(c).alias(f"{c}_b") for c in sides])
+    met = left.join(right, ["gram", "i", "j"]).filter(F.col("vertex") < F.col("vertex_b"))
+    if other_components:
+        met = met.filter(F.col("component") != F.col("component_b"))
+    return _pairs(met.filter(_may_link(percent) & _sketches_may_link(percent) & ~F.arrays_overlap("earlier", "earlier_b")))
 
 
 def ngram_jaccard_join(docs: DataFrame, *, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -335,23 +409,9 @@ def ngram_jaccard_join(docs: DataFrame, *, words: int = 5, percent: int = 80) ->
     known = materialize(known.withColumn("component", F.coalesce("component", "vertex")), "known")
     placed = shared.select("gram", "vertex", "n", "pos").join(known.select("vertex", "component"), "vertex")
     placed = materialize(placed, "placed-prefixes")
-    spread = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_grams = materialize(spread.filter(F.col("low") < F.col("high")).select("gram"), "open-grams")
-    # A pair is met at the first gram it shares, as far as four earlier ones tell.
-    earlier = Window.partitionBy("vertex").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    open_rows = (
-        placed.join(open_grams, "gram", "left_semi")
-        .withColumn("earlier", F.array_compact(F.array(*[F.nth_value("gram", i).over(earlier) for i in range(1, 5)])))
-        .join(known.select("vertex", *_SKETCH), "vertex")
-    )
-    open_rows = materialize(open_rows, "open-prefixes")
-    sides = ["vertex", "n", "pos", "component", "earlier", *_SKETCH]
-    other = open_rows.select("gram", *[F.col(c).alias(f"{c}_b") for c in sides])
-    rest = _pairs(
-        open_rows.join(other, "gram")
-        .filter((F.col("vertex") < F.col("vertex_b")) & (F.col("component") != F.col("component_b")))
-        .filter(_may_link(percent) & _sketches_may_link(percent) & ~F.arrays_overlap("earlier", "earlier_b"))
-    )
+    spread = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("met"))
+    open_grams = materialize(spread.filter(F.col("low") < F.col("high")).select("gram", "met"), "open-grams")
+    rest = met_pairs(placed.drop("component").join(open_grams, "gram"), known, percent, other_components=True)
     rest = materialize(rest.join(tied, ["a", "b"], "left_anti"), "other-pairs")
     if rest.isEmpty():
         return members, links
