@@ -3,8 +3,8 @@
 The grams of a document are ordered by how often they occur in all documents,
 rarest first.  Two sets that are similar enough share a gram among their first
 few, so only those prefixes are joined.  Candidates of one prefix gram are tied
-to one hub each before anything else; what the hubs do not connect is compared
-pair by pair.
+to one hub each before anything else where only groups are wanted, and what the
+hubs do not connect is compared pair by pair; for all links every pair is.
 """
 
 from __future__ import annotations
@@ -376,17 +376,8 @@ def met_pairs(rows: DataFrame, known: DataFrame, percent: int, other_components:
     return _pairs(met.filter(_may_link(percent) & _sketches_may_link(percent) & ~F.arrays_overlap("earlier", "earlier_b")))
 
 
-def ngram_jaccard_join(docs: DataFrame, *, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Documents by set, and links between sets that connect all that is linked.
-
-    Returns ``members(doc_id, n_shingles, vertex, ...)``, one row per row of
-    ``docs``, and ``links(a, b)`` between vertices whose word n-gram sets have a
-    Jaccard similarity of ``percent`` or more.  Every link between different
-    sets is in ``links`` or lies within a component that ``links`` connects:
-    pairs whose ends are already connected through a hub are not compared.  A
-    null text, or one without words, has an empty set (n_shingles 0) and no
-    link.  Columns other than doc_id and text are ignored.
-    """
+def _shared_prefixes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members and vertices of ``docs``, and the prefix rows of grams that several vertices have."""
     members, frequencies = document_sets(docs, words)
     vertices = members.filter("n_shingles > 0").groupBy("vertex").agg(
         F.min(F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id"), "body")).alias("first"),
@@ -394,9 +385,61 @@ def ngram_jaccard_join(docs: DataFrame, *, words: int = 5, percent: int = 80) ->
         *[F.max(s).alias(s) for s in _SKETCH],
     )
     vertices = materialize(vertices.select("*", "first.*").drop("first"), "vertices")
-
     # A gram of one vertex pairs nothing: most rows end here, within one shuffle.
     shared = materialize(with_hub(prefixes(docs, words, percent, frequencies), "gram", "part"), "prefixes")
+    return members, vertices, shared
+
+
+def ngram_jaccard_join(docs: DataFrame, *, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """Documents by set, and all links between sets.
+
+    Returns ``members(doc_id, n_shingles, vertex, ...)``, one row per row of
+    ``docs``, and ``links(a, b)``: every pair a < b of vertices whose word n-gram
+    sets have a Jaccard similarity of ``percent`` or more.  Documents of equal
+    sets have one vertex, so their pairs are in ``members``.  A group of k
+    distinct near copies has up to k(k-1)/2 links, and all are compared; where
+    only the groups count, ``connecting_links`` has fewer.  A null text, or one
+    without words, has an empty set (n_shingles 0) and no link.  Columns other
+    than doc_id and text are ignored.
+    """
+    members, vertices, shared = _shared_prefixes(docs, words, percent)
+    met = materialize(shared.groupBy("gram").agg(F.count(F.lit(1)).alias("met")).filter("met > 1"), "shared-grams")
+    rows = shared.select("gram", "vertex", "n", "pos").join(met, "gram")
+    known = vertices.select("vertex", F.col("vertex").alias("component"), *_SKETCH)
+    pairs = materialize(met_pairs(rows, known, percent, other_components=False), "all-pairs")
+    return members, materialize(verified(docs, pairs, vertices, words, percent), "all-links")
+
+
+def link_counts(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
+    """``(doc_id, n_shingles, n_links)``, one row per row of ``docs``.
+
+    ``n_links`` counts the other rows whose sets are as similar as ``percent``,
+    equal ones included; that of an empty set is 0.
+    """
+    members, links = ngram_jaccard_join(docs, words=words, percent=percent)
+    copies = members.filter("n_shingles > 0").groupBy("vertex").agg(F.count(F.lit(1)).alias("copies"))
+    copies = materialize(copies, "set-sizes")
+    ends = links.select(F.col("a").alias("vertex"), F.col("b").alias("other")).unionByName(
+        links.select(F.col("b").alias("vertex"), F.col("a").alias("other"))
+    )
+    of_other = copies.select(F.col("vertex").alias("other"), F.col("copies").alias("rows"))
+    others = materialize(ends.join(of_other, "other").groupBy("vertex").agg(F.sum("rows").alias("others")), "link-counts")
+    counts = copies.join(others, "vertex", "left").select(
+        "vertex", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+    )
+    counted = members.select("doc_id", "n_shingles", "vertex").join(materialize(counts, "counts"), "vertex", "left")
+    n_links = F.when(F.col("n_shingles") > 0, F.col("n_links")).otherwise(F.lit(0).cast("long"))
+    return counted.select("doc_id", "n_shingles", n_links.alias("n_links"))
+
+
+def connecting_links(docs: DataFrame, *, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """As ``ngram_jaccard_join``, with links that connect all that is linked.
+
+    Every link between different sets is in ``links`` or lies within a
+    component that ``links`` connects: pairs whose ends are already connected
+    through a hub are not compared.
+    """
+    members, vertices, shared = _shared_prefixes(docs, words, percent)
     of_a = vertices.select(F.col("vertex").alias("a"), "n", *_SKETCH)
     of_b = vertices.select(F.col("vertex").alias("b"), F.col("n").alias("n_b"), *[F.col(s).alias(f"{s}_b") for s in _SKETCH])
     tied = materialize(hub_candidates(shared, percent), "hub-pairs")
@@ -425,7 +468,7 @@ def near_duplicate_groups(docs: DataFrame, *, words: int = 5, percent: int = 80)
     equal, non-empty sets are linked.  A document with an empty set is its own
     component.
     """
-    members, links = ngram_jaccard_join(docs, words=words, percent=percent)
+    members, links = connecting_links(docs, words=words, percent=percent)
     members = members.select("doc_id", "n_shingles", "vertex")
     component = connected_components(links)
     placed = members.join(component.withColumnRenamed("node", "vertex"), "vertex", "left").withColumn(
