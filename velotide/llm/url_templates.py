@@ -1,9 +1,9 @@
 """URL filter: a tree of path templates for each host, judged by labelled purity.
 
 Level by level, the segments under one template of a host are generalised: those
-that vary by nature or number become ``*``, and siblings whose labels do not
-differ significantly are merged into ``*`` too.  A template is rejected when its
-smoothed share of bad labels is high.
+that vary by nature, or by number without labels to tell them apart, become
+``*``, and labelled siblings whose shares do not differ significantly are merged
+into ``#``.  A template is rejected when its smoothed share of bad labels is high.
 """
 
 from __future__ import annotations
@@ -60,12 +60,16 @@ def templates(
 ) -> DataFrame:
     """``urls(..., host, path, bad)`` with ``template``; ``bad`` is 0, 1 or null where unlabelled.
 
-    A segment becomes ``*`` if it has a digit or 40 characters, if its parent
-    has more than ``max_children`` other segments, or if it is one of several
-    and its share of bad labels is within ``z`` standard errors of its
-    siblings', or has fewer than ``least_labelled`` labels on either side.  From
-    ``max_depth`` on the rest of a path is one segment.  Each level is a
-    grouping with partial sums and an equi-join on host, template and segment.
+    A segment becomes ``*`` if it has a digit or 40 characters.  Of several
+    segments, one with ``least_labelled`` labels or more becomes ``#`` if its
+    siblings have as many and its share of bad labels is within ``z`` standard
+    errors of theirs, and stays apart otherwise, however many there are.  One with
+    fewer labels shares no template with those: it stays apart too, or becomes
+    ``*`` if its parent has more than ``max_children`` segments (``?`` where
+    ``*`` has ``least_labelled`` labels by itself).  Neither ``#`` nor ``?`` can be
+    in a path.  From ``max_depth`` on the rest of a path is one segment.  Each
+    level is a grouping with partial sums and an equi-join on host, template and
+    segment.
     """
     parts = F.filter(F.split("path", "/"), lambda s: s != "")
     tail = F.array_join(F.slice(parts, max_depth, F.greatest(F.size(parts), F.lit(1))), "/")
@@ -79,34 +83,41 @@ def templates(
         rows = rows.withColumn("_segment", F.when(F.regexp_like(segment, F.lit(_VARIABLE)), "*").otherwise(segment))
         merged = materialize(_merged(rows.filter("_segment IS NOT NULL"), max_children, z, least_labelled), "merged")
         joined = rows.join(merged, ["host", "template", "_segment"], "left")
-        token = F.when(F.coalesce("_merge", F.lit(False)), "*").otherwise(F.col("_segment"))
+        token = F.coalesce("_token", "_segment")
         rows = materialize(
-            joined.withColumn("template", F.concat("template", F.coalesce(F.concat(F.lit("/"), token), F.lit("")))).drop("_segment", "_merge"),
+            joined.withColumn("template", F.concat("template", F.coalesce(F.concat(F.lit("/"), token), F.lit("")))).drop("_segment", "_token"),
             "level",
         )
     return rows.drop("_parts")
 
 
 def _merged(rows: DataFrame, max_children: int, z: float, least_labelled: int) -> DataFrame:
-    """``host, template, _segment, _merge`` of every segment under every template."""
+    """``host, template, _segment, _token`` of every segment under every template."""
     children = materialize(
         rows.groupBy("host", "template", "_segment").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("b")),
         "children",
     )
     parents = materialize(
         children.groupBy("host", "template").agg(
-            F.count(F.lit(1)).alias("children"), F.sum("n").alias("all_n"), F.sum("b").alias("all_b")
+            F.count(F.lit(1)).alias("children"),
+            F.sum("n").alias("all_n"),
+            F.sum("b").alias("all_b"),
+            F.max(F.when(F.col("_segment") == "*", F.col("n"))).alias("variable_n"),
         ),
         "parents",
     )
     rest_n, rest_b = F.col("all_n") - F.col("n"), F.col("all_b") - F.col("b")
-    pooled = F.col("all_b") / F.col("all_n")
-    error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n") + 1 / rest_n))
-    few = (F.col("n") < least_labelled) | (rest_n < least_labelled)
-    alike = F.when(few, True).otherwise(F.abs(F.try_divide("b", "n") - F.try_divide(rest_b, rest_n)) <= z * error)
-    safe = F.when(few, True).otherwise(alike)
-    merge = (F.col("children") > max_children) | ((F.col("children") > 1) & safe)
-    return children.join(parents, ["host", "template"]).select("host", "template", "_segment", merge.alias("_merge"))
+    pooled = F.try_divide("all_b", "all_n")
+    error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), "n") + F.try_divide(F.lit(1), rest_n)))
+    alike = F.abs(F.try_divide("b", "n") - F.try_divide(rest_b, rest_n)) <= z * error
+    labelled = F.col("n") >= least_labelled
+    sparse = F.when(F.coalesce("variable_n", F.lit(0)) >= least_labelled, "?").otherwise("*")
+    token = (
+        F.when(labelled & (rest_n >= least_labelled) & alike, "#")
+        .when(~labelled & (F.col("children") > max_children) & (F.col("_segment") != "*"), sparse)
+        .otherwise(F.col("_segment"))
+    )
+    return children.join(parents, ["host", "template"]).select("host", "template", "_segment", token.alias("_token"))
 
 
 def judged(
