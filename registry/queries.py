@@ -15,7 +15,7 @@ from velotide.functions.geo import haversine_m
 from velotide.operators import demand, enrich, features, pricing, reports, sampling, spatial, trips
 from velotide.operators.features import NOT_FEATURES, NOT_TRAINING_FEATURES, feature_columns
 from velotide.operators.lookup import demand_by_hour_of_day, lookup_demand
-from velotide.operators.models import draw_parameters, regression_metrics
+from velotide.operators.models import regression_metrics
 from velotide.operators.stock import running_stock, with_default_stock
 from velotide.plans import gold, serving, training
 from velotide.plans.bronze import run_bronze
@@ -505,4 +505,4 @@ def _train_summary(t: Tables) -> DataFrame:
 
 @query("param_search")
 def _param_search(t: Tables) -> DataFrame:
-    return training.search(t.silver_table, "rf", "bike", draws=draw_parameters("rf", 3))
+    return training.search(t.silver_table, "rf", "bike")
