@@ -65,9 +65,20 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share_percent: int, pass
 
 
 def shuffled(docs: DataFrame, seed: int) -> DataFrame:
-    """``(doc_id, source, size, run, ticket)``: a reproducible order, independent of partitions."""
+    """``(doc_id, source, size, ticket, body, row)``: a reproducible order, independent of partitions.
+
+    ``body`` is the text's hash, and ``row`` tells rows that are equal in all
+    that apart; the table is written before it is read.
+    """
     ticket = F.md5(F.concat(F.lit(f"{seed}/"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    return docs.select("doc_id", "source", word_count("text").alias("size"), ticket.alias("ticket"))
+    return docs.select(
+        "doc_id",
+        "source",
+        word_count("text").alias("size"),
+        ticket.alias("ticket"),
+        F.xxhash64("text").alias("body"),
+        F.monotonically_increasing_id().alias("row"),
+    )
 
 
 def with_finish(order: DataFrame, plan: DataFrame, passes: int, rows: int) -> DataFrame:
@@ -79,7 +90,7 @@ def with_finish(order: DataFrame, plan: DataFrame, passes: int, rows: int) -> Da
     """
     digits = max(1, min(8, -(-(max(rows // _ROWS_IN_A_RUN, 1)).bit_length() // 4)))
     cut = order.withColumn("run", F.substring("ticket", 1, digits)).withColumn("known", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
-    in_run = Window.partitionBy("known", "run").orderBy("ticket", "doc_id", "size")
+    in_run = Window.partitionBy("known", "run").orderBy("ticket", "doc_id", "size", "body", "row")
     runs = cut.groupBy("known", "run").agg(F.sum("size").alias("run_size"))
     earlier = Window.partitionBy("known").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("offset", F.coalesce(F.sum("run_size").over(earlier), F.lit(0))).drop("run_size")
@@ -90,7 +101,7 @@ def with_finish(order: DataFrame, plan: DataFrame, passes: int, rows: int) -> Da
     return (
         placed.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))))
         .withColumn("finish", (F.col("through") + F.col("copy") * F.col("source_size")) / F.when(F.col("target") > 0, F.col("target")))
-        .select("doc_id", "source", "size", "source_size", "target", "ticket", "copy", "finish")
+        .select("doc_id", "source", "size", "source_size", "target", "ticket", "body", "row", "copy", "finish")
     )
 
 
@@ -110,7 +121,7 @@ def within_budget(copies: DataFrame, budget: float) -> DataFrame:
     inside = copies.filter(_bin(bins) == edge)
     fine = bins / _BINS
     fine_edge, left = _edge(inside.groupBy(_bin(fine).alias("bin")), left)
-    order = Window.partitionBy("one").orderBy("finish", F.col("source").isNull(), "source", "ticket", "copy", "doc_id", "size")
+    order = Window.partitionBy("one").orderBy("finish", F.col("source").isNull(), "source", "ticket", "copy", "doc_id", "size", "body", "row")
     running = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
     cut_in = F.coalesce((_bin(bins) == edge) & (_bin(fine) == fine_edge), F.lit(False))
     whole = F.coalesce((_bin(bins) < edge) | ((_bin(bins) == edge) & (_bin(fine) < fine_edge)), F.lit(False))
@@ -134,15 +145,16 @@ def _edge(binned, budget: float) -> tuple[int, float]:
 def mix(
     docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share_percent: int = 150, passes: int = 2, seed: int = 0
 ) -> DataFrame:
-    """Every document once per pass: ``doc_id, source, size, source_size, target, copy, finish, in_mix``.
+    """Every row once per pass: ``doc_id, source, size, source_size, target, body, row, copy, finish, in_mix``.
 
     ``share_percent`` of all words is the total budget; see ``targets`` for the
     sources' parts.  A document has ``passes`` copies, so none is taken more
     often; copies with ``in_mix`` are the mix, in order of ``finish``.  Documents
     of size 0 take nothing; a source without words has target 0 and null finish
     times.  Reruns and other partitionings give the same rows; rows of one
-    doc_id are ordered by size.  Null sources are one source, the last.  Columns
-    other than doc_id, text and source are ignored.
+    doc_id are ordered by size and text, and each has its own copies, known by
+    ``row``.  Null sources are one source, the last.  Columns other than doc_id,
+    text and source are ignored.
     """
     order = materialize(shuffled(docs, seed), "tickets")
     totals = order.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
@@ -154,18 +166,36 @@ def mix(
 
 
 def taken_words(copies: DataFrame) -> DataFrame:
-    """One row per document of ``mix``: the words the mix takes of it, repeats counted."""
-    return copies.groupBy("doc_id", "source", "size", "source_size", "target", "ticket").agg(
+    """One row per row of the documents of ``mix``: the words the mix takes of it, repeats counted."""
+    return copies.groupBy("row", "doc_id", "source", "size", "source_size", "target").agg(
         F.sum(F.when(F.col("in_mix"), F.col("size")).otherwise(0)).alias("taken")
-    ).drop("ticket")
+    ).drop("row")
 
 
-def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
+def mixed_documents(docs: DataFrame, *, passes: int = 2, **settings) -> DataFrame:
     """The documents as often as the mix takes them, with their own columns.
 
-    Rows of one doc_id are taken alike, as often as the first of them.
+    Rows are found again by doc_id, source and text.  Where the mix takes some
+    of several rows that are equal in these more often than others (a few at the
+    ends of passes), a hash of all columns decides which.
     """
-    taken = mix(docs, **settings).filter("in_mix").groupBy("doc_id").agg((F.max("copy") + 1).alias("_times"))
-    taken = materialize(taken.withColumnRenamed("doc_id", "_key"), "times")
-    repeated = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_key")))
-    return repeated.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    key = ["doc_id", "source", "body"]
+    of_row = mix(docs, passes=passes, **settings).groupBy("row", *key).agg(F.count_if("in_mix").alias("times"))
+    least, most = F.min("times").alias("_least"), F.max("times").alias("_times")
+    # How many of the rows are taken once or more, twice or more, and so on.
+    often = F.array(*[F.count_if(F.col("times") >= t) for t in range(1, passes + 1)]).alias("_often")
+    of_key = of_row.groupBy(*key).agg(least, most, often).filter("_times > 0")
+    of_key = materialize(of_key.withColumnsRenamed({c: f"_{c}" for c in key}), "times")
+    fits = F.xxhash64(docs["text"]) == F.col("_body")
+    for c in ("doc_id", "source"):
+        fits &= docs[c].eqNullSafe(F.col(f"_{c}"))
+    repeated = docs.join(of_key.filter("_least = _times"), fits).select(*docs.columns, "_times")
+    uneven = of_key.filter("_least < _times")
+    if not uneven.isEmpty():
+        hashed = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+        within = Window.partitionBy("_doc_id", "_source", "_body").orderBy(F.xxhash64(*hashed))
+        some = docs.join(F.broadcast(uneven), fits).withColumn("_nth", F.row_number().over(within))
+        some = some.withColumn("_times", F.size(F.filter("_often", lambda n: n >= F.col("_nth"))).cast("long"))
+        repeated = repeated.unionByName(some.filter("_times > 0").select(*docs.columns, "_times"))
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))
+    return repeated.withColumn("_again", again).select(*docs.columns)
