@@ -92,9 +92,9 @@ def op8_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path(PIECES)
-    trip = sentence_pieces.round_trip("doc_id", octets("text"), model, keep_ids=False)
+    trip = sentence_pieces.round_trip("doc_id", octets("text"), model)
     cut = table(spark, sf_dir, "documents").select("doc_id", trip.alias("d"))
-    return cut.select("doc_id", "d.n_pieces", "d.ids_crc32", "d.lossless")
+    return cut.select("doc_id", "d.piece_ids", "d.n_pieces", "d.ids_crc32", "d.lossless")
 
 
 def op10_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
