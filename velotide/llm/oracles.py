@@ -109,9 +109,107 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM original
 """
 
+OP11 = r"""
+WITH tokens AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), postings AS (
+  SELECT doc_id, term, count(*) AS tf FROM tokens GROUP BY ALL
+), lengths AS (
+  SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM postings GROUP BY doc_id
+), totals AS (
+  SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM lengths
+), strata AS (
+  SELECT doc_id, 75 + (25 * n * big_n) // big_l AS m FROM lengths, totals
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, totals GROUP BY term, big_n
+), asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT a.item_id, p.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked a JOIN postings p USING (term) JOIN weights USING (term) JOIN strata s ON s.doc_id = p.doc_id
+  GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+OP12 = r"""
+WITH RECURSIVE bits AS (
+  SELECT range AS b, list_reduce(list_prepend(range, [0, 0, 0, 0, 0, 0, 0, 0]),
+                                 lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS c
+  FROM range(256)
+), crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM bits
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+  FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*) AS n, hex(encode(concat(CAST(doc_id AS VARCHAR), ':', run))) AS digits
+  FROM runs GROUP BY ALL
+), summed AS (
+  SELECT run, n,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+                         list_transform(range(len(digits) // 2), lambda i: CAST(concat('0x', digits[2 * i + 1 : 2 * i + 2]) AS BIGINT))),
+                         lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) AS h
+  FROM counted, crc_table
+), edited AS (
+  SELECT CASE WHEN h % 97 = 0 THEN concat(substr(run, 1, h % length(run)), substr(run, h % length(run) + 2)) ELSE run END AS word, n
+  FROM summed
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM edited GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3
+), cuts AS (
+  SELECT word, n, i, concat(substr(word, 1, i), substr(word, i + 2)) AS rest
+  FROM words, LATERAL (SELECT unnest(range(length(word))) AS i)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS form, max(other_n) AS form_n
+  FROM near GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN form_n >= 2 * n THEN form END AS form, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word
+), chain AS (
+  SELECT word, word AS root, form AS following FROM forms
+  UNION ALL
+  SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON f.word = c.following
+)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, c.root
+FROM forms f JOIN chain c ON c.word = f.word WHERE c.following IS NULL
+"""
+
+OP13 = r"""
+WITH usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM usable q JOIN usable c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard_join": OP2,
     "op3_pivot_range_join": OP3,
     "op4_warc_normaliser": OP4,
     "op10_weighted_fair_mix": OP10,
+    "op11_stratified_search": OP11,
+    "op12_spelling_variants": OP12,
+    "op13_one_bit_neighbours": OP13,
 }

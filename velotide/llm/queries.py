@@ -12,10 +12,13 @@ from velotide.llm import (
     embedding_join,
     fingerprints,
     language,
+    lexical_search,
     mixing,
     ngram_join,
+    one_bit_search,
     resharding,
     sentence_pieces,
+    spelling,
     url_templates,
     warc,
     wavelet,
@@ -101,6 +104,20 @@ def op10_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+def op11_stratified_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
+def op13_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return one_bit_search.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
