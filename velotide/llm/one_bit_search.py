@@ -192,11 +192,12 @@ def nearest(
     blocks = materialize(coded_blocks(usable_vectors(rows, id_column, vector), block_vectors), "coded")
     groups = materialize(query_groups(materialize(usable_vectors(queries, id_column, vector), "queries"), query_bytes), "groups")
     found = None
-    for number in sorted(r["group"] for r in groups.select("group").collect()):
-        # At most query_bytes of vectors.
-        row = groups.filter(F.col("group") == number).first()
-        shared = spark.sparkContext.broadcast((number, row["dim"], bytes(row["ids"]), bytes(row["vectors"])))
-        met = materialize(_met(blocks.filter(F.col("dim") == row["dim"]), shared, k, errors), "met")
+    for number, (dim, members) in enumerate(_together(groups, query_bytes)):
+        # At most query_bytes of vectors, or a single group.
+        packed = groups.filter(F.col("group").isin(members)).orderBy("group").select("ids", "vectors").collect()
+        bodies = [b"".join(bytes(row[c]) for row in packed) for c in ("ids", "vectors")]
+        shared = spark.sparkContext.broadcast((number, dim, *bodies))
+        met = materialize(_met(blocks.filter(F.col("dim") == dim), shared, k, errors), "met")
         shared.destroy()
         found = met if found is None else found.unionByName(met)
     if found is None:
@@ -206,6 +207,23 @@ def nearest(
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
+def _together(groups: DataFrame, query_bytes: int) -> Iterator[tuple[int, list[int]]]:
+    """Groups that are sent in one go: of one length and ``query_bytes`` at most together.
+
+    Only their sizes reach the driver here.
+    """
+    sizes = groups.select("dim", "group", F.length("vectors").alias("size")).collect()
+    members, total, dim = [], 0, None
+    for row in sorted(sizes):
+        if members and (row["dim"] != dim or total + row["size"] > query_bytes):
+            yield dim, members
+            members, total = [], 0
+        dim, total = row["dim"], total + row["size"]
+        members.append(row["group"])
+    if members:
+        yield dim, members
+
+
 def _met(blocks: DataFrame, shared, k: int, errors: float) -> DataFrame:
     """The k best of every task for each query of the group."""
 
