@@ -43,8 +43,8 @@ _BLOCK = pa.schema(
         ("chunk", pa.int64()),
         ("doc_ids", pa.list_(pa.int64())),
         ("terms", pa.list_(pa.string())),
-        ("tops", pa.list_(pa.int64())),
-        ("starts", pa.list_(pa.int64())),
+        ("tops", pa.list_(pa.int32())),
+        ("starts", pa.binary()),
         ("places", pa.binary()),
         ("tfs", pa.binary()),
     ]
@@ -74,7 +74,7 @@ def term_counts(rows: DataFrame, key: str, text: str) -> DataFrame:
         def flushed() -> pa.RecordBatch:
             offsets = np.cumsum([0, *(len(w[3]) for w in waiting)]).astype(np.int32)
             terms = pa.array([t for w in waiting for t in w[3]], pa.binary()).cast(pa.string())
-            tfs = pa.array([c for w in waiting for c in w[3].values()], pa.int64())
+            tfs = pa.array([c for w in waiting for c in w[3].values()], pa.int32())
             columns = [pa.array([w[i] for w in waiting], t) for i, t in enumerate((key_type, pa.int64(), pa.int64()))]
             lists = [pa.ListArray.from_arrays(offsets, values) for values in (terms, tfs)]
             return pa.RecordBatch.from_arrays([*columns, *lists], ["key", "salt", "n", "terms", "tfs"])
@@ -94,7 +94,7 @@ def term_counts(rows: DataFrame, key: str, text: str) -> DataFrame:
 
     slim = rows.select(F.col(key).alias("key"), octets(text).alias("body"))
     kind = slim.schema["key"].dataType.simpleString()
-    return slim.mapInArrow(counted, f"key {kind}, salt long, n long, terms array<string>, tfs array<long>")
+    return slim.mapInArrow(counted, f"key {kind}, salt long, n long, terms array<string>, tfs array<int>")
 
 
 def normaliser(n: str, documents: int, occurrences: int) -> Column:
@@ -119,7 +119,7 @@ def build_index(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text
     )
     dealt = placed.join(strata, "m").select("m", F.pmod("salt", "chunks").alias("chunk"), "doc_id", "terms", "tfs")
     dealt = dealt.repartition("m", "chunk").sortWithinPartitions("m", "chunk", F.asc_nulls_last("doc_id"))
-    blocks = materialize(dealt.mapInArrow(_inverted, "m long, chunk long, doc_ids array<long>, terms array<string>, tops array<long>, starts array<long>, places binary, tfs binary"), "blocks")
+    blocks = materialize(dealt.mapInArrow(_inverted, "m long, chunk long, doc_ids array<long>, terms array<string>, tops array<int>, starts binary, places binary, tfs binary"), "blocks")
     return Index(blocks, terms, total["N"], total["L"])
 
 
@@ -142,13 +142,17 @@ def _inverted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _block(key, parts)
 
 
+def _place_type(documents: int) -> type:
+    return np.uint16 if documents <= 1 << 16 else np.int32
+
+
 def _block(key: tuple[int, int], parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     rows = pa.Table.from_batches(parts).combine_chunks()
     lists = rows.column("terms").combine_chunks()
     doc = np.repeat(np.arange(len(rows), dtype=np.int32), pc.list_value_length(lists).to_numpy())
     coded = pc.list_flatten(lists).dictionary_encode()
     code = coded.indices.to_numpy()
-    tf = pc.list_flatten(rows.column("tfs").combine_chunks()).to_numpy()
+    tf = pc.list_flatten(rows.column("tfs").combine_chunks()).to_numpy().astype(np.int64)
     order = np.lexsort((doc, -tf, code))
     starts = np.concatenate(([0], np.cumsum(np.bincount(code, minlength=len(coded.dictionary)))))
     tf = tf[order]
@@ -159,9 +163,9 @@ def _block(key: tuple[int, int], parts: list[pa.RecordBatch]) -> pa.RecordBatch:
             pa.array([key[1]]),
             pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
             pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary),
-            pa.array([tf[starts[:-1]]], pa.list_(pa.int64())),
-            pa.array([starts], pa.list_(pa.int64())),
-            pa.array([doc[order].tobytes()], pa.binary()),
+            pa.array([tf[starts[:-1]]], pa.list_(pa.int32())),
+            pa.array([starts.astype(np.int32).tobytes()], pa.binary()),
+            pa.array([doc[order].astype(_place_type(len(rows))).tobytes()], pa.binary()),
             pa.array([tf.astype(np.int32).tobytes()], pa.binary()),
         ],
         schema=_BLOCK,
@@ -192,7 +196,9 @@ def _visited(index: Index, visits: DataFrame, payload: DataFrame, batches: int,
         "m", "chunk", F.pmod(F.xxhash64("item"), F.lit(batches)).alias("together")
     )
     asking = asking.agg(F.collect_list(F.struct("item", "least", "terms", "weights")).alias("queries"))
-    rows = index.blocks.drop("tops").join(asking.hint("shuffle_hash"), ["m", "chunk"]).drop("chunk", "together")
+    # Blocks nobody visits stay where they are.
+    wanted = index.blocks.drop("tops").join(visits.select("m", "chunk").distinct(), ["m", "chunk"], "left_semi")
+    rows = wanted.join(asking.hint("shuffle_hash"), ["m", "chunk"]).drop("chunk", "together")
 
     def scored(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
@@ -206,8 +212,8 @@ def _scores(row: pa.RecordBatch, k: int) -> Iterator[pa.RecordBatch]:
     """Scores of one block for the items that visit it."""
     m = row.column("m")[0].as_py()
     ids = row.column("doc_ids").flatten()
-    starts = row.column("starts").flatten().to_numpy()
-    places, tfs = (np.frombuffer(row.column(c)[0].as_buffer(), np.int32) for c in ("places", "tfs"))
+    kept_as = {"starts": np.int32, "places": _place_type(len(ids)), "tfs": np.int32}
+    starts, places, tfs = (np.frombuffer(row.column(c)[0].as_buffer(), kind) for c, kind in kept_as.items())
     kinds, which = np.unique(tfs, return_inverse=True)
     kinds = kinds.astype(np.int64)
     impacts = ((1_000_000_000 * kinds) // (1000 * kinds + 12 * m))[which]
