@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,22 +27,35 @@ def demand_by_hour_of_day(history: DataFrame) -> DataFrame:
     )
 
 
-def lookup_demand(requests: DataFrame, history: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class DemandIndex:
+    """What the cascade looks up: one row a station and hour, and one an hour of day (24 at most)."""
+
+    by_station: DataFrame
+    by_hour: DataFrame
+
+
+def demand_index(history: DataFrame) -> DemandIndex:
+    """The index of any table of station-hours, as plans: both aggregate when they are used."""
+    return DemandIndex(demand_by_station_hour(history), demand_by_hour_of_day(history))
+
+
+def lookup_demand(requests: DataFrame, history: DataFrame | DemandIndex) -> DataFrame:
     """Adds predicted_bike_demand and predicted_dock_demand to ``requests``.
 
     ``requests`` has station_id and asked_at; ``history`` is any table of
-    station-hours.  The mean of the station at that very hour is used, else the
-    mean of all stations at that hour of day, else the heuristic.
+    station-hours, or the index of one.  The mean of the station at that very
+    hour is used, else the mean of all stations at that hour of day, else the
+    heuristic.
     """
+    index = history if isinstance(history, DemandIndex) else demand_index(history)
     keyed = requests.withColumns(
         {"event_hour": hour_of(F.col("asked_at")), "hour_of_day": F.hour("asked_at")}
     )
-    by_station = demand_by_station_hour(history)
-    by_hour = F.broadcast(demand_by_hour_of_day(history))
     bikes, docks = heuristic_demand(F.col("asked_at"))
     return (
-        left_join_hot_keys(keyed, by_station, ["station_id", "event_hour"])
-        .join(by_hour, "hour_of_day", "left")
+        left_join_hot_keys(keyed, index.by_station, ["station_id", "event_hour"])
+        .join(F.broadcast(index.by_hour), "hour_of_day", "left")
         .withColumns(
             {
                 "predicted_bike_demand": F.coalesce("station_bikes", "hour_bikes", bikes),
@@ -51,13 +66,13 @@ def lookup_demand(requests: DataFrame, history: DataFrame) -> DataFrame:
     )
 
 
-def lookup_horizon(requests: DataFrame, history: DataFrame, start: Column, hours: int) -> DataFrame:
+def lookup_horizon(requests: DataFrame, history: DataFrame | DemandIndex, start: Column, hours: int) -> DataFrame:
     """Adds demands: the cascade for each hour of a horizon shared by all rows.
 
     ``demands`` is an array of (event_hour, bike_demand, dock_demand), so a
     request stays one row: only the station is joined, the history is filtered
     to the horizon in the scan, and the 24 means by hour of day are a single
-    value.
+    value.  An index needs no aggregate of the hours but the one by station.
     """
     end = start + F.make_dt_interval(hours=F.lit(hours - 1))
     horizon = F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))
@@ -67,12 +82,16 @@ def lookup_horizon(requests: DataFrame, history: DataFrame, start: Column, hours
         return F.map_from_entries(F.collect_list(F.struct(key, value)))
 
     # At most one entry per hour of the horizon.
+    ahead = F.col("event_hour").between(start, end)
+    if isinstance(history, DemandIndex):
+        at_hours, any_hours = history.by_station.where(ahead), history.by_hour
+    else:
+        at_hours, any_hours = demand_by_station_hour(history.where(ahead)), demand_by_hour_of_day(history)
     by_station = (
-        demand_by_station_hour(history.where(F.col("event_hour").between(start, end)))
-        .groupBy("station_id")
+        at_hours.groupBy("station_id")
         .agg(as_map("event_hour", "station_bikes", "station_docks").alias("_at_station"))
     )
-    by_hour = demand_by_hour_of_day(history).agg(as_map("hour_of_day", "hour_bikes", "hour_docks"))
+    by_hour = any_hours.agg(as_map("hour_of_day", "hour_bikes", "hour_docks"))
 
     def demand(ts: Column) -> Column:
         own = F.try_element_at(F.col("_at_station"), ts)

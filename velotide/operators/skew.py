@@ -22,15 +22,24 @@ def _code(keys: list[str]) -> Column:
     return F.xxhash64(*keys)
 
 
+def _key_use(rows: DataFrame, keys: list[str]) -> tuple[list[int], int]:
+    """Codes of hot keys and the number of rows without a key, in one pass."""
+    sketch = f"approx_top_k(_code, {HOT_KEYS}, {_FOLLOWED})"
+    codes = rows.select(F.when(~_keyless(keys), _code(keys)).alias("_code"))
+    found = codes.agg(F.expr(f"{sketch} FILTER (WHERE _code IS NOT NULL)").alias("top"), F.count(F.lit(1)).alias("all"),
+                      F.count_if(F.col("_code").isNull()).alias("keyless")).first()
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A key is hot if its rows alone are more than an average partition's.
+    return [e["item"] for e in found["top"] or [] if e["count"] * partitions > found["all"]], found["keyless"]
+
+
 def hot_key_codes(rows: DataFrame, keys: list[str]) -> list[int]:
-    """Codes of keys that stand out, at most ``HOT_KEYS``.
+    """Codes of keys with more rows than an average shuffle partition, at most ``HOT_KEYS``.
 
     An action: one pass over the keys with a frequent-items sketch, whose size
     does not depend on the number of rows or keys.
     """
-    sketch = f"approx_top_k(_code, {HOT_KEYS}, {_FOLLOWED})"
-    codes = rows.where(~_keyless(keys)).select(_code(keys).alias("_code"))
-    return [entry["item"] for entry in codes.agg(F.expr(sketch).alias("top")).first()["top"] or []]
+    return _key_use(rows, keys)[0]
 
 
 def left_join_hot_keys(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
@@ -39,11 +48,15 @@ def left_join_hot_keys(rows: DataFrame, table: DataFrame, keys: list[str]) -> Da
     Rows of hot keys are joined by broadcast with the few table rows they need
     and are not shuffled; the others are shuffled on the keys.  Every row takes
     exactly one of the two ways, whichever keys are found hot, so the result is
-    that of the plain join.  Looking for hot keys is an action on ``rows``.
+    that of the plain join.  Without hot keys and rows without a key it is the
+    plain join.  Looking for them is an action on ``rows``.
     """
+    codes, without_key = _key_use(rows, keys)
+    if not codes and not without_key:
+        return rows.join(table, keys, "left")
     # A row without a key matches nothing; it need not be shuffled either.
     keyless = _keyless(keys)
-    hot = _code(keys).isin(hot_key_codes(rows, keys))
+    hot = _code(keys).isin(codes)
     wanted = table.where(hot & ~keyless)
     on_hot = rows.where(hot | keyless).join(F.broadcast(wanted), keys, "left")
     on_rest = rows.where(~hot & ~keyless).join(table, keys, "left")

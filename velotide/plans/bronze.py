@@ -16,6 +16,7 @@ from velotide.schemas import DEMAND_COLUMNS
 from velotide.session import shuffle_sized_for
 from velotide.sources.parquet import read_parquet, write_parquet
 from velotide.sources.scratch import materialized
+from velotide.sources.trips import CORRUPT_LINE
 
 
 def demand_trips(raw: DataFrame) -> DataFrame:
@@ -33,7 +34,8 @@ def run_bronze(spark: SparkSession, raw_path: str, trips_path: str, stations_pat
     """
     seen = Observation("bronze_input")
     unreadable = F.col("started_at").isNull() | F.col("ended_at").isNull()
-    parsed = parse_trip_times(read_parquet(spark, raw_path)).observe(
+    raw = read_parquet(spark, raw_path).drop(CORRUPT_LINE)
+    parsed = parse_trip_times(raw).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.count_if(unreadable).alias("unreadable")
     )
     with (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velotide.functions.calendar import REQUEST_TIME_FORMAT, REQUEST_TIME_PATTERN, hour_of, parse_time
-from velotide.operators.lookup import lookup_demand, lookup_horizon
+from velotide.operators.lookup import DemandIndex, lookup_demand, lookup_horizon
 from velotide.operators.pricing import decide_prices
 from velotide.operators.stock import running_stock, walk_demands, with_default_stock
 
@@ -45,7 +45,7 @@ def checked_requests(requests: DataFrame) -> DataFrame:
     )
 
 
-def answer_requests(requests: DataFrame, history: DataFrame) -> DataFrame:
+def answer_requests(requests: DataFrame, history: DataFrame | DemandIndex) -> DataFrame:
     """One answer per request: the eight response columns and error.
 
     A refused request keeps its row, with the error and no price.
@@ -60,7 +60,7 @@ def answer_requests(requests: DataFrame, history: DataFrame) -> DataFrame:
     return answers.withColumns(priced).select("request_id", *RESPONSE, "error")
 
 
-def forecast(requests: DataFrame, history: DataFrame, as_of: str) -> DataFrame:
+def forecast(requests: DataFrame, history: DataFrame | DemandIndex, as_of: str) -> DataFrame:
     """24 hourly decisions per request from the hour of ``as_of`` on.
 
     Stock moves with the predicted demand from hour to hour.

@@ -9,7 +9,7 @@ from velotide.operators.enrich import with_capacity, with_holiday, with_weather
 from velotide.operators.spatial import match_stations
 from velotide.operators.trips import trip_events
 from velotide.session import shuffle_sized_for
-from velotide.sources.parquet import read_parquet, write_parquet
+from velotide.sources.parquet import path_exists, read_parquet, write_parquet
 from velotide.sources.scratch import materialized
 from velotide.sources.station_feed import read_station_feed
 from velotide.sources.weather import read_weather
@@ -40,7 +40,8 @@ def run_silver(
     matches = match_stations(
         read_parquet(spark, stations_path), read_station_feed(spark, feed_path), max_distance_m
     )
-    weather = read_weather(spark, weather_path) if weather_path else None
+    # Without a weather file the stage is left out.
+    weather = read_weather(spark, weather_path) if weather_path and path_exists(spark, weather_path) else None
     # As a written table its size is known when the plan is made, so a small one
     # is broadcast and the station-hours are not shuffled for it.
     with materialized(matches, "capacities") as capacities, shuffle_sized_for(spark, trips_path):

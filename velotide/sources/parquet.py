@@ -3,6 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+
+def located(spark: SparkSession, path: str):
+    """Hadoop file system and path of any address Spark reads."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, jvm_path = located(spark, path)
+    return fs.exists(jvm_path)
+
+
+def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``; where nothing is, a table of ``schema`` without rows."""
+    return read_parquet(spark, path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
