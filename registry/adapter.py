@@ -16,12 +16,14 @@ from velotide.functions.calendar import TRIP_TIME_FORMAT
 from velotide.operators.demand import hourly_demand
 from velotide.operators.pricing import price_station_hours
 from velotide.operators.spatial import match_stations
-from velotide.operators.trips import clean_trips, station_dimension, trip_events
+from velotide.operators.lookup import DemandIndex
+from velotide.operators.trips import clean_trips, station_dimension, trip_events, without_station_attributes
 from velotide.plans.bronze import demand_trips
 from velotide.plans.silver import silver_hours
 from velotide.schemas import RAW_TRIPS
 from velotide.session import configure
-from velotide.sources.scratch import materialize
+from velotide.sources.demand_index import write_demand_index
+from velotide.sources.scratch import materialize, scratch_path
 
 # 2024-01-01 plus this many days is 2026-01-01: two listed holidays fall in.
 DAY_SHIFT = 731
@@ -107,6 +109,11 @@ class Tables:
         """Clean trips, narrowed to what demand needs."""
         return demand_trips(self.raw)
 
+    @cached_property
+    def bronze(self) -> DataFrame:
+        """Clean trips as the bronze job leaves them: de-duplicated once, written."""
+        return materialize(self.clean, "bronze")
+
     @cached_property
     def stations(self) -> DataFrame:
         return station_dimension(self.clean)
@@ -174,7 +181,8 @@ class Tables:
 
     @cached_property
     def matches(self) -> DataFrame:
-        return match_stations(self.stations, self.feed)
+        stations = materialize(station_dimension(self.bronze), "stations")
+        return match_stations(stations, materialize(self.feed, "feed"))
 
     @cached_property
     def capacities(self) -> DataFrame:
@@ -182,7 +190,7 @@ class Tables:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return silver_hours(self.trips, self.capacities, self.weather)
+        return silver_hours(without_station_attributes(self.bronze), self.capacities, self.weather)
 
     @cached_property
     def silver_table(self) -> DataFrame:
@@ -197,27 +205,36 @@ class Tables:
             hourly.select("station_id", "event_hour", "bike_demand", "dock_demand"), "hourly"
         )
 
+    @cached_property
+    def demand_index(self) -> DemandIndex:
+        """The stored index of that history."""
+        return write_demand_index(self.hourly_table, scratch_path(self.spark, "demand-index"))
+
     @cached_property
     def priced(self) -> DataFrame:
         return price_station_hours(self.silver)
 
     @cached_property
     def price_requests(self) -> DataFrame:
-        """A request per event; a third of them ask for one station and hour."""
+        """A request per event; a third of them ask for one station and hour.
+
+        Some write their time with single digits, some leave stock or capacity out.
+        """
         e, u = F.col("event_id"), F.col("user_id")
         hot = e % 3 == 0
         station = (
             F.when(hot, "7.10").when(e % 10 == 4, "nowhere").otherwise(station_id(u * 3 % 23))
         )
-        asked = F.date_format(F.col("started") + F.make_dt_interval(hours=F.lit(1)), "yyyy-MM-dd HH:mm")
+        later = F.col("started") + F.make_dt_interval(hours=F.lit(1))
+        asked = F.when(e % 101 == 7, F.date_format(later, "yyyy-M-d H:m")).otherwise(F.date_format(later, "yyyy-MM-dd HH:mm"))
         return self.events.select(
             e.alias("request_id"),
             station.alias("station_id"),
             F.when(e % 97 == 5, "tomorrow").when(hot, "2026-01-15 08:00").otherwise(asked).alias("timestamp"),
             F.lit(False).alias("is_holiday"),
-            (e % 20).cast("int").alias("available_bikes"),
-            (F.floor(e / 3) % 17).cast("int").alias("available_docks"),
-            F.lit(50).alias("capacity"),
+            F.when(e % 20 != 19, (e % 20).cast("int")).alias("available_bikes"),
+            F.when(F.floor(e / 3) % 17 != 16, (F.floor(e / 3) % 17).cast("int")).alias("available_docks"),
+            F.when(e % 4 != 1, 50).alias("capacity"),
         )
 
     @cached_property
@@ -227,7 +244,7 @@ class Tables:
         return self.events.select("user_id").distinct().select(
             u.alias("request_id"),
             F.when(u % 9 == 4, "nowhere").otherwise(station_id(u % 25)).alias("station_id"),
-            (u % 30 + 10).cast("int").alias("capacity"),
-            (u % 18).cast("int").alias("available_bikes"),
-            F.lit(15).alias("available_docks"),
+            F.when(u % 13 != 5, (u % 30 + 10).cast("int")).alias("capacity"),
+            F.when(u % 18 != 17, (u % 18).cast("int")).alias("available_bikes"),
+            F.when(u % 11 != 2, 15).alias("available_docks"),
         )

@@ -8,7 +8,16 @@ code, as a chain of common table expressions.
 from __future__ import annotations
 
 from registry.adapter import AS_OF, DAY_SHIFT
-from velotide.sources.holidays import HOLIDAYS
+
+# Federal holidays by calendar date, stated independently of the engine.
+_HOLIDAYS = [
+    "2025-01-01", "2025-01-20", "2025-02-17", "2025-05-26", "2025-06-19", "2025-07-04",
+    "2025-09-01", "2025-10-13", "2025-11-11", "2025-11-27", "2025-12-25",
+    "2026-01-01", "2026-01-19", "2026-02-16", "2026-05-25", "2026-06-19", "2026-07-04",
+    "2026-09-07", "2026-10-12", "2026-11-11", "2026-11-26", "2026-12-25",
+    "2027-01-01", "2027-01-18", "2027-02-15", "2027-05-31", "2027-06-19", "2027-07-04",
+    "2027-09-06", "2027-10-11", "2027-11-11", "2027-11-25", "2027-12-25",
+]
 
 # name -> (tables it reads, SQL body); insertion order is dependency order.
 _VIEWS: dict[str, str] = {}
@@ -172,7 +181,7 @@ SELECT s.station_id, CAST(coalesce(r.capacity, 0) AS INTEGER) AS capacity, r.sta
 FROM station s LEFT JOIN ranked r
   ON r.station_id = s.station_id AND r.rn = 1 AND r.deg <= 100e0 / 111000e0 AND r.metres <= 100e0"""
 
-_VIEWS["holiday"] = "SELECT * FROM (VALUES " + ", ".join(f"(DATE '{d}')" for d in HOLIDAYS) + ") h(holiday_date)"
+_VIEWS["holiday"] = "SELECT * FROM (VALUES " + ", ".join(f"(DATE '{d}')" for d in _HOLIDAYS) + ") h(holiday_date)"
 
 _CALENDAR = """
   CAST(year(event_hour) AS INTEGER) AS year, CAST(month(event_hour) AS INTEGER) AS month,
@@ -273,10 +282,12 @@ _VIEWS["request"] = """
 SELECT e AS request_id,
   CASE WHEN e % 3 = 0 THEN '7.10' WHEN e % 10 = 4 THEN 'nowhere' ELSE (u * 3 % 23) || '.10' END AS station_id,
   CASE WHEN e % 97 = 5 THEN 'tomorrow' WHEN e % 3 = 0 THEN '2026-01-15 08:00'
+    WHEN e % 101 = 7 THEN strftime(started + INTERVAL 1 HOUR, '%Y-%-m-%-d %-H:%-M')
     ELSE strftime(started + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M') END AS timestamp,
   CASE WHEN e % 97 = 5 THEN NULL WHEN e % 3 = 0 THEN TIMESTAMP '2026-01-15 08:00:00'
     ELSE date_trunc('minute', started + INTERVAL 1 HOUR) END AS asked_at,
-  CAST(e % 20 AS INTEGER) AS available_bikes, CAST(e // 3 % 17 AS INTEGER) AS available_docks
+  CAST(CASE WHEN e % 20 = 19 THEN 15 ELSE e % 20 END AS INTEGER) AS available_bikes,
+  CAST(CASE WHEN e // 3 % 17 = 16 THEN 15 ELSE e // 3 % 17 END AS INTEGER) AS available_docks
 FROM ev"""
 
 _VIEWS["by_hour"] = """
@@ -285,7 +296,8 @@ FROM hourly GROUP BY ALL"""
 
 _VIEWS["forecast_request"] = """
 SELECT DISTINCT u AS request_id, CASE WHEN u % 9 = 4 THEN 'nowhere' ELSE (u % 25) || '.10' END AS station_id,
-  u % 30 + 10 AS capacity, u % 18 AS start_bikes, CAST(15 AS BIGINT) AS start_docks
+  CASE WHEN u % 13 = 5 THEN 50 ELSE u % 30 + 10 END AS capacity,
+  CASE WHEN u % 18 = 17 THEN 15 ELSE u % 18 END AS start_bikes, CAST(15 AS BIGINT) AS start_docks
 FROM ev"""
 
 _LEVEL = "CASE WHEN hour({t}) IN (7, 8, 9, 17, 18, 19) THEN 25e0 ELSE 10e0 END"
@@ -353,6 +365,10 @@ _GOLD_FEATURES = [
 ]
 _TRAINING_FEATURES = [c for c in _GOLD_FEATURES if c != "capacity"]
 
+_VIEWS["fitted"] = "SELECT *, CASE WHEN md5({key}) < 'cccd' THEN 'train' WHEN md5({key}) < 'e666' THEN 'validation' " \
+    "ELSE 'test' END AS part, CASE WHEN md5({key}) < 'cccd' THEN 'train' ELSE 'validation' END AS search_part " \
+    "FROM silver WHERE ".format(key=_KEY_TEXT) + " AND ".join(f"{c} IS NOT NULL" for c in _TRAINING_FEATURES)
+
 _VIEWS["assembled"] = "SELECT * FROM silver WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _GOLD_FEATURES)
 
 
@@ -392,12 +408,26 @@ def _standard(column: str) -> str:
     return f"{comparable(z, 6)} AS {column}"
 
 
+def _summary_facts(kind: str) -> str:
+    """What holds for every training run: its rows, five named features, metrics that agree with each other."""
+    return f"""
+SELECT '{kind}' AS kind, m.model, 'all' AS feature_set,
+  (SELECT count(*) FROM fitted WHERE part = 'validation') AS val_rows,
+  (SELECT count(*) FROM fitted WHERE part = 'test') AS test_rows,
+  CAST(5 AS INTEGER) AS named_features, true AS importances_fall, true AS metrics_agree
+FROM (VALUES ('bike_model'), ('dock_model')) m(model)"""
+
+
 ORACLES: dict[str, str] = {
     name: _using(body)
     for name, body in {
         "scan_trips_csv": "SELECT * FROM raw_text",
         "trips_file_name": "SELECT ride_id, 'csv' AS file_suffix FROM raw_text",
-        "ingest_report": "SELECT count(*) AS rows_read, count(*) AS rows_landed FROM raw_text",
+        "ingest_report": """
+SELECT (SELECT count(*) FROM raw_text) + (SELECT count(*) FROM ev WHERE e % 70 = 3) AS rows_read,
+  (SELECT count(*) FROM raw_text) AS rows_landed,
+  (SELECT count(*) FROM ev WHERE e % 70 = 3) AS rows_quarantined,
+  (SELECT CAST(sum(e) AS BIGINT) FROM ev WHERE e % 70 = 3) AS rides_quarantined""",
         "scan_parquet": "SELECT * FROM events",
         "write_read_roundtrip": "SELECT station_id, event_hour, bike_demand, dock_demand, "
         "CAST(year(event_hour) AS INTEGER) AS year, CAST(month(event_hour) AS INTEGER) AS month FROM hourly",
@@ -509,6 +539,27 @@ GROUP BY ALL""",
         "assembled_rows": "SELECT (SELECT count(*) FROM silver) AS total_rows, (SELECT count(*) FROM assembled) AS kept_rows, "
         "(SELECT count(*) FROM silver) - (SELECT count(*) FROM assembled) AS dropped_rows",
         "standardized": "SELECT station_id, event_hour, " + ", ".join(_standard(c) for c in _GOLD_FEATURES) + " FROM assembled",
+        "gold_features": "SELECT station_id, event_hour, bike_demand, dock_demand, CAST(8 AS INTEGER) AS components, "
+        "true AS finite FROM assembled",
+        "pca_components": """
+SELECT CAST(n AS INTEGER) AS component, (SELECT count(*) FROM assembled) AS rows, true AS centred, true AS falling,
+  true AS uncorrelated FROM range(1, 6) t(n)""",
+        "pca_variance": """
+SELECT CAST(n AS INTEGER) AS component, true AS falling, true AS adds_up, true AS kept_adds_up FROM range(1, 6) t(n)""",
+        "rf_demand": "SELECT station_id, event_hour, bike_demand, dock_demand, true AS bike_in_range, true AS dock_in_range "
+        "FROM fitted WHERE part = 'test'",
+        "gbt_demand": "SELECT station_id, event_hour, bike_demand, dock_demand, true AS finite FROM fitted WHERE part = 'test'",
+        "training_summary": _summary_facts("rf"),
+        "train_summary": _summary_facts("gbt"),
+        "model_search": """
+SELECT 20 AS trials, 20 AS distinct_points, true AS in_space, 1 AS best_trials, true AS best_is_least,
+  (SELECT count(*) FROM fitted WHERE search_part = 'validation') AS validation_rows""",
+        "score_saved_models": f"""
+SELECT station_id, event_hour, {' AND '.join(f'{c} IS NOT NULL' for c in _TRAINING_FEATURES)} AS scored,
+  true AS as_fitted FROM silver""",
+        "score_stream": f"""
+SELECT station_id, event_hour, {' AND '.join(f'{c} IS NOT NULL' for c in _TRAINING_FEATURES)} AS scored,
+  true AS as_table FROM silver""",
         "regression_metrics": f"""
 WITH scored AS (
   SELECT CAST(h.bike_demand AS DOUBLE) AS y, h.bike_demand - x.hour_bikes AS err,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from registry.adapter import AS_OF, Tables
@@ -15,15 +15,15 @@ from velotide.functions.geo import haversine_m
 from velotide.operators import demand, enrich, features, pricing, reports, sampling, spatial, trips
 from velotide.operators.features import NOT_FEATURES, NOT_TRAINING_FEATURES, feature_columns
 from velotide.operators.lookup import demand_by_hour_of_day, lookup_demand
-from velotide.operators.models import regression_metrics
+from velotide.operators.models import SEARCH_SPACE, regression_metrics
 from velotide.operators.stock import running_stock, with_default_stock
-from velotide.plans import gold, serving, training
+from velotide.plans import gold, scoring, serving, training
 from velotide.plans.bronze import run_bronze
 from velotide.sources.parquet import read_parquet, write_parquet
 from velotide.sources.pricing_table import read_pricing_csv, write_pricing_csv
-from velotide.sources.scratch import scratch_path
+from velotide.sources.scratch import materialize, scratch_path
 from velotide.sources.station_feed import read_station_feed
-from velotide.sources.trips import land_trip_files, read_trip_files, with_file_name
+from velotide.sources.trips import CORRUPT_LINE, land_with_quarantine, read_trip_files, with_file_name
 from velotide.sources.weather import DATE_HEADER, MEASURES, read_weather
 
 Query = Callable[[Tables], DataFrame]
@@ -68,6 +68,15 @@ def _scan_trips_csv(t: Tables) -> DataFrame:
     return read_trip_files(t.spark, _trip_folder(t))
 
 
+def _trip_folder_with_bad_lines(t: Tables) -> str:
+    """The same files, and for some events a line whose latitude is no number."""
+    folder = _trip_folder(t)
+    bad = t.raw.where("CAST(ride_id AS BIGINT) % 70 = 3").dropDuplicates(["ride_id"])
+    bad = bad.withColumn("start_lat", F.lit("north"))
+    bad.write.mode("append").option("header", True).csv(folder)
+    return folder
+
+
 @query("trips_file_name")
 def _trips_file_name(t: Tables) -> DataFrame:
     """Rides per kind of file name: every row comes from a CSV part."""
@@ -77,11 +86,15 @@ def _trips_file_name(t: Tables) -> DataFrame:
 
 @query("ingest_report")
 def _ingest_report(t: Tables) -> DataFrame:
-    out = scratch_path(t.spark, "raw-trips")
-    rows_read = land_trip_files(t.spark, _trip_folder(t), out)
-    return read_parquet(t.spark, out).agg(
-        F.lit(rows_read).cast("bigint").alias("rows_read"), F.count(F.lit(1)).alias("rows_landed")
+    """Lines read, landed and quarantined, counted in the tables that were written, and whose rides were refused."""
+    out, refused = scratch_path(t.spark, "raw-trips"), scratch_path(t.spark, "refused")
+    counts = land_with_quarantine(t.spark, _trip_folder_with_bad_lines(t), out, refused)
+    ride = F.substring_index(CORRUPT_LINE, ",", 1).cast("bigint")
+    bad = read_parquet(t.spark, refused).agg(
+        F.count(CORRUPT_LINE).alias("rows_quarantined"), F.sum(ride).alias("rides_quarantined")
     )
+    good = read_parquet(t.spark, out).where(F.col(CORRUPT_LINE).isNull()).agg(F.count(F.lit(1)).alias("rows_landed"))
+    return good.join(bad).withColumn("rows_read", F.lit(counts.read).cast("bigint"))
 
 
 @query("scan_parquet")
@@ -151,7 +164,22 @@ def _training_summary(t: Tables) -> DataFrame:
     """The summary read back from the JSON written by training."""
     out = scratch_path(t.spark, "summary")
     summary, _ = training.train(t.silver_table, "rf", summary_path=out)
-    return t.spark.read.schema(summary.schema).json(out).drop("train_time_s")
+    return _summary_facts(t.spark.read.schema(summary.schema).json(out))
+
+
+def _summary_facts(summary: DataFrame) -> DataFrame:
+    """What can be stated of a training summary beforehand."""
+    shares = F.col("top_features.importance")
+    fall = F.array_sort(shares, lambda a, b: F.signum(b - a).cast("int")) == shares
+    agree = F.lit(True)
+    for part in ("val", "test"):
+        rmse, mae, r2 = (F.col(f"{part}_{m}") for m in ("rmse", "mae", "r2"))
+        agree = agree & (mae >= 0) & (rmse >= mae) & (r2 <= 1)
+    return summary.select(
+        "kind", "model", "feature_set", "val_rows", "test_rows", F.size("top_features").alias("named_features"),
+        (fall & (F.try_element_at(shares, F.lit(1)) <= 1) & (F.try_element_at(shares, F.lit(-1)) >= 0)).alias("importances_fall"),
+        agree.alias("metrics_agree"),
+    )
 
 
 # Cleaning
@@ -374,7 +402,7 @@ def _demand_lookup(t: Tables) -> DataFrame:
 
 @query("price_requests")
 def _price_requests(t: Tables) -> DataFrame:
-    return serving.answer_requests(t.price_requests, t.hourly_table)
+    return serving.answer_requests(t.price_requests, t.demand_index)
 
 
 @query("station_forecast")
@@ -452,37 +480,93 @@ def _gold(t: Tables, k: int) -> DataFrame:
 
 @query("pca_components")
 def _pca_components(t: Tables) -> DataFrame:
-    """Five components per row, one column each."""
-    table = _gold(t, 5).withColumn("v", vector_to_array("pca_features"))
-    return table.select("station_id", "event_hour", *[F.col("v")[i].alias(f"pc{i + 1}") for i in range(5)])
+    """Facts of the five components of all rows: means, variances and correlations, in one aggregate."""
+    names = [f"pc{i}" for i in range(1, 6)]
+    v = vector_to_array("pca_features")
+    table = _gold(t, 5).select(*[v[i].alias(c) for i, c in enumerate(names)])
+    pairs = [F.abs(F.covar_samp(a, b)) for i, a in enumerate(names) for b in names[:i]]
+    facts = table.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.avg(c).alias(f"mean_{c}") for c in names],
+        *[F.var_samp(c).alias(f"var_{c}") for c in names],
+        F.greatest(*pairs).alias("cross"),
+    )
+    rows = [
+        F.struct(
+            F.lit(i).alias("component"), F.col("rows"), (F.abs(f"mean_{c}") < 1e-6).alias("centred"),
+            (F.col(f"var_{c}") <= F.col(f"var_pc{max(1, i - 1)}") + 1e-9).alias("falling"),
+            (F.col("cross") < 1e-6).alias("uncorrelated"),
+        )
+        for i, c in enumerate(names, 1)
+    ]
+    return facts.select(F.inline(F.array(*rows)))
 
 
 @query("gold_features")
 def _gold_features(t: Tables) -> DataFrame:
-    return _gold(t, 8).withColumn("pca_features", vector_to_array("pca_features"))
+    """Keys and targets of all gold rows, and what holds for their eight components."""
+    v = vector_to_array("pca_features")
+    known = F.forall(v, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
+    table = _gold(t, 8).withColumns({"components": F.size(v), "finite": known})
+    return table.select("station_id", "event_hour", "bike_demand", "dock_demand", "components", "finite")
 
 
 @query("pca_variance")
 def _pca_variance(t: Tables) -> DataFrame:
-    return gold.component_report(t.silver_table, k=5)
+    """Shares fall, running shares add them up, and those of the kept components end at one."""
+    order = Window.orderBy("component")
+    report = gold.component_report(t.silver_table, k=5).withColumns(
+        {
+            "before": F.lag("share", 1, 1.0).over(order),
+            "sum": F.sum("share").over(order),
+            "kept_sum": F.sum("kept_share").over(order),
+            "all_kept": F.sum("kept_share").over(Window.partitionBy()),
+        }
+    )
+    near = 1e-9
+    return report.select(
+        "component",
+        ((F.col("share") > 0) & (F.col("share") <= F.col("before"))).alias("falling"),
+        ((F.abs(F.col("sum") - F.col("cumulative_share")) < near) & (F.col("sum") <= 1 + near)).alias("adds_up"),
+        ((F.abs(F.col("kept_sum") - F.col("cumulative_kept_share")) < near) & (F.abs(F.col("all_kept") - 1) < near)).alias("kept_adds_up"),
+    )
 
 
 def _predictions(t: Tables, kind: str) -> DataFrame:
+    """All rows with both predictions; fits and scoring read rows assembled once."""
     data = training.training_data(t.silver_table)
+    data = training.TrainingData(materialize(data.rows, "training-rows"), data.columns)
     scored = data.rows
     for target in training.TARGETS:
         scored = training.fit_target(data, kind, target).transform(scored)
-    return scored.where("part = 'test'").drop("features", "part")
+    return scored
+
+
+_TEST_KEYS = ["station_id", "event_hour", "bike_demand", "dock_demand"]
 
 
 @query("rf_demand")
 def _rf_demand(t: Tables) -> DataFrame:
-    return _predictions(t, "rf")
+    """Test rows; a forest averages training targets, so no prediction is outside their range."""
+    scored = _predictions(t, "rf")
+    fitted = scored.where("part = 'train'").agg(
+        *[f(c).alias(f"{n}_{c}") for c in training.TARGETS.values() for n, f in (("low", F.min), ("high", F.max))]
+    )
+    within = {
+        f"{target}_in_range": F.col(f"pred_{target}").between(F.col(f"low_{c}") - 1e-9, F.col(f"high_{c}") + 1e-9)
+        for target, c in training.TARGETS.items()
+    }
+    return scored.where("part = 'test'").join(F.broadcast(fitted)).withColumns(within).select(*_TEST_KEYS, *within)
 
 
 @query("gbt_demand")
 def _gbt_demand(t: Tables) -> DataFrame:
-    return _predictions(t, "gbt")
+    """Test rows, and whether both predictions are finite."""
+    finite = F.lit(True)
+    for target in training.TARGETS:
+        p = F.col(f"pred_{target}")
+        finite = finite & p.isNotNull() & ~F.isnan(p) & (F.abs(p) < float("inf"))
+    return _predictions(t, "gbt").where("part = 'test'").select(*_TEST_KEYS, finite.alias("finite"))
 
 
 @query("regression_metrics")
@@ -500,9 +584,63 @@ def _regression_metrics(t: Tables) -> DataFrame:
 @query("train_summary")
 def _train_summary(t: Tables) -> DataFrame:
     summary, _ = training.train(t.silver_table, "gbt")
-    return summary.drop("train_time_s")
+    return _summary_facts(summary)
 
 
 @query("param_search")
 def _param_search(t: Tables) -> DataFrame:
     return training.search(t.silver_table, "rf", "bike")
+
+
+@query("model_search")
+def _model_search(t: Tables) -> DataFrame:
+    """Facts of a model-based search of all 20 trials: points, space, the best one."""
+    trials = training.search(t.silver_table, "rf", "dock", method="model")
+    inside = F.lit(True)
+    for name, (low, high, _) in SEARCH_SPACE["rf"].items():
+        inside = inside & F.col("params")[name].between(low, high)
+    best = F.when(F.col("is_best"), F.col("rmse"))
+    rows = training.training_data(t.silver_table, parts=training.SEARCH_PARTS).part("validation").count()
+    return trials.agg(
+        F.count(F.lit(1)).cast("int").alias("trials"),
+        F.count_distinct(F.to_json("params")).cast("int").alias("distinct_points"),
+        F.every(inside).alias("in_space"),
+        F.count(best).cast("int").alias("best_trials"),
+        (F.max(best) == F.min("rmse")).alias("best_is_least"),
+        F.lit(rows).cast("bigint").alias("validation_rows"),
+    )
+
+
+def _saved(t: Tables) -> tuple[str, dict]:
+    """Both forests, fitted, saved and given back."""
+    folder = scratch_path(t.spark, "models")
+    return folder, training.train(t.silver_table, "rf", model_dir=folder)[1]
+
+
+@query("score_saved_models")
+def _score_saved_models(t: Tables) -> DataFrame:
+    """All station-hours scored by loaded models, and whether the fitted ones say the same."""
+    folder, fitted = _saved(t)
+    saved = scoring.load_models(t.spark, folder)
+    loaded = scoring.score(t.silver_table, saved)
+    again = scoring.score(loaded.withColumnsRenamed({"pred_bike": "loaded_bike", "pred_dock": "loaded_dock"}),
+                          scoring.SavedModels(saved.columns, fitted))
+    same = F.col("pred_bike").eqNullSafe(F.col("loaded_bike")) & F.col("pred_dock").eqNullSafe(F.col("loaded_dock"))
+    return again.select("station_id", "event_hour", "scored", same.alias("as_fitted"))
+
+
+@query("score_stream")
+def _score_stream(t: Tables) -> DataFrame:
+    """Station-hours scored as they arrive as files, and whether the table's scores are the same."""
+    folder, _ = _saved(t)
+    source, out, state = (scratch_path(t.spark, n) for n in ("arriving", "scored", "scored-state"))
+    write_parquet(t.silver_table, source)
+    scoring.score_stream(t.spark, source, folder, out, state).awaitTermination()
+    streamed = read_parquet(t.spark, out).select("station_id", "event_hour", "scored", "pred_bike", "pred_dock")
+    table = scoring.score(t.silver_table, scoring.load_models(t.spark, folder)).select(
+        "station_id", "event_hour", F.struct("pred_bike", "pred_dock").alias("p")
+    )
+    same = F.struct("pred_bike", "pred_dock").eqNullSafe(F.col("p"))
+    return streamed.join(table, ["station_id", "event_hour"], "full").select(
+        "station_id", "event_hour", "scored", same.alias("as_table")
+    )
