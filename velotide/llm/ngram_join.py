@@ -22,9 +22,18 @@ from velotide.llm.components import connected_components
 from velotide.llm.gram_sets import GramSets
 from velotide.sources.scratch import materialize
 
-# Cells of the frequency table that orders grams: a power of two, and the size
-# of what is broadcast.  The order only has to be the same for all documents;
-# that grams share a cell costs candidates, never results.
+# Cells of the table that orders grams, one byte each: about one for every
+# TEXT_BYTES_A_CELL bytes of text, a power of two within these bounds, which is
+# the size of what is broadcast.  A cell counts up to 255.  The order only has to
+# be the same for all documents; that grams share a cell costs candidates, never
+# results.
+LEAST_CELLS, MOST_CELLS = 1 << 16, 1 << 26
+TEXT_BYTES_A_CELL = 32
+# Cells that travel in one row.
+_CELLS_IN_A_ROW = 1 << 16
+_FULL = 255
+
+# Cells of the small table that goes on counting where those are full.
 FREQUENCY_CELLS = 1 << 16
 
 # Involved documents up to which their places go to every executor (40 bytes
@@ -38,7 +47,7 @@ _ROWS_OF_A_HUB = 100_000
 _SKETCH = [f"s{i}" for i in range(8)]
 
 # Gram hashes of a place (8 bytes each).
-_GRAMS_IN_A_PLACE = 1 << 23
+_GRAMS_IN_A_PLACE = 1 << 21
 # Gram hashes of small components that share a place.
 _GRAMS_SHARING = 1 << 17
 # Pairs that are compared in one place.
@@ -46,7 +55,9 @@ _PAIRS_IN_A_PLACE = 1 << 18
 # Rows of one gram on either side that meet in one place.
 _ROWS_THAT_MEET = 4096
 # Bytes of sets in one batch on their way to their places.
-_SENT_BYTES = 1 << 24
+_SENT_BYTES = 1 << 23
+# Vertices a task remembers to have sent.
+_REMEMBERED = 1 << 18
 
 # Stands for a null doc_id while documents are looked up.
 _NO_ID = -(1 << 63)
@@ -81,23 +92,79 @@ def _body() -> Column:
     return F.xxhash64("text").alias("body")
 
 
-def document_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
-    """``members(doc_id, body, n_shingles, vertex, s0..s7)`` and how many grams fall into each cell.
+class Frequencies:
+    """How common grams are: a byte for each of many cells, and whole counts of few."""
+
+    def __init__(self, fine: np.ndarray, coarse: np.ndarray):
+        self.fine, self.coarse = fine, coarse
+
+    def __call__(self, grams: np.ndarray) -> np.ndarray:
+        """Equal for equal grams; smaller for rarer ones."""
+        often = self.fine[_cells(grams, len(self.fine))].astype(np.int64)
+        full = np.flatnonzero(often == _FULL)
+        often[full] += self.coarse[_cells(grams[full], len(self.coarse))]
+        return often
+
+    def parts(self, grams: np.ndarray) -> np.ndarray:
+        """Parts a gram's rows are cut into, beyond the first; only full cells can need any."""
+        return np.maximum(self(grams) - _FULL, 0) // _ROWS_OF_A_HUB
+
+
+def frequency_cells(docs: DataFrame) -> int:
+    """Cells for the grams of these texts, from their bytes."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return int(min(MOST_CELLS, max(LEAST_CELLS, 1 << (max(1, size // TEXT_BYTES_A_CELL) - 1).bit_length())))
+
+
+def _added(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of cells with equal ``keys`` added up, as a stream: no group is gathered."""
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, total = None, None
+
+        def row() -> pa.RecordBatch:
+            whole = np.minimum(total, _FULL).astype(np.uint8)
+            return pa.RecordBatch.from_arrays(
+                [*[pa.array([k], pa.int64()) for k in key], pa.array([whole.tobytes()], pa.binary())], [*keys, "counts"]
+            )
+
+        for *places, counts in rows_of(batches, *keys, "counts"):
+            for at, body in zip(zip(*places, strict=True), counts, strict=True):
+                if at != key:
+                    if key is not None:
+                        yield row()
+                    key, total = at, np.zeros(_CELLS_IN_A_ROW, np.uint16)
+                total = np.minimum(total + np.frombuffer(body, np.uint8), _FULL)
+        if key is not None:
+            yield row()
+
+    dealt = rows.select(*keys, "counts").repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(added, ", ".join([*(f"{k} long" for k in keys), "counts binary"]))
+
+
+def document_sets(docs: DataFrame, words: int) -> tuple[DataFrame, Frequencies]:
+    """``members(doc_id, body, n_shingles, vertex, s0..s7)`` and how common grams are.
 
     Documents with equal sets have one vertex.  Both come from one reading of
-    the texts; for the counts every task adds at most one row a cell.
+    the texts; for the counts every task adds its cells, packed in rows, and at
+    most one row for each of the small table.
     """
-    names = ["doc_id", "body", "n_shingles", "vertex", *_SKETCH, "cell"]
+    cells = frequency_cells(docs)
+    names = ["doc_id", "body", "n_shingles", "vertex", *_SKETCH, "cell", "chunk"]
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, counts = GramSets(words), np.zeros(FREQUENCY_CELLS, np.int64)
+        sets, counts, fine = GramSets(words), np.zeros(FREQUENCY_CELLS, np.int64), np.zeros(cells, np.uint8)
 
-        def rows(n: int, **columns):
-            return pa.RecordBatch.from_arrays([pa.array(columns.get(c, [None] * n), pa.int64()) for c in names], names)
+        def rows(n: int, packed: list | None = None, **columns):
+            known = [pa.array(columns.get(c, [None] * n), pa.int64()) for c in names]
+            return pa.RecordBatch.from_arrays([*known, pa.array(packed or [None] * n, pa.binary())], [*names, "counts"])
 
         for ids, bodies, texts in rows_of(batches, "doc_id", "body", "text"):
             found = sets(texts)
-            counts += np.bincount(_cells(np.concatenate(found)), minlength=FREQUENCY_CELLS)
+            every = np.concatenate(found)
+            counts += np.bincount(_cells(every, FREQUENCY_CELLS), minlength=FREQUENCY_CELLS)
+            place, times = np.unique(_cells(every, cells), return_counts=True)
+            fine[place] = np.minimum(fine[place] + times, _FULL)
             sketches = np.array([parity(g) for g in found]).T
             yield rows(
                 len(ids),
@@ -107,28 +174,37 @@ def document_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
                 vertex=list(map(_digest, found)),
                 **dict(zip(_SKETCH, sketches, strict=True)),
             )
-        cells = np.flatnonzero(counts)
-        for start in range(0, len(cells), 8192):
-            part = cells[start : start + 8192]
+        full = np.flatnonzero(counts)
+        for start in range(0, len(full), 8192):
+            part = full[start : start + 8192]
             yield rows(len(part), n_shingles=counts[part], cell=part)
+        for chunk, part in enumerate(fine.reshape(-1, _CELLS_IN_A_ROW)):
+            if part.any():
+                yield rows(1, [part.tobytes()], chunk=[chunk])
 
     slim = docs.select(F.col("doc_id").cast("long"), _body(), octets("text").alias("text"))
-    both = materialize(slim.mapInArrow(scanned, ", ".join(f"{c} long" for c in names)), "sets-and-counts")
-    totals = np.zeros(FREQUENCY_CELLS, np.int64)
+    both = materialize(slim.mapInArrow(scanned, ", ".join(f"{c} long" for c in names) + ", counts binary"), "sets-and-counts")
+    coarse, fine = np.zeros(FREQUENCY_CELLS, np.int64), np.zeros(cells, np.uint8)
     sums = both.filter("cell IS NOT NULL").groupBy("cell").agg(F.sum("n_shingles").alias("n"))
     for r in sums.collect():
-        totals[r["cell"]] = r["n"]
-    return both.filter("cell IS NULL").drop("cell"), totals
+        coarse[r["cell"]] = r["n"]
+    # Added up in two steps, so that no task has the rows of all tasks.
+    packed = both.filter("chunk IS NOT NULL").select("chunk", F.pmod(F.spark_partition_id(), F.lit(16)).cast("long").alias("salt"), "counts")
+    for r in _added(_added(packed, "chunk", "salt"), "chunk").toLocalIterator():
+        start = r["chunk"] * _CELLS_IN_A_ROW
+        fine[start : start + _CELLS_IN_A_ROW] = np.frombuffer(r["counts"], np.uint8)
+    members = both.filter("cell IS NULL AND chunk IS NULL").drop("cell", "chunk", "counts")
+    return members, Frequencies(fine, coarse)
 
 
-def _cells(grams: np.ndarray) -> np.ndarray:
-    return (grams % np.uint64(FREQUENCY_CELLS)).astype(np.int64)
+def _cells(grams: np.ndarray, cells: int) -> np.ndarray:
+    return (grams & np.uint64(cells - 1)).astype(np.int64)
 
 
-def prefixes(docs: DataFrame, words: int, percent: int, frequencies: np.ndarray) -> DataFrame:
+def prefixes(docs: DataFrame, words: int, percent: int, frequencies: Frequencies) -> DataFrame:
     """``(gram, part, vertex, n, pos)``: the rarest grams of each set with their places.
 
-    ``part`` is 0, or 1 and more where it splits a gram whose cell is so full
+    ``part`` is 0, or 1 and more where it splits a gram whose cells are so full
     that one task might not hold its rows.  A task sends equal sets once, as
     long as it remembers them.
     """
@@ -144,10 +220,10 @@ def prefixes(docs: DataFrame, words: int, percent: int, frequencies: np.ndarray)
                 vertex = _digest(grams)
                 if not len(grams) or vertex in sent:
                     continue
-                if len(sent) > 1_000_000:
+                if len(sent) > _REMEMBERED:
                     sent.clear()
                 sent.add(vertex)
-                often = counts[_cells(grams)]
+                often = counts(grams)
                 p = prefix_length(len(grams), percent)
                 first = np.argpartition(often, p - 1) if p < len(grams) else np.arange(len(grams))
                 if p < len(grams):  # ties at the edge belong to the order too
@@ -161,7 +237,7 @@ def prefixes(docs: DataFrame, words: int, percent: int, frequencies: np.ndarray)
                 continue
             grams = np.concatenate(chosen)
             vertex = np.repeat(np.array(vertices, np.int64), lengths)
-            parts = counts[_cells(grams)] // _ROWS_OF_A_HUB
+            parts = counts.parts(grams)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(grams.view(np.int64)),
