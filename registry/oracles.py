@@ -533,6 +533,18 @@ GROUP BY ALL""",
             "pricing_multiplier, suggested_price_usd, pricing_zone, reason",
         ),
         "sample_rows": f"SELECT * FROM hourly ORDER BY md5({_KEY_TEXT}), station_id, event_hour LIMIT 5000",
+        "stratified_sample": "SELECT * FROM hourly QUALIFY row_number() OVER (PARTITION BY hour(event_hour) "
+        f"ORDER BY md5({_KEY_TEXT}), station_id, event_hour) <= 200",
+        "great_circle_capacity": f"""
+WITH near AS (
+  SELECT s.station_id, f.feed_id, f.capacity, {haversine('s.latitude', 's.longitude', 'f.lat', 'f.lon')} AS metres
+  FROM station s CROSS JOIN feed f),
+best AS (
+  SELECT * FROM near WHERE metres <= 100e0
+  QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY metres, feed_id) = 1)
+SELECT s.station_id, CAST(coalesce(b.capacity, 0) AS INTEGER) AS capacity, b.station_id IS NOT NULL AS matched,
+  {comparable('b.metres', 3)} AS metres
+FROM station s LEFT JOIN best b ON b.station_id = s.station_id""",
         "split_rows": f"SELECT station_id, event_hour, CASE WHEN md5({_KEY_TEXT}) < 'cccd' THEN 'train' "
         f"WHEN md5({_KEY_TEXT}) < 'e666' THEN 'validation' ELSE 'test' END AS part FROM hourly",
         "feature_columns": _profile("gold", _GOLD_FEATURES) + " UNION ALL " + _profile("training", _TRAINING_FEATURES),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from registry.adapter import AS_OF, Tables
 from velotide.functions import pricing as rule
 from velotide.functions.geo import haversine_m
-from velotide.operators import demand, enrich, features, pricing, reports, sampling, spatial, trips
+from velotide.operators import demand, enrich, features, geodesic, pricing, reports, sampling, spatial, trips
 from velotide.operators.features import NOT_FEATURES, NOT_TRAINING_FEATURES, feature_columns
 from velotide.operators.lookup import demand_by_hour_of_day, lookup_demand
 from velotide.operators.models import SEARCH_SPACE, regression_metrics
@@ -433,6 +433,19 @@ def _sample_rows(t: Tables) -> DataFrame:
     return sampling.sample_rows(_hourly(t), ["station_id", "event_hour"], 5000)
 
 
+@query("stratified_sample")
+def _stratified_sample(t: Tables) -> DataFrame:
+    """Two hundred station-hours of every hour of day."""
+    return sampling.stratified_sample(_hourly(t), ["station_id", "event_hour"], F.hour("event_hour"), 200)
+
+
+@query("great_circle_capacity")
+def _great_circle_capacity(t: Tables) -> DataFrame:
+    """Feed stations within 100 metres by great circle alone; distances to the millimetre."""
+    matches = geodesic.match_by_great_circle(materialize(trips.station_dimension(t.bronze), "stations"), materialize(t.feed, "feed"))
+    return comparable(matches, "metres", digits=3)
+
+
 @query("split_rows")
 def _split_rows(t: Tables) -> DataFrame:
     keys = training.ROW_KEY

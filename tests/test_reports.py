@@ -125,3 +125,21 @@ def test_split_of_other_fractions(spark):
     for wrong in ({"a": 0.5, "b": 0.4}, {"a": 1.5, "b": -0.5}):
         with pytest.raises(ValueError, match="fractions"):
             split_column(["id"], wrong)
+
+
+def test_stratified_sample_is_exact_per_stratum(spark):
+    from collections import Counter
+
+    from velotide.operators.sampling import stratified_sample
+
+    n = F.col("id")
+    table = spark.range(3000).select(
+        n.alias("key"), F.when(n % 3 == 0, 0).when(n % 3 == 1, n % 7).when(n % 50 != 2, 9).alias("hour"), F.lit("x").alias("_digest2")
+    )
+    got = stratified_sample(table, ["key"], F.col("hour"), 60)
+    sizes = Counter(r["hour"] for r in table.collect())
+    assert got.columns == table.columns and None in sizes
+    assert Counter(r["hour"] for r in got.collect()) == {h: min(60, k) for h, k in sizes.items()}
+    again = stratified_sample(table.repartition(7), ["key"], F.col("hour"), 60)
+    assert sorted(r["key"] for r in got.collect()) == sorted(r["key"] for r in again.collect())
+    assert stratified_sample(table.where("false"), ["key"], F.col("hour"), 5).count() == 0
