@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from velotide.llm.common import octets, rows_of
-from velotide.sources.scratch import materialize
+from velotide.sources.scratch import materialize, materialized
 
 # UTF-8 of the term pattern once A-Z are lowered: digits, a-z, all but ASCII.
 _TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -108,7 +108,13 @@ def build_index(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text
     Each row is a document of its own, also if ids repeat or are null.
     """
     ids = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    forward = materialize(term_counts(ids, "doc_id", "text").withColumnRenamed("key", "doc_id").filter("n > 0"), "forward")
+    counted = term_counts(ids, "doc_id", "text").withColumnRenamed("key", "doc_id").filter("n > 0")
+    # The counts by document are done with once they are inverted.
+    with materialized(counted, "forward") as forward:
+        return _index_of(forward, block_postings)
+
+
+def _index_of(forward: DataFrame, block_postings: int) -> Index:
     total = forward.agg(F.count(F.lit(1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
     terms = materialize(
         forward.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "terms"
