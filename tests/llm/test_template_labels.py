@@ -32,3 +32,16 @@ def test_a_bad_section_stays_apart_among_many(spark):
     # Too many segments without labels are one, but not one with labelled siblings.
     assert {found[i]["template"] for i, _ in unlabelled} == {"/*/x"}
     assert {r["template"] for i, r in found.items() if i < 2 * 10**6}.isdisjoint({"/*/x"})
+
+
+def test_one_section_more_changes_no_verdict(spark):
+    """Sections of one bad label each are judged together, however many they are."""
+    letters = [a + b for a in "abcde" for b in "fghijk"]
+    clean = [(10_000 + i, f"http://clean.org/a/x{i}", 0) for i in range(300)]
+    verdicts = {}
+    for n in (6, 20, 21, 30):
+        bad = [(i, f"http://h.org/{s}/x", 1) for i, s in enumerate(letters[:n])]
+        found = judged(spark, [(999, "http://h.org/unknown/x")], bad + clean)
+        verdicts[n] = {found[i]["verdict"] for i in [*range(n), 999]}
+        assert {found[10_000 + i]["verdict"] for i in range(300)} == {"allow"}
+    assert verdicts == dict.fromkeys((6, 20, 21, 30), {"block"})

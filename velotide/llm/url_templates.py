@@ -1,8 +1,8 @@
 """URL filter: a tree of path templates for each host, judged by labelled purity.
 
 Level by level, the segments under one template of a host are generalised: those
-that vary by nature, or by number without labels to tell them apart, become
-``*``, and labelled siblings whose shares do not differ significantly are merged
+that vary by nature, or without labels enough to tell them apart, become ``*``,
+and labelled siblings whose shares do not differ significantly are merged
 into ``#``.  A template is rejected when its smoothed share of bad labels is high.
 """
 
@@ -56,17 +56,18 @@ def longest_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def templates(
-    urls: DataFrame, *, max_children: int = 20, z: float = 1.96, least_labelled: int = 5, max_depth: int = 12
+    urls: DataFrame, *, z: float = 1.96, least_labelled: int = 5, max_depth: int = 12
 ) -> DataFrame:
     """``urls(..., host, path, bad)`` with ``template``; ``bad`` is 0, 1 or null where unlabelled.
 
     A segment becomes ``*`` if it has a digit or 40 characters.  Of several
     segments, one with ``least_labelled`` labels or more becomes ``#`` if its
     siblings have as many and its share of bad labels is within ``z`` standard
-    errors of theirs, and stays apart otherwise, however many there are.  One with
-    fewer labels shares no template with those: it stays apart too, or becomes
-    ``*`` if its parent has more than ``max_children`` segments (``?`` where
-    ``*`` has ``least_labelled`` labels by itself).  Neither ``#`` nor ``?`` can be
+    errors of theirs, and stays apart otherwise.  One with fewer labels shares no
+    template with those: it becomes ``*`` (``?`` where ``*`` has
+    ``least_labelled`` labels by itself), so such segments are judged together,
+    by what labels they have; a segment without siblings keeps its name, which
+    changes no verdict.  Neither ``#`` nor ``?`` can be
     in a path.  From ``max_depth`` on the rest of a path is one segment.  Each
     level is a grouping with partial sums and an equi-join on host, template and
     segment.
@@ -81,7 +82,7 @@ def templates(
     for level in range(depth):
         segment = F.get("_parts", F.lit(level))
         rows = rows.withColumn("_segment", F.when(F.regexp_like(segment, F.lit(_VARIABLE)), "*").otherwise(segment))
-        merged = materialize(_merged(rows.filter("_segment IS NOT NULL"), max_children, z, least_labelled), "merged")
+        merged = materialize(_merged(rows.filter("_segment IS NOT NULL"), z, least_labelled), "merged")
         joined = rows.join(merged, ["host", "template", "_segment"], "left")
         token = F.coalesce("_token", "_segment")
         rows = materialize(
@@ -91,7 +92,7 @@ def templates(
     return rows.drop("_parts")
 
 
-def _merged(rows: DataFrame, max_children: int, z: float, least_labelled: int) -> DataFrame:
+def _merged(rows: DataFrame, z: float, least_labelled: int) -> DataFrame:
     """``host, template, _segment, _token`` of every segment under every template."""
     children = materialize(
         rows.groupBy("host", "template", "_segment").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("b")),
@@ -114,7 +115,7 @@ def _merged(rows: DataFrame, max_children: int, z: float, least_labelled: int) -
     sparse = F.when(F.coalesce("variable_n", F.lit(0)) >= least_labelled, "?").otherwise("*")
     token = (
         F.when(labelled & (rest_n >= least_labelled) & alike, "#")
-        .when(~labelled & (F.col("children") > max_children) & (F.col("_segment") != "*"), sparse)
+        .when(~labelled & (F.col("children") > 1) & (F.col("_segment") != "*"), sparse)
         .otherwise(F.col("_segment"))
     )
     return children.join(parents, ["host", "template"]).select("host", "template", "_segment", token.alias("_token"))
