@@ -372,6 +372,16 @@ _VIEWS["fitted"] = "SELECT *, CASE WHEN md5({key}) < 'cccd' THEN 'train' WHEN md
 _VIEWS["assembled"] = "SELECT * FROM silver WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _GOLD_FEATURES)
 
 
+_CATEGORY_PLACES = f"""WITH trained AS (SELECT * FROM silver WHERE md5({_KEY_TEXT}) < 'cccd'),
+counted AS (
+  SELECT 'station_id' AS "column", station_id AS category, count(*) AS rows FROM trained GROUP BY ALL
+  UNION ALL SELECT 'hour', CAST(hour AS VARCHAR), count(*) FROM trained GROUP BY ALL),
+placed AS (
+  SELECT *, CAST(CASE WHEN rows >= 25 THEN row_number() OVER (PARTITION BY "column" ORDER BY rows DESC, category) - 1
+    ELSE count(*) FILTER (rows >= 25) OVER (PARTITION BY "column") END AS INTEGER) AS place
+  FROM counted)"""
+
+
 def _using(body: str) -> str:
     """Prefix ``body`` with the views; unused ones cost nothing."""
     views = ",\n".join(f"{name} AS ({sql})" for name, sql in _VIEWS.items())
@@ -408,6 +418,11 @@ def _standard(column: str) -> str:
     return f"{comparable(z, 6)} AS {column}"
 
 
+def _slot_value(k: str) -> str:
+    """One over the sample deviation of a slot that ``k`` of ``f.n`` rows are in; 0 where all or none are."""
+    return f"coalesce(1e0 / sqrt(nullif({k} * (f.n - {k}) / (f.n * (f.n - 1e0)), 0)), 0e0)"
+
+
 def _summary_facts(kind: str) -> str:
     """What holds for every training run: its rows, five named features, metrics that agree with each other."""
     return f"""
@@ -551,6 +566,23 @@ FROM station s LEFT JOIN best b ON b.station_id = s.station_id""",
         "assembled_rows": "SELECT (SELECT count(*) FROM silver) AS total_rows, (SELECT count(*) FROM assembled) AS kept_rows, "
         "(SELECT count(*) FROM silver) - (SELECT count(*) FROM assembled) AS dropped_rows",
         "standardized": "SELECT station_id, event_hour, " + ", ".join(_standard(c) for c in _GOLD_FEATURES) + " FROM assembled",
+        "category_index": _CATEGORY_PLACES + ' SELECT "column", category, rows, place FROM placed',
+        "encoded_categories": _CATEGORY_PLACES + f"""
+, sizes AS (
+  SELECT CAST(count(*) FILTER (rows >= 25 AND "column" = 'station_id') AS INTEGER) AS stations,
+    CAST(count(*) FILTER (rows >= 25 AND "column" = 'hour') AS INTEGER) AS hours,
+    (SELECT count(*) FROM trained) AS n FROM placed),
+slot AS (SELECT "column", place, sum(rows) AS k FROM placed GROUP BY ALL),
+found AS (
+  SELECT s.station_id, s.event_hour, coalesce(p.place, z.stations) AS station_place, coalesce(q.place, z.hours) AS hour_place, z.*
+  FROM silver s CROSS JOIN sizes z
+  LEFT JOIN placed p ON p."column" = 'station_id' AND p.category = s.station_id
+  LEFT JOIN placed q ON q."column" = 'hour' AND q.category = CAST(s.hour AS VARCHAR))
+SELECT f.station_id, f.event_hour, f.stations + f.hours + 2 AS slots, CAST(2 AS INTEGER) AS filled_slots,
+  f.station_place AS station_slot, f.stations + 1 + f.hour_place AS hour_slot,
+  {comparable(_slot_value('a.k'), 6)} AS station_value, {comparable(_slot_value('b.k'), 6)} AS hour_value
+FROM found f LEFT JOIN slot a ON a."column" = 'station_id' AND a.place = f.station_place
+LEFT JOIN slot b ON b."column" = 'hour' AND b.place = f.hour_place""",
         "gold_features": "SELECT station_id, event_hour, bike_demand, dock_demand, CAST(8 AS INTEGER) AS components, "
         "true AS finite FROM assembled",
         "pca_components": """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from registry.adapter import AS_OF, Tables
 from velotide.functions import pricing as rule
 from velotide.functions.geo import haversine_m
-from velotide.operators import demand, enrich, features, geodesic, pricing, reports, sampling, spatial, trips
+from velotide.operators import categories, demand, enrich, features, geodesic, pricing, reports, sampling, spatial, trips
 from velotide.operators.features import NOT_FEATURES, NOT_TRAINING_FEATURES, feature_columns
 from velotide.operators.lookup import demand_by_hour_of_day, lookup_demand
 from velotide.operators.models import SEARCH_SPACE, regression_metrics
@@ -487,6 +487,44 @@ def _standardized(t: Tables) -> DataFrame:
     return comparable(values, *columns, digits=6)
 
 
+CATEGORIES = ["station_id", "hour"]
+MIN_ROWS = 25
+
+
+@query("category_index")
+def _category_index(t: Tables) -> DataFrame:
+    """Every category of the training rows with its rows and place; those of few rows share the last."""
+    rows = _training_rows(t)
+    counts = categories.category_counts(rows, CATEGORIES)
+    place = F
+    for index in categories.category_index(rows, CATEGORIES, MIN_ROWS):
+        column, output = index.getInputCol(), index.getOutputCol()
+        counts = index.setInputCol("category").transform(counts)
+        place = place.when(F.col("column") == column, F.col(output))
+    return counts.select("column", "category", "rows", place.cast("int").alias("place"))
+
+
+@query("encoded_categories")
+def _encoded_categories(t: Tables) -> DataFrame:
+    """Slots of all rows by an index of the training rows: where the stations' and hours' are, and their values."""
+    rows = _training_rows(t)
+    stages = categories.category_stages(categories.category_index(rows, CATEGORIES, MIN_ROWS))
+    raw, scaled = vector_to_array("raw_categories"), vector_to_array("scaled_categories")
+    filled = F.filter(F.sequence(F.lit(0), F.size("raw") - 1), lambda i: F.col("raw")[i] != 0)
+    encoded = Pipeline(stages=stages).fit(rows).transform(t.silver_table)
+    slots = encoded.withColumns({"raw": raw, "scaled": scaled}).withColumn("filled", filled).select(
+        "station_id", "event_hour", F.size("raw").alias("slots"), F.size("filled").alias("filled_slots"),
+        F.col("filled")[0].alias("station_slot"), F.col("filled")[1].alias("hour_slot"),
+        F.col("scaled")[F.col("filled")[0]].alias("station_value"), F.col("scaled")[F.col("filled")[1]].alias("hour_value"),
+    )
+    return comparable(slots, "station_value", "hour_value", digits=6)
+
+
+def _training_rows(t: Tables) -> DataFrame:
+    part = sampling.split_column(["station_id", "event_hour"], training.TRAINING_PARTS)
+    return t.silver_table.filter(part == "train")
+
+
 def _gold(t: Tables, k: int) -> DataFrame:
     return gold.gold_features(t.silver_table, k)[0]
 

@@ -45,7 +45,8 @@ def _silver(spark, o):
 
 
 def _gold(spark, o):
-    gold.run_gold(spark, o.silver, o.out, o.model, o.k)
+    categories = o.categories.split(",") if o.categories else None
+    gold.run_gold(spark, o.silver, o.out, o.model, o.k, categories, o.min_rows)
 
 
 def _components(spark, o):
@@ -128,7 +129,7 @@ JOBS = {
     "ingest": (_ingest, ["csv", "out"], {"quarantine": None}),
     "bronze": (_bronze, ["raw", "trips", "stations"], {}),
     "silver": (_silver, ["trips", "stations", "feed", "out"], {"weather": None, "radius": 100.0}),
-    "gold": (_gold, ["silver", "out", "model"], {"k": 8}),
+    "gold": (_gold, ["silver", "out", "model"], {"k": 8, "categories": None, "min-rows": 1}),
     "components": (_components, ["silver"], {"k": 5, "model": None}),
     "prices": (_prices, ["silver", "csv"], {"out": None}),
     "report": (_report, ["name", "prices"], {"out": None}),
