@@ -38,7 +38,7 @@ _ROWS_OF_A_HUB = 100_000
 _SKETCH = [f"s{i}" for i in range(8)]
 
 # Gram hashes of a place (8 bytes each).
-_GRAMS_IN_A_PLACE = 1 << 23
+_GRAMS_IN_A_PLACE = 1 << 21
 # Gram hashes of small components that share a place.
 _GRAMS_SHARING = 1 << 17
 # Pairs that are compared in one place.
@@ -46,7 +46,9 @@ _PAIRS_IN_A_PLACE = 1 << 18
 # Rows of one gram on either side that meet in one place.
 _ROWS_THAT_MEET = 4096
 # Bytes of sets in one batch on their way to their places.
-_SENT_BYTES = 1 << 24
+_SENT_BYTES = 1 << 22
+# Vertices a task remembers to have sent.
+_REMEMBERED = 1 << 18
 
 # Stands for a null doc_id while documents are looked up.
 _NO_ID = -(1 << 63)
@@ -144,7 +146,7 @@ def prefixes(docs: DataFrame, words: int, percent: int, frequencies: np.ndarray)
                 vertex = _digest(grams)
                 if not len(grams) or vertex in sent:
                     continue
-                if len(sent) > 1_000_000:
+                if len(sent) > _REMEMBERED:
                     sent.clear()
                 sent.add(vertex)
                 often = counts[_cells(grams)]
@@ -270,9 +272,10 @@ def verified(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, words: int,
     )
 
     def compared(bodies: pa.Table, pairs: pa.Table) -> pa.Table:
+        # Views of the Arrow buffers: no set is copied.
         found = {
-            v: np.frombuffer(g, np.uint64)
-            for v, g in zip(bodies["vertex"].to_pylist(), bodies["grams"].to_pylist(), strict=True)
+            v: np.frombuffer(g.as_buffer(), np.uint64)
+            for v, g in zip(bodies["vertex"].to_pylist(), bodies["grams"], strict=True)
         }
         none, counted = np.empty(0, np.uint64), []
         names = ["a", "b", "n_a", "n_b"]
