@@ -157,13 +157,8 @@ class Scorer(dict):
         return self.model.languages[best], float(odds[best] / odds.sum())
 
 
-def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, the probability of that language.
-
-    Only the text is looked at, and all of it.  A null text or one without a
-    letter is ``und`` with score 0.  Ties go to the language first in order.
-    Columns of those names are replaced, others are passed through.
-    """
+def _scored(docs: DataFrame, model: LanguageModel) -> tuple[DataFrame, str]:
+    """``docs`` with a struct of ``lang_pred`` and ``score``, and its name, which no column has."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -172,11 +167,27 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
         for texts in batches:
             yield pd.DataFrame(map(scorer.predict, texts), columns=["lang_pred", "score"])
 
-    found = docs.drop("lang_pred", "score").withColumn("_language", predicted(F.col("text")))
-    return found.select("*", "_language.lang_pred", "_language.score").drop("_language")
+    name, taken = "_language", {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return docs.withColumn(name, predicted(F.col("text"))), name
+
+
+def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``, the probability of that language.
+
+    Only the text is looked at, and all of it.  A null text or one without a
+    letter is ``und`` with score 0.  Ties go to the language first in order.
+    Columns of those names are replaced, others are passed through.
+    """
+    found, name = _scored(docs.drop("lang_pred", "score"), model)
+    return found.select("*", f"{name}.lang_pred", f"{name}.score").drop(name)
 
 
 def confident(docs: DataFrame, model: LanguageModel, min_score: float = 0.5) -> DataFrame:
-    """The documents with a language: ``und`` and scores below ``min_score`` go."""
-    kept = identify(docs, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
-    return kept.select(*docs.columns)
+    """The documents with a language: ``und`` and scores below ``min_score`` go.
+
+    Kept rows are as they came, in columns named like the results too.
+    """
+    found, name = _scored(docs, model)
+    return found.filter((F.col(f"{name}.lang_pred") != UNKNOWN) & (F.col(f"{name}.score") >= min_score)).drop(name)
