@@ -41,29 +41,34 @@ def _unit(vectors: list) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def usable_vectors(rows: DataFrame, id_column: str, vector: str) -> DataFrame:
-    """``vec_id, body``: vectors with a direction, as doubles in one binary each.
+def packed_vectors(rows: DataFrame, id_column: str, vector: str) -> DataFrame:
+    """``vec_id, body``, a row a row: a vector with a direction as doubles in one binary.
 
-    Rows with a null id, and vectors that are null, empty, zero or hold a null
-    or non-finite component are left out.  All others must have one length.
+    The body is null where the id is, and where the vector is null, empty, zero
+    or holds a null or non-finite component.
     """
 
+    def body(i: int | None, v: list | None) -> bytes | None:
+        if i is None or not v or None in v:
+            return None
+        x = np.array(v, np.float64)
+        # Zeros of both signs are one number, so equal vectors are equal bytes.
+        return (x + 0.0).tobytes() if np.isfinite(x).all() and x.any() else None
+
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, vectors in rows_of(batches, "vec_id", "vector"):
-            kept = []
-            for i, v in zip(ids, vectors, strict=True):
-                if i is not None and v and None not in v:
-                    x = np.array(v, np.float64)
-                    if np.isfinite(x).all() and x.any():
-                        kept.append((i, x.tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.binary())], ["vec_id", "body"]
-            )
+            bodies = list(map(body, ids, vectors))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(bodies, pa.binary())], ["vec_id", "body"])
 
     slim = rows.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
     return slim.mapInArrow(packed, "vec_id long, body binary")
 
 
+def usable_vectors(rows: DataFrame, id_column: str, vector: str) -> DataFrame:
+    """The rows of ``packed_vectors`` that have a body."""
+    return packed_vectors(rows, id_column, vector).filter("body IS NOT NULL")
+
+
 def _matrix(bodies: list[bytes]) -> np.ndarray:
     return _unit(np.frombuffer(b"".join(bodies), np.float64).reshape(len(bodies), -1))
 
@@ -104,6 +109,21 @@ def _homes(distinct: DataFrame, pivots) -> DataFrame:
     return distinct.mapInArrow(nearest, "vec_id long, body binary, copies long, home int, far double")
 
 
+def _guests(at_home: DataFrame, pivots, radius: np.ndarray, r: float) -> dict[int, int]:
+    """How many vectors each cell is visited by; a task adds one row a cell."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gaps = np.sqrt(np.maximum(0.0, 2 - 2 * (pivots.value @ pivots.value.T)))
+        guests = np.zeros(len(radius), np.int64)
+        for bodies, homes in rows_of(batches, "body", "home"):
+            guests += _copies(_matrix(bodies) @ pivots.value.T, np.array(homes), gaps, radius, r).sum(axis=0)
+        cells = np.flatnonzero(guests)
+        yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(guests[cells])], ["cell", "n"])
+
+    sums = at_home.select("body", "home").mapInArrow(counted, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    return {x["cell"]: x["n"] for x in sums.collect()}
+
+
 def _dealt(at_home: DataFrame, pivots, plan, r: float) -> DataFrame:
     """Members in their block of their cell, guests at every block they may have a neighbour in.
 
@@ -183,7 +203,8 @@ class _Block:
 def links_of_cells(distinct: DataFrame, cosine: float) -> DataFrame:
     """``(a, b, links)``: edges that connect all linked vectors and, with b null, how many rows link to a.
 
-    ``distinct(vec_id, body, copies)`` has equal vectors folded into one row.
+    ``distinct(vec_id, body, copies)`` has equal vectors folded into one row, all
+    of one length, with a vec_id of its own.
     """
     spark = distinct.sparkSession
     r = math.sqrt(max(0.0, 2 - 2 * cosine))
@@ -193,8 +214,8 @@ def links_of_cells(distinct: DataFrame, cosine: float) -> DataFrame:
     sizes = {x["home"]: x for x in at_home.groupBy("home").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}
     members = np.array([sizes[p]["n"] if p in sizes else 0 for p in range(len(pivots))], np.int64)
     radius = np.array([sizes[p]["far"] if p in sizes else -9.0 for p in range(len(pivots))])
-    # Every vector may be a guest of a cell, so all count for its runs.
-    runs = np.full(len(pivots), max(1, -(-int(members.sum()) // GUESTS_IN_A_RUN)), np.int64)
+    guests = _guests(at_home, shared, radius, r)
+    runs = np.array([max(1, -(-guests.get(p, 0) // GUESTS_IN_A_RUN)) for p in range(len(pivots))], np.int64)
     plan = spark.sparkContext.broadcast((-(-members // BLOCK_VECTORS), radius, runs))
     dealt = _dealt(at_home, shared, plan, r).repartition("cell", "block", "run")
     dealt = dealt.sortWithinPartitions("cell", "block", "run", "guest")
@@ -234,26 +255,35 @@ def near_vectors(
     """``vec_id, n_links, component_id, kept``, one row per row of ``rows``.
 
     ``n_links`` counts the other rows whose cosine is at least ``cosine``,
-    ``component_id`` is the smallest id that links reach, and the row with that
-    id is kept.  Unusable vectors (see ``usable_vectors``) link with nothing and
-    are kept.  ``cosine`` is above 0; other columns are ignored.
+    ``component_id`` is the smallest id that links reach, and rows with that id
+    are kept.  Unusable vectors (see ``packed_vectors``) link with nothing and
+    are kept.  Rows that share an id are rows of their own: each has the links
+    of its vector, and nothing follows from the common id.  Vectors of different
+    lengths never link; every length that occurs twice or more is joined by
+    itself.  ``cosine`` is above 0; other columns are ignored.
     """
-    ids = rows.select(F.col(id_column).cast("long").alias("vec_id"))
-    usable = materialize(usable_vectors(rows, id_column, vector), "vectors")
-    classes = usable.groupBy("body").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
-    classes = materialize(classes, "classes")
-    if classes.isEmpty():
-        return ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    found = materialize(links_of_cells(classes.withColumnRenamed("first", "vec_id"), cosine), "links")
-    component = connected_components(found.filter("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "first")
-    linked = found.filter("b IS NULL").groupBy(F.col("a").alias("first")).agg(F.sum("links").alias("links"))
-    facts = classes.join(linked, "first", "left").join(component, "first", "left")
-    facts = materialize(facts.select("body", "first", "copies", "links", F.coalesce("component", "first").alias("component")), "facts")
-    placed = usable.join(facts, "body").select("vec_id", "component", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
-    of_id = materialize(placed.distinct(), "placed")
-    return ids.join(of_id, "vec_id", "left").select(
+    vectors = materialize(packed_vectors(rows, id_column, vector), "vectors")
+    classes = vectors.filter("body IS NOT NULL").groupBy("body").agg(
+        F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies")
+    )
+    # Vertices get their numbers when they are written.
+    classes = materialize(classes.withColumn("vertex", F.monotonically_increasing_id()), "classes")
+    length = F.octet_length("body")
+    lengths = classes.groupBy(length.alias("length")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").orderBy("length").collect()
+    found = classes.sparkSession.createDataFrame([], "a long, b long, links long")
+    for row in lengths:
+        joined = classes.filter(length == row["length"]).select(F.col("vertex").alias("vec_id"), "body", "copies")
+        found = found.unionByName(materialize(links_of_cells(joined, cosine), "links"))
+    component = connected_components(found.filter("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "vertex")
+    linked = found.filter("b IS NULL").groupBy(F.col("a").alias("vertex")).agg(F.sum("links").alias("links"))
+    facts = classes.join(linked, "vertex", "left").join(component, "vertex", "left")
+    facts = facts.select("body", "first", "copies", "links", F.coalesce("component", "vertex").alias("component"))
+    facts = materialize(facts, "facts")
+    least = materialize(facts.groupBy("component").agg(F.min("first").alias("least")), "least")
+    of_body = facts.join(least, "component").select("body", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    return vectors.join(of_body, "body", "left").select(
         "vec_id",
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component", "vec_id").alias("component_id"),
-        F.coalesce(F.col("vec_id") == F.col("component"), F.lit(True)).alias("kept"),
+        F.coalesce("least", "vec_id").alias("component_id"),
+        F.coalesce(F.col("vec_id") == F.col("least"), F.lit(True)).alias("kept"),
     )
