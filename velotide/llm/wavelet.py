@@ -15,12 +15,14 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -40,6 +42,15 @@ _REMEMBERED = 800_000
 
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
+# The split of byte-level tokenizers, and characters whose classes
+# no version of Unicode has changed.  Others are left to the tokenizer's own split.
+_UNITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_SETTLED = re.compile(r"[\t\n\r -~\u00A1-\u024F\u0400-\u0481\u2010-\u2027\u3041-\u3093\u30A1-\u30F6\u4E00-\u9FA5]*")
+# Writers of so many little-endian 32-bit integers.
+_FORMS = [struct.Struct(f"<{n}I").pack for n in range(32)]
+# A lone surrogate, which no text holds; its byte is none of UTF-8.
+_BETWEEN, _BETWEEN_BYTE = "\udcff", 0xFF
+
 
 def planes(ids: np.ndarray, bits: int) -> Iterator[np.ndarray]:
     """Bit-planes of the ids, highest bit first; each stably sorts by the bit before."""
@@ -190,12 +201,21 @@ class WaveletMatrix:
         return ids
 
 
+def byte_characters() -> dict[int, str]:
+    """The visible character that stands for each byte in a byte-level vocabulary."""
+    shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b != 0xAD]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Ids of whole texts, as little-endian 32-bit integers.
 
     A byte-level tokenizer never joins what lies on both sides of a single space
     between two other characters, so texts are cut there and what repeats is
-    encoded once.  The tokenizer encodes every piece.
+    encoded once.  New pieces are cut into the units the tokenizer merges
+    within, and its model encodes every new unit; pieces with unusual characters
+    or added tokens are left whole to the tokenizer.
     """
 
     def __init__(self, tokenizer: str):
@@ -203,11 +223,23 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
+        self.model = self.tokenizer.model
         kind = json.loads(self.tokenizer.to_str())
         split = kind["pre_tokenizer"] or {}
-        self.cuts = kind["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split["add_prefix_space"]
+        self.added = [t["content"] for t in kind["added_tokens"]]
+        unusual = [re.escape(t) for t in self.added]
+        self.unusual = re.compile("|".join(unusual)).search if unusual else lambda piece: None
+        self.cuts = (
+            not any(kind[k] for k in ("normalizer", "truncation", "padding"))
+            and split.get("type") == "ByteLevel"
+            and split.get("use_regex", True)
+            and not split["add_prefix_space"]
+            and not any(" " in t or t.isalpha() for t in self.added)
+        )
+        self.shown = byte_characters()
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {}
 
     def _pieces(self, text: str) -> list[str]:
         if not self.cuts:
@@ -220,20 +252,51 @@ class Encoder:
     def _learn(self, known: dict[str, bytes], pieces: set[str], lead: str) -> None:
         if len(known) > _REMEMBERED:
             known.clear()
-        new = list(pieces.difference(known))
-        for start in range(0, len(new), 10_000):
-            part = new[start : start + 10_000]
+        whole, letters, cut = [], [], {}
+        settled, unusual, units_of = _SETTLED.fullmatch, self.unusual, _UNITS.findall
+        for piece in pieces.difference(known):
+            if not self.cuts or not (piece.isascii() and piece.isprintable() or settled(piece)):
+                whole.append(piece)
+            elif piece.isalpha():  # one unit
+                letters.append(piece)
+            elif unusual(piece):
+                whole.append(piece)
+            else:
+                cut[piece] = units_of(lead + piece)
+        for start in range(0, len(whole), 10_000):
+            part = whole[start : start + 10_000]
             for piece, e in zip(part, self.tokenizer.encode_batch([lead + p for p in part], add_special_tokens=False), strict=True):
                 known[piece] = np.array(e.ids, "<u4").tobytes()
+        units = {lead + piece for piece in letters}
+        units.update(*cut.values())
+        self._learn_units(units)
+        for piece in letters:
+            known[piece] = self.units[lead + piece]
+        for piece, parts in cut.items():
+            known[piece] = b"".join([self.units[u] for u in parts])
+
+    def _learn_units(self, units: set[str]) -> None:
+        if len(self.units) > _REMEMBERED:
+            self.units.clear()
+        new = list(units.difference(self.units))
+        if not new:
+            return
+        octets = _BETWEEN.join(new).encode("utf-8", "surrogateescape")
+        shown = octets.decode("latin-1").translate(self.shown).split(self.shown[_BETWEEN_BYTE])
+        tokenize = self.model.tokenize
+        for unit, body in zip(new, shown, strict=True):
+            ids = [t.id for t in tokenize(body)]
+            self.units[unit] = _FORMS[len(ids)](*ids) if len(ids) < len(_FORMS) else np.array(ids, "<u4").tobytes()
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         cut = [self._pieces(t) if t else [""] for t in texts]
-        self._learn(self.first, {c[0] for c in cut}, "")
-        later: set[str] = set()
+        heads = [c[0] for c in cut]
+        self._learn(self.first, set(heads), "")
         for c in cut:
-            later.update(c[1:])
-        self._learn(self.later, later, " ")
-        return [b"".join([self.first[c[0]], *map(self.later.__getitem__, c[1:])]) for c in cut]
+            del c[0]
+        self._learn(self.later, set().union(*cut), " ")
+        later = self.later.__getitem__
+        return [b"".join([self.first[head], *map(later, c)]) for head, c in zip(heads, cut, strict=True)]
 
 
 @lru_cache(maxsize=1)
