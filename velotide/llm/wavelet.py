@@ -38,7 +38,7 @@ _END = 0  # the id that ends a document
 
 # Tokens after which a task starts a new shard, and texts' pieces it remembers.
 SHARD_TOKENS = 1 << 22
-_REMEMBERED = 800_000
+_REMEMBERED = 1_000_000
 
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -46,6 +46,7 @@ _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # no version of Unicode has changed.  Others are left to the tokenizer's own split.
 _UNITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _SETTLED = re.compile(r"[\t\n\r -~\u00A1-\u024F\u0400-\u0481\u2010-\u2027\u3041-\u3093\u30A1-\u30F6\u4E00-\u9FA5]*")
+_MARKS = ".,;:!?%*\"'()-"
 # Writers of so many little-endian 32-bit integers.
 _FORMS = [struct.Struct(f"<{n}I").pack for n in range(32)]
 # A lone surrogate, which no text holds; its byte is none of UTF-8.
@@ -57,7 +58,7 @@ def planes(ids: np.ndarray, bits: int) -> Iterator[np.ndarray]:
     for bit in range(bits - 1, -1, -1):
         ones = (ids >> bit & 1).astype(bool)
         yield ones
-        ids = np.concatenate((ids[~ones], ids[ones]))
+        ids = np.concatenate((np.compress(~ones, ids), np.compress(ones, ids)))
 
 
 def pack(ids: np.ndarray, doc_ids: list[int | None], starts: list[int]) -> bytes:
@@ -193,7 +194,7 @@ class WaveletMatrix:
             offsets = self.offsets[plane]
             body = self._read(self.header["planes"][plane]["blocks"], int(offsets[-1]))
             packed = b"".join(unzip.decompress(body[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))
-            ones = np.unpackbits(np.frombuffer(packed, np.uint8), count=self.n, bitorder="little").astype(bool)
+            ones = np.unpackbits(np.frombuffer(packed, np.uint8), count=self.n, bitorder="little").view(bool)
             ids_before = np.empty_like(ids)
             ids_before[~ones] = ids[: self.zeros[plane]]
             ids_before[ones] = ids[self.zeros[plane] :] | ids.dtype.type(1 << (self.bits - 1 - plane))
@@ -261,6 +262,8 @@ class Encoder:
                 letters.append(piece)
             elif unusual(piece):
                 whole.append(piece)
+            elif (word := piece.rstrip(_MARKS)).isalpha():  # two units
+                cut[piece] = (lead + word, piece[len(word) :])
             else:
                 cut[piece] = units_of(lead + piece)
         for start in range(0, len(whole), 10_000):
