@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -78,6 +79,7 @@ def main(argv: list[str]) -> int:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="velotide-tables-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
