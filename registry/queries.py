@@ -509,13 +509,14 @@ def _encoded_categories(t: Tables) -> DataFrame:
     """Slots of all rows by an index of the training rows: where the stations' and hours' are, and their values."""
     rows = _training_rows(t)
     stages = categories.category_stages(categories.category_index(rows, CATEGORIES, MIN_ROWS))
-    raw, scaled = vector_to_array("raw_categories"), vector_to_array("scaled_categories")
-    filled = F.filter(F.sequence(F.lit(0), F.size("raw") - 1), lambda i: F.col("raw")[i] != 0)
     encoded = Pipeline(stages=stages).fit(rows).transform(t.silver_table)
-    slots = encoded.withColumns({"raw": raw, "scaled": scaled}).withColumn("filled", filled).select(
-        "station_id", "event_hour", F.size("raw").alias("slots"), F.size("filled").alias("filled_slots"),
-        F.col("filled")[0].alias("station_slot"), F.col("filled")[1].alias("hour_slot"),
-        F.col("scaled")[F.col("filled")[0]].alias("station_value"), F.col("scaled")[F.col("filled")[1]].alias("hour_value"),
+    encoded = encoded.withColumn("filled", categories.filled_slots("raw_categories"))
+    station, hour = F.col("filled")[0], F.col("filled")[1]
+    slots = encoded.select(
+        "station_id", "event_hour", categories.slot_count("raw_categories").alias("slots"), F.size("filled").alias("filled_slots"),
+        station.alias("station_slot"), hour.alias("hour_slot"),
+        categories.slot_value("scaled_categories", station).alias("station_value"),
+        categories.slot_value("scaled_categories", hour).alias("hour_value"),
     )
     return comparable(slots, "station_value", "hour_value", digits=6)
 

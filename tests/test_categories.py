@@ -1,10 +1,18 @@
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tests.helpers import hours, rows
-from velotide.operators.categories import category_counts, category_index, category_stages
+from velotide.operators.categories import (
+    category_counts,
+    category_index,
+    category_stages,
+    filled_slots,
+    slot_count,
+    slot_value,
+)
 from velotide.plans.gold import encoded_features, run_gold
 
 
@@ -92,3 +100,16 @@ def test_saved_steps_encode_new_stations(spark, silver, tmp_path):
     assert again == rows(spark.read.parquet(str(tmp_path / "gold")).select("station_id", "event_hour", array))
     new = steps.transform(silver.withColumn("station_id", F.lit("new"))).select(vector_to_array("raw_categories").alias("v"))
     assert {tuple(r.v) for r in new.collect()} == {(0.0, 0.0, 0.0, 1.0)}
+
+
+def test_slots_are_read_from_sparse_and_dense_vectors(spark):
+    vectors = [Vectors.sparse(10**9, [3, 7, 10**9 - 1], [0.5, 0.0, 2.0]), Vectors.dense(0.0, 0.5, 0.0, 2.0), Vectors.sparse(4, [], [])]
+    table = spark.createDataFrame([(v,) for v in vectors], ["v"]).withColumn("filled", filled_slots("v"))
+    values = [slot_value("v", F.get("filled", F.lit(i))) for i in (0, 1)]
+    got = [tuple(r) for r in table.select(slot_count("v"), "filled", *values, slot_value("v", F.lit(2))).collect()]
+    assert got == [(10**9, [3, 10**9 - 1], 0.5, 2.0, 0.0), (4, [1, 3], 0.5, 2.0, 0.0), (4, [], 0.0, 0.0, 0.0)]
+
+
+def test_many_frequent_categories_are_all_kept(spark):
+    many = spark.range(60_000).select(F.col("id").cast("string").alias("station"))
+    assert len(_labels(category_index(many, ["station"]))[0]) == 60_000

@@ -8,11 +8,12 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Length of the labels' list of one column, which the driver and the saved model hold.
-MAX_CATEGORIES = 50_000
+# Length of the labels' list of one column, which the driver and the saved model hold
+# (some tens of MB); the scaler's sums are as many numbers.
+MAX_CATEGORIES = 1_000_000
 
 
 def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -68,3 +69,23 @@ def category_stages(index: list[StringIndexerModel], output: str = "scaled_categ
         VectorAssembler(inputCols=slots, outputCol="raw_categories"),
         StandardScaler(inputCol="raw_categories", outputCol=output, withMean=False, withStd=True),
     ]
+
+
+def slot_count(vector: str) -> Column:
+    """Length of the vectors of a column."""
+    v = F.unwrap_udt(vector)
+    return F.when(v["size"].isNull(), F.size(v["values"])).otherwise(v["size"])
+
+
+def filled_slots(vector: str) -> Column:
+    """Places whose value is not zero, ascending; a sparse vector is never filled up."""
+    v = F.unwrap_udt(vector)
+    places = F.transform(v["values"], lambda x, i: F.when(x != 0, F.when(v["size"].isNull(), i).otherwise(v["indices"][i])))
+    return F.array_compact(places)
+
+
+def slot_value(vector: str, place: Column) -> Column:
+    """The value at ``place``."""
+    v = F.unwrap_udt(vector)
+    at = F.when(v["size"].isNull(), place + 1).otherwise(F.array_position(v["indices"], place))
+    return F.when(at > 0, F.get(v["values"], (at - 1).cast("int"))).otherwise(0.0)
