@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
-# Bytes hashed at once; a text is cut between words.
-_CHUNK = 1 << 20
+# Bytes hashed at once, some 50 bytes of memory each; a text is cut between words.
+_CHUNK = 1 << 17
 _STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 _SPACE = np.zeros(256, bool)

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -161,11 +161,13 @@ def _scored(docs: DataFrame, model: LanguageModel) -> tuple[DataFrame, str]:
     """``docs`` with a struct of ``lang_pred`` and ``score``, and its name, which no column has."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
         for texts in batches:
-            yield pd.DataFrame(map(scorer.predict, texts), columns=["lang_pred", "score"])
+            found = [scorer.predict(t) for t in texts.to_pylist()]
+            columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            yield pa.StructArray.from_arrays(columns, ["lang_pred", "score"])
 
     name, taken = "_language", {c.lower() for c in docs.columns}
     while name in taken:

@@ -119,6 +119,13 @@ def _is_text(unit: bytes) -> bool:
         return False
 
 
+def _grown(array: np.ndarray, used: int, needed: int) -> np.ndarray:
+    """The used entries in an array with room for those needed and an eighth more; the rest is not touched."""
+    larger = np.empty(needed + needed // 8, array.dtype)
+    larger[:used] = array[:used]
+    return larger
+
+
 class Lattices:
     """Lattices of distinct units, ready for drawing.
 
@@ -155,10 +162,10 @@ class Lattices:
         """Keeps edges, and for each node of the units in turn where its edges begin."""
         a, b = self.edges, self.edges + len(keys)
         if b > len(self.keys):
-            self.keys, self.back, self.piece = (np.resize(x, 2 * b) for x in (self.keys, self.back, self.piece))
+            self.keys, self.back, self.piece = (_grown(x, a, b) for x in (self.keys, self.back, self.piece))
         node = self.nodes + len(first)
         if node > len(self.first):
-            self.first = np.resize(self.first, 2 * node)
+            self.first = _grown(self.first, self.nodes, node)
         self.keys[a:b], self.back[a:b], self.piece[a:b] = keys, back, piece
         self.first[self.nodes : node] = first
         ends = self.nodes - 1 + np.cumsum([len(u) + 1 for u in units])
