@@ -3,8 +3,9 @@
 The grams of a document are ordered by how often they occur in all documents,
 rarest first.  Two sets that are similar enough share a gram among their first
 few, so only those prefixes are joined.  Candidates of one prefix gram are tied
-to one hub each before anything else where only groups are wanted, and what the
-hubs do not connect is compared pair by pair; for all links every pair is.
+to one hub each before anything else where only groups are wanted, then to their
+neighbours in it, and what these do not connect is compared pair by pair; for all
+links every pair is.
 """
 
 from __future__ import annotations
@@ -217,6 +218,19 @@ def hub_candidates(tied: DataFrame, percent: int) -> DataFrame:
     return _pairs(both.filter((F.col("vertex") != F.col("vertex_b")) & _may_link(percent)))
 
 
+def neighbour_candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """Each vertex of a gram paired with the next one of another component, in an order of the gram's own.
+
+    Every gram orders its vertices anew, so members of a family get a random
+    partner for each gram they share: as many pairs as rows, not their square.
+    """
+    part = F.pmod(F.xxhash64("vertex"), F.ceil(F.col("met") / F.lit(_ROWS_OF_A_HUB)).cast("long"))
+    order = Window.partitionBy("gram", "part").orderBy(F.xxhash64("gram", "vertex"), "vertex")
+    following = F.lead(F.struct(*[F.col(c).alias(f"{c}_b") for c in ("vertex", "n", "pos", "component")])).over(order)
+    both = rows.withColumn("part", part).withColumn("next", following).select("*", "next.*")
+    return _pairs(both.filter((F.col("component") != F.col("component_b")) & _may_link(percent)))
+
+
 def suffix_bound(a: np.ndarray, b: np.ndarray, cuts: np.ndarray) -> int:
     """At most so many common values: cells of the value range hold min(count, count) of them."""
     in_a = np.diff(np.searchsorted(a, cuts), prepend=0, append=len(a))
@@ -435,12 +449,23 @@ def link_counts(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFr
     return counted.select("doc_id", "n_shingles", n_links.alias("n_links"))
 
 
+def _still_open(vertices: DataFrame, shared: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Vertices and prefix rows with the component ``links`` give them, and grams of several components."""
+    component = materialize(connected_components(links), "components")
+    known = vertices.select("vertex", *_SKETCH).join(component.withColumnRenamed("node", "vertex"), "vertex", "left")
+    known = materialize(known.withColumn("component", F.coalesce("component", "vertex")), "known")
+    placed = shared.select("gram", "vertex", "n", "pos").join(known.select("vertex", "component"), "vertex")
+    placed = materialize(placed, "placed-prefixes")
+    spread = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("met"))
+    return known, placed, materialize(spread.filter(F.col("low") < F.col("high")).select("gram", "met"), "open-grams")
+
+
 def connecting_links(docs: DataFrame, *, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """As ``ngram_jaccard_join``, with links that connect all that is linked.
 
     Every link between different sets is in ``links`` or lies within a
     component that ``links`` connects: pairs whose ends are already connected
-    through a hub are not compared.
+    through a hub or neighbours are not compared.
     """
     members, vertices, shared = _shared_prefixes(docs, words, percent)
     of_a = vertices.select(F.col("vertex").alias("a"), "n", *_SKETCH)
@@ -448,15 +473,17 @@ def connecting_links(docs: DataFrame, *, words: int = 5, percent: int = 80) -> t
     tied = materialize(hub_candidates(shared, percent), "hub-pairs")
     likely = tied.join(of_a, "a").join(of_b, "b").filter(_sketches_may_link(percent)).select("a", "b")
     links = materialize(verified(docs, materialize(likely, "likely"), vertices, words, percent), "hub-links")
-    component = materialize(connected_components(links), "hub-components")
 
-    # What is left: vertices of one gram in different components, pair by pair.
-    known = vertices.select("vertex", *_SKETCH).join(component.withColumnRenamed("node", "vertex"), "vertex", "left")
-    known = materialize(known.withColumn("component", F.coalesce("component", "vertex")), "known")
-    placed = shared.select("gram", "vertex", "n", "pos").join(known.select("vertex", "component"), "vertex")
-    placed = materialize(placed, "placed-prefixes")
-    spread = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("met"))
-    open_grams = materialize(spread.filter(F.col("low") < F.col("high")).select("gram", "met"), "open-grams")
+    # What is left: vertices of one gram in different components.  Neighbours in
+    # it come first: they connect most large families without meeting all pairs.
+    known, placed, open_grams = _still_open(vertices, shared, links)
+    near = neighbour_candidates(placed.join(open_grams, "gram"), percent).join(tied, ["a", "b"], "left_anti")
+    near = near.join(of_a, "a").join(of_b, "b").filter(_sketches_may_link(percent)).select("a", "b")
+    near = materialize(near, "neighbours")
+    tied = tied.unionByName(near)
+    if not near.isEmpty():
+        links = materialize(links.unionByName(verified(docs, near, vertices, words, percent)), "links-so-far")
+        known, placed, open_grams = _still_open(vertices, shared, links)
     rest = met_pairs(placed.drop("component").join(open_grams, "gram"), known, percent, other_components=True)
     rest = materialize(rest.join(tied, ["a", "b"], "left_anti"), "other-pairs")
     if rest.isEmpty():
