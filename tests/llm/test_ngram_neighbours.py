@@ -33,6 +33,7 @@ def test_neighbours_connect_a_family_before_its_pairs_are_met(spark, monkeypatch
         return pairs
 
     monkeypatch.setattr(ngram_join, "met_pairs", counted)
+    monkeypatch.setattr(ngram_join, "_PAIRS_MET_AT_ONCE", 100, raising=False)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     rows = ngram_join.near_duplicate_groups(docs, words=4, percent=85).collect()
     assert {r["doc_id"]: r["component_id"] for r in rows} == dict(enumerate(component))

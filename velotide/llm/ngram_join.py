@@ -46,6 +46,8 @@ _GRAMS_SHARING = 1 << 17
 _PAIRS_IN_A_PLACE = 1 << 18
 # Rows of one gram on either side that meet in one place.
 _ROWS_THAT_MEET = 4096
+# Pairs of rows of one gram that meet without neighbours being compared before.
+_PAIRS_MET_AT_ONCE = 1 << 20
 # Bytes of sets in one batch on their way to their places.
 _SENT_BYTES = 1 << 22
 # Vertices a task remembers to have sent.
@@ -475,15 +477,16 @@ def connecting_links(docs: DataFrame, *, words: int = 5, percent: int = 80) -> t
     links = materialize(verified(docs, materialize(likely, "likely"), vertices, words, percent), "hub-links")
 
     # What is left: vertices of one gram in different components.  Neighbours in
-    # it come first: they connect most large families without meeting all pairs.
+    # it come first where many would meet: they connect most large families.
     known, placed, open_grams = _still_open(vertices, shared, links)
-    near = neighbour_candidates(placed.join(open_grams, "gram"), percent).join(tied, ["a", "b"], "left_anti")
-    near = near.join(of_a, "a").join(of_b, "b").filter(_sketches_may_link(percent)).select("a", "b")
-    near = materialize(near, "neighbours")
-    tied = tied.unionByName(near)
-    if not near.isEmpty():
-        links = materialize(links.unionByName(verified(docs, near, vertices, words, percent)), "links-so-far")
-        known, placed, open_grams = _still_open(vertices, shared, links)
+    if (open_grams.agg(F.sum(F.col("met") * F.col("met"))).first()[0] or 0) > 2 * _PAIRS_MET_AT_ONCE:
+        near = neighbour_candidates(placed.join(open_grams, "gram"), percent).join(tied, ["a", "b"], "left_anti")
+        near = near.join(of_a, "a").join(of_b, "b").filter(_sketches_may_link(percent)).select("a", "b")
+        near = materialize(near, "neighbours")
+        tied = tied.unionByName(near)
+        if not near.isEmpty():
+            links = materialize(links.unionByName(verified(docs, near, vertices, words, percent)), "links-so-far")
+            known, placed, open_grams = _still_open(vertices, shared, links)
     rest = met_pairs(placed.drop("component").join(open_grams, "gram"), known, percent, other_components=True)
     rest = materialize(rest.join(tied, ["a", "b"], "left_anti"), "other-pairs")
     if rest.isEmpty():
