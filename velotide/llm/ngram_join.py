@@ -11,6 +11,7 @@ links every pair is.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from velotide.llm.common import octets, rows_of
 from velotide.llm.components import connected_components
 from velotide.llm.gram_sets import GramSets
-from velotide.sources.scratch import materialize
+from velotide.sources.scratch import materialize, materialized
 
 # Cells of the frequency table that orders grams: a power of two, and the size
 # of what is broadcast.  The order only has to be the same for all documents;
@@ -37,6 +38,9 @@ _ROWS_OF_A_HUB = 100_000
 
 # A set's parity sketch: 512 bits in 64-bit columns.
 _SKETCH = [f"s{i}" for i in range(8)]
+# Sets of more grams have a sketch of a bit a gram besides, of so many bits at most.
+_GRAMS_OF_A_SKETCH = 512
+_MOST_BITS = 1 << 18
 
 # Gram hashes of a place (8 bytes each).
 _GRAMS_IN_A_PLACE = 1 << 21
@@ -81,13 +85,34 @@ def parity(grams: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64)
 
 
+def long_parity(grams: np.ndarray) -> bytes | None:
+    """As ``parity``, by the last bits of the hashes, for a set that 512 bits say little of.
+
+    There are as many bits as grams, up to a power of two, so that different
+    sets differ in more bits than a link allows.
+    """
+    if len(grams) <= _GRAMS_OF_A_SKETCH:
+        return None
+    bits = min(1 << (len(grams) - 1).bit_length(), _MOST_BITS)
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def parity_difference(x: bytes, y: bytes) -> int:
+    """Bits in which two long sketches differ, the longer one folded to the size of the other."""
+    a, b = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _body() -> Column:
     """A text's hash, which with the doc_id finds the text again, also where ids repeat."""
     return F.xxhash64("text").alias("body")
 
 
 def document_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
-    """``members(doc_id, body, n_shingles, vertex, s0..s7)`` and how many grams fall into each cell.
+    """``members(doc_id, body, n_shingles, vertex, s0..s7, parity)`` and how many grams fall into each cell.
 
     Documents with equal sets have one vertex.  Both come from one reading of
     the texts; for the counts every task adds at most one row a cell.
@@ -97,8 +122,9 @@ def document_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, counts = GramSets(words), np.zeros(FREQUENCY_CELLS, np.int64)
 
-        def rows(n: int, **columns):
-            return pa.RecordBatch.from_arrays([pa.array(columns.get(c, [None] * n), pa.int64()) for c in names], names)
+        def rows(n: int, parity=None, **columns):
+            arrays = [pa.array(columns.get(c, [None] * n), pa.int64()) for c in names]
+            return pa.RecordBatch.from_arrays([*arrays, pa.array(parity or [None] * n, pa.binary())], [*names, "parity"])
 
         for ids, bodies, texts in rows_of(batches, "doc_id", "body", "text"):
             found = sets(texts)
@@ -110,6 +136,7 @@ def document_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
                 body=bodies,
                 n_shingles=[len(g) for g in found],
                 vertex=list(map(_digest, found)),
+                parity=list(map(long_parity, found)),
                 **dict(zip(_SKETCH, sketches, strict=True)),
             )
         cells = np.flatnonzero(counts)
@@ -118,7 +145,8 @@ def document_sets(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
             yield rows(len(part), n_shingles=counts[part], cell=part)
 
     slim = docs.select(F.col("doc_id").cast("long"), _body(), octets("text").alias("text"))
-    both = materialize(slim.mapInArrow(scanned, ", ".join(f"{c} long" for c in names)), "sets-and-counts")
+    schema = ", ".join([*[f"{c} long" for c in names], "parity binary"])
+    both = materialize(slim.mapInArrow(scanned, schema), "sets-and-counts")
     totals = np.zeros(FREQUENCY_CELLS, np.int64)
     sums = both.filter("cell IS NOT NULL").groupBy("cell").agg(F.sum("n_shingles").alias("n"))
     for r in sums.collect():
@@ -196,6 +224,25 @@ def _sketches_may_link(percent: int):
     return differ <= n - 2 * F.ceil(percent * n / F.lit(100 + percent))
 
 
+def long_sketches_may_link(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
+    """Suffix filter of ``pairs(a, b)`` of long sets; pairs with a short one pass."""
+    known = vertices.filter("parity IS NOT NULL").select("vertex", "n", "parity")
+    side = lambda v: known.select(*[F.col(c).alias(v if c == "vertex" else f"{c}_{v}") for c in known.columns])
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, b, n_a, n_b, x, y in rows_of(batches, "a", "b", "n_a", "n_b", "parity_a", "parity_b"):
+            kept = [
+                x[i] is None
+                or y[i] is None
+                or parity_difference(x[i], y[i]) <= n_a[i] + n_b[i] - 2 * least_overlap(n_a[i], n_b[i], percent)
+                for i in range(len(a))
+            ]
+            ends = [pa.array([v for v, k in zip(end, kept, strict=True) if k], pa.int64()) for end in (a, b)]
+            yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+    return pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").mapInArrow(passed, "a long, b long")
+
+
 def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("vertex", "vertex_b").alias("a"), F.greatest("vertex", "vertex_b").alias("b")).distinct()
 
@@ -318,15 +365,17 @@ def verified(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, words: int,
 def _blocks(pairs: DataFrame, of_vertex: DataFrame) -> DataFrame:
     """``(a, b, n_a, n_b, component, blocks, block)``: a component's pairs in blocks of bounded size.
 
-    A block has all pairs of its vertices b.  A vertex b of more pairs than a
-    block may have is cut again, by a.
+    A block has all pairs of its vertices b, as many as their grams allow.  A
+    vertex b of more pairs than a block may have is cut again, by a.
     """
     of_a = of_vertex.select(F.col("vertex").alias("a"), F.col("n").alias("n_a"), "component")
     of_b = of_vertex.select(F.col("vertex").alias("b"), F.col("n").alias("n_b"))
     sized = materialize(pairs.join(of_a, "a").join(of_b, "b"), "sized-pairs")
-    in_blocks = lambda column: F.ceil(F.col(column) / F.lit(_PAIRS_IN_A_PLACE)).cast("long")
+    in_blocks = lambda column, most=_PAIRS_IN_A_PLACE: F.ceil(F.col(column) / F.lit(most)).cast("long")
     blocks = sized.groupBy("component").agg(F.count(F.lit(1)).alias("pairs"))
-    blocks = materialize(blocks.select("component", in_blocks("pairs").alias("blocks")), "blocks")
+    blocks = blocks.join(of_vertex.groupBy("component").agg(F.sum("n").alias("grams")), "component")
+    count = F.greatest(in_blocks("pairs"), in_blocks("grams", _GRAMS_IN_A_PLACE))
+    blocks = materialize(blocks.select("component", count.alias("blocks")), "blocks")
     # One row for every so many pairs at most.
     heavy = sized.groupBy("b").agg(F.count(F.lit(1)).alias("pairs")).filter(F.col("pairs") > _PAIRS_IN_A_PLACE)
     heavy = materialize(heavy.select("b", in_blocks("pairs").alias("cuts")), "heavy")
@@ -385,27 +434,34 @@ def met_pairs(rows: DataFrame, known: DataFrame, percent: int, other_components:
     rows = rows.join(known.select("vertex", "component", *_SKETCH), "vertex")
     rows = rows.withColumn("cuts", F.ceil(F.col("met") / F.lit(_ROWS_THAT_MEET)).cast("long"))
     rows = materialize(rows.withColumn("own", F.pmod(F.xxhash64("vertex"), F.col("cuts"))).drop("met"), "open-prefixes")
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1))
     sides = ["vertex", "n", "pos", "component", "earlier", *_SKETCH]
-    left = rows.select("gram", F.col("own").alias("i"), every.alias("j"), *sides)
-    right = rows.select("gram", every.alias("i"), F.col("own").alias("j"), *[F.col(c).alias(f"{c}_b") for c in sides])
-    met = left.join(right, ["gram", "i", "j"]).filter(F.col("vertex") < F.col("vertex_b"))
+    # Both sides of a gram of one block are the same rows, which are shuffled once.
+    whole = rows.filter("cuts = 1").select("gram", *sides)
+    ends = [F.col(f"l.{c}") for c in sides] + [F.col(f"r.{c}").alias(f"{c}_b") for c in sides]
+    whole = whole.alias("l").join(whole.alias("r"), F.col("l.gram") == F.col("r.gram")).select(*ends)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1))
+    cut = rows.filter("cuts > 1")
+    left = cut.select("gram", F.col("own").alias("i"), every.alias("j"), *sides)
+    right = cut.select("gram", every.alias("i"), F.col("own").alias("j"), *[F.col(c).alias(f"{c}_b") for c in sides])
+    met = whole.unionByName(left.join(right, ["gram", "i", "j"]).drop("gram", "i", "j"))
+    met = met.filter(F.col("vertex") < F.col("vertex_b"))
     if other_components:
         met = met.filter(F.col("component") != F.col("component_b"))
     return _pairs(met.filter(_may_link(percent) & _sketches_may_link(percent) & ~F.arrays_overlap("earlier", "earlier_b")))
 
 
-def _shared_prefixes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Members and vertices of ``docs``, and the prefix rows of grams that several vertices have."""
+def _shared_prefixes(docs: DataFrame, words: int, percent: int, kept: ExitStack) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members and vertices of ``docs``, and the prefix rows of grams that several vertices have, which end with ``kept``."""
     members, frequencies = document_sets(docs, words)
     vertices = members.filter("n_shingles > 0").groupBy("vertex").agg(
         F.min(F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id"), "body")).alias("first"),
         F.max("n_shingles").alias("n"),
-        *[F.max(s).alias(s) for s in _SKETCH],
+        *[F.max(s).alias(s) for s in [*_SKETCH, "parity"]],
     )
     vertices = materialize(vertices.select("*", "first.*").drop("first"), "vertices")
     # A gram of one vertex pairs nothing: most rows end here, within one shuffle.
-    shared = materialize(with_hub(prefixes(docs, words, percent, frequencies), "gram", "part"), "prefixes")
+    shared = with_hub(prefixes(docs, words, percent, frequencies), "gram", "part")
+    shared = kept.enter_context(materialized(shared, "prefixes"))
     return members, vertices, shared
 
 
@@ -421,11 +477,13 @@ def ngram_jaccard_join(docs: DataFrame, *, words: int = 5, percent: int = 80) ->
     without words, has an empty set (n_shingles 0) and no link.  Columns other
     than doc_id and text are ignored.
     """
-    members, vertices, shared = _shared_prefixes(docs, words, percent)
-    met = materialize(shared.groupBy("gram").agg(F.count(F.lit(1)).alias("met")).filter("met > 1"), "shared-grams")
-    rows = shared.select("gram", "vertex", "n", "pos").join(met, "gram")
-    known = vertices.select("vertex", F.col("vertex").alias("component"), *_SKETCH)
-    pairs = materialize(met_pairs(rows, known, percent, other_components=False), "all-pairs")
+    with ExitStack() as kept:
+        members, vertices, shared = _shared_prefixes(docs, words, percent, kept)
+        met = materialize(shared.groupBy("gram").agg(F.count(F.lit(1)).alias("met")).filter("met > 1"), "shared-grams")
+        rows = shared.select("gram", "vertex", "n", "pos").join(met, "gram")
+        known = vertices.select("vertex", F.col("vertex").alias("component"), *_SKETCH)
+        pairs = met_pairs(rows, known, percent, other_components=False)
+        pairs = materialize(long_sketches_may_link(pairs, vertices, percent), "all-pairs")
     return members, materialize(verified(docs, pairs, vertices, words, percent), "all-links")
 
 
@@ -451,15 +509,21 @@ def link_counts(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFr
     return counted.select("doc_id", "n_shingles", n_links.alias("n_links"))
 
 
-def _still_open(vertices: DataFrame, shared: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Vertices and prefix rows with the component ``links`` give them, and grams of several components."""
+def _still_open(
+    vertices: DataFrame, shared: DataFrame, links: DataFrame, kept: ExitStack
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Vertices and prefix rows with the component ``links`` give them, and grams of several components.
+
+    They are written tables that end with ``kept``.
+    """
     component = materialize(connected_components(links), "components")
     known = vertices.select("vertex", *_SKETCH).join(component.withColumnRenamed("node", "vertex"), "vertex", "left")
-    known = materialize(known.withColumn("component", F.coalesce("component", "vertex")), "known")
+    known = kept.enter_context(materialized(known.withColumn("component", F.coalesce("component", "vertex")), "known"))
     placed = shared.select("gram", "vertex", "n", "pos").join(known.select("vertex", "component"), "vertex")
-    placed = materialize(placed, "placed-prefixes")
+    placed = kept.enter_context(materialized(placed, "placed-prefixes"))
     spread = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("met"))
-    return known, placed, materialize(spread.filter(F.col("low") < F.col("high")).select("gram", "met"), "open-grams")
+    spread = spread.filter(F.col("low") < F.col("high")).select("gram", "met")
+    return known, placed, kept.enter_context(materialized(spread, "open-grams"))
 
 
 def connecting_links(docs: DataFrame, *, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -469,26 +533,32 @@ def connecting_links(docs: DataFrame, *, words: int = 5, percent: int = 80) -> t
     component that ``links`` connects: pairs whose ends are already connected
     through a hub or neighbours are not compared.
     """
-    members, vertices, shared = _shared_prefixes(docs, words, percent)
-    of_a = vertices.select(F.col("vertex").alias("a"), "n", *_SKETCH)
-    of_b = vertices.select(F.col("vertex").alias("b"), F.col("n").alias("n_b"), *[F.col(s).alias(f"{s}_b") for s in _SKETCH])
-    tied = materialize(hub_candidates(shared, percent), "hub-pairs")
-    likely = tied.join(of_a, "a").join(of_b, "b").filter(_sketches_may_link(percent)).select("a", "b")
-    links = materialize(verified(docs, materialize(likely, "likely"), vertices, words, percent), "hub-links")
-
-    # What is left: vertices of one gram in different components.  Neighbours in
-    # it come first where many would meet: they connect most large families.
-    known, placed, open_grams = _still_open(vertices, shared, links)
-    if (open_grams.agg(F.sum(F.col("met") * F.col("met"))).first()[0] or 0) > 2 * _PAIRS_MET_AT_ONCE:
-        near = neighbour_candidates(placed.join(open_grams, "gram"), percent).join(tied, ["a", "b"], "left_anti")
-        near = near.join(of_a, "a").join(of_b, "b").filter(_sketches_may_link(percent)).select("a", "b")
-        near = materialize(near, "neighbours")
-        tied = tied.unionByName(near)
-        if not near.isEmpty():
-            links = materialize(links.unionByName(verified(docs, near, vertices, words, percent)), "links-so-far")
-            known, placed, open_grams = _still_open(vertices, shared, links)
-    rest = met_pairs(placed.drop("component").join(open_grams, "gram"), known, percent, other_components=True)
-    rest = materialize(rest.join(tied, ["a", "b"], "left_anti"), "other-pairs")
+    with ExitStack() as kept, ExitStack() as round_:
+        members, vertices, shared = _shared_prefixes(docs, words, percent, kept)
+        of_a = vertices.select(F.col("vertex").alias("a"), "n", *_SKETCH)
+        of_b = vertices.select(F.col("vertex").alias("b"), F.col("n").alias("n_b"), *[F.col(s).alias(f"{s}_b") for s in _SKETCH])
+
+        def written(pairs: DataFrame, label: str) -> DataFrame:
+            likely = pairs.join(of_a, "a").join(of_b, "b").filter(_sketches_may_link(percent)).select("a", "b")
+            return materialize(long_sketches_may_link(likely, vertices, percent), label)
+
+        tied = materialize(hub_candidates(shared, percent), "hub-pairs")
+        links = materialize(verified(docs, written(tied, "likely"), vertices, words, percent), "hub-links")
+
+        # What is left: vertices of one gram in different components.  Neighbours in
+        # it come first where many would meet: they connect most large families.
+        known, placed, open_grams = _still_open(vertices, shared, links, round_)
+        if (open_grams.agg(F.sum(F.col("met") * F.col("met"))).first()[0] or 0) > 2 * _PAIRS_MET_AT_ONCE:
+            near = neighbour_candidates(placed.join(open_grams, "gram"), percent).join(tied, ["a", "b"], "left_anti")
+            near = written(near, "neighbours")
+            tied = tied.unionByName(near)
+            if not near.isEmpty():
+                links = materialize(links.unionByName(verified(docs, near, vertices, words, percent)), "links-so-far")
+                round_.close()
+                known, placed, open_grams = _still_open(vertices, shared, links, round_)
+        rest = met_pairs(placed.drop("component").join(open_grams, "gram"), known, percent, other_components=True)
+        rest = long_sketches_may_link(rest.join(tied, ["a", "b"], "left_anti"), vertices, percent)
+        rest = materialize(rest, "other-pairs")
     if rest.isEmpty():
         return members, links
     return members, materialize(links.unionByName(verified(docs, rest, vertices, words, percent)), "links")
