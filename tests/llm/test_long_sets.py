@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -70,3 +72,14 @@ def test_components_of_one_task_are_those_of_stars(spark, monkeypatch):
     monkeypatch.setattr(components, "_EDGES_OF_A_TASK", 0)
     assert by_task == sorted(map(tuple, components.connected_components(edges).collect()))
     assert dict(by_task)[1200] == 1000
+
+
+def test_tables_of_finished_rounds_are_deleted(spark):
+    """What the pipeline's second stage leaves on disk has a row a document, none for every gram."""
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "velotide"
+    before = set(folder.glob("*"))
+    words = [f"word{i}" for i in range(60)]
+    docs = table(spark, [(i, " ".join([*words, f"end{i}"])) for i in range(6)] + [(9, "another text without copies at all")])
+    assert sorted(r["doc_id"] for r in ngram_join.one_of_each_group(docs, words=5, percent=80).collect()) == [0, 9]
+    left = {p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before}
+    assert "vertices" in left and not left & {"prefixes", "placed-prefixes", "open-grams", "known"}
