@@ -54,3 +54,24 @@ def test_runs_follow_the_guests_of_a_cell(spark, monkeypatch):
         label = lower
     want = Counter((i, int(n.sum()) - 1, int(c), bool(i == c)) for (i, _), n, c in zip(rows, near, label, strict=True))
     assert Counter(_found(spark, rows)) == want
+
+
+def test_of_two_blocks_one_visits_the_other():
+    blocks = np.array([1, 3, 0, 2, 1])
+    numbers = [(cell, block) for cell, n in enumerate(blocks) for block in range(n)]
+    home, turn = (np.array(x) for x in zip(*numbers, strict=True))
+    # Pivots as far from each other as from the vectors: neither bound rules out a cell.
+    near, gaps, radius = np.zeros((len(home), len(blocks))), np.ones((len(blocks),) * 2), np.full(len(blocks), 2.0)
+    who, cell, block = embedding_join._visits(near, turn, home, gaps, blocks, radius, 0.5)
+    visits = [(numbers[w], (c, b)) for w, c, b in zip(who.tolist(), cell.tolist(), block.tolist(), strict=True)]
+    assert Counter(map(frozenset, visits)) == Counter(frozenset((a, b)) for a in numbers for b in numbers if a < b)
+    assert set(Counter(b for _, b in visits).values()) == {3}
+
+
+def test_odd_components_and_repeated_vectors(spark):
+    rows = [
+        (1, [1.0, 0.0]), (2, [1.0, -0.0]), (2, [1.0, 0.0]), (3, []), (4, [None, 1.0]), (5, [math.nan, 1.0]),
+        (6, None), (None, None), (7, [1e300, 1e299]), (8, [0.0, -0.0]), (9, [1.0]), (10, [2.0])]
+    assert _found(spark, rows) == sorted(
+        [(1, 3, 1, True), (2, 3, 1, False), (2, 3, 1, False), (7, 3, 1, False), (9, 1, 9, True), (10, 1, 9, False)]
+        + [(i, 0, i, True) for i in (3, 4, 5, 6, 8, None)], key=repr)
