@@ -7,8 +7,10 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
+from velotide.llm import lexical_search
 from velotide.llm.lexical_search import build_index, search
 
 DOCS = "doc_id long, text string, m string, term string, rank int"
@@ -79,3 +81,42 @@ def test_a_stratum_of_many_equal_texts_is_cut(spark):
     index = build_index(spark.createDataFrame(docs, "doc_id long, text string"), block_postings=200)
     sizes = [len(r["doc_ids"]) for r in index.blocks.select("doc_ids").collect()]
     assert sum(sizes) == 501 and max(sizes) < 150
+
+
+def test_spaces_beyond_ascii_are_letters(spark):
+    docs = [(1, "a\u00a0b c\x1cd\x85"), (2, "a\u2028b\x00c"), (None, "A\u00a0B"), (3, " "), (4, None)] + [(4, "c\tC\x0bd")] * 2
+    items = [(1, "A\u00a0b"), (2, "c d"), (None, "a\u2028b c"), (3, None), (3, " \x1f"), (4, "c")]
+    assert ours(spark, docs, items, k=3) == plain(docs, items, 3)
+
+
+def test_terms_travel_as_text_and_are_counted_by_block(spark):
+    docs = [(i, f"all some{i % 3} one{i} one{i}") for i in range(60)] + [(None, "all"), (7, None), (8, "..")]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    counted = lexical_search.term_counts(table, "doc_id", "text")
+    assert dict(counted.dtypes)["terms"] == "string"
+    rows = {(r["key"], r["n"]): (r["entries"], r["terms"].split(), r["tfs"]) for r in counted.collect()}
+    assert rows[5, 4] == (3, ["all", "some2", "one5"], [1, 1, 2]) and rows[7, 0] == (0, [], []) == rows[8, 0]
+    index = build_index(table, block_postings=20)
+    assert index.blocks.count() > 5
+    assert dict(index.blocks.dtypes)["terms"] == "string"
+    df = Counter(t for _, text in docs for t in set(terms(text)))
+    assert {r["term"]: r["df"] for r in index.terms.collect()} == df
+
+
+@pytest.mark.parametrize("cells", [1, 100, 1 << 18])
+def test_items_are_scored_some_at_a_time(monkeypatch, cells):
+    monkeypatch.setattr(lexical_search, "_CELLS", cells)
+    generator = random.Random(3)
+    docs = [(i, Counter(generator.choices("abcdefgh", k=12))) for i in range(50)]
+    columns = [[1] * 50, [0] * 50, [i for i, _ in docs], [" ".join(b) for _, b in docs]]
+    tfs = pa.array([list(b.values()) for _, b in docs], pa.list_(pa.int32()))
+    block = lexical_search._block((80, 0), [pa.RecordBatch.from_arrays([*map(pa.array, columns), tfs], ["m", "chunk", "doc_id", "terms", "tfs"])])
+    asked = [("x", 0, "a b", [3, 5]), ("none", 0, "zz", [9]), ("y", 3000, "h zz a", [2, 7, 1]), ("z", 10**9, "c", [1])]
+    queries = [dict(zip(("item", "least", "terms", "weights"), q, strict=True)) for q in asked]
+    row = block.append_column("queries", pa.array([queries]))
+    got = [tuple(r.values()) for batch in lexical_search._scores(row, 4) for r in batch.to_pylist()]
+    want = []
+    for item, least, words, weights in asked:
+        scores = [(-sum(w * (10**9 * b[t] // (1000 * b[t] + 12 * 80)) for t, w in zip(words.split(), weights, strict=True)), i) for i, b in docs]
+        want += [(item, i, -s) for s, i in sorted(scores)[:4] if -s >= max(least, 1)]
+    assert got == want
