@@ -120,3 +120,15 @@ def test_items_are_scored_some_at_a_time(monkeypatch, cells):
         scores = [(-sum(w * (10**9 * b[t] // (1000 * b[t] + 12 * 80)) for t, w in zip(words.split(), weights, strict=True)), i) for i, b in docs]
         want += [(item, i, -s) for s, i in sorted(scores)[:4] if -s >= max(least, 1)]
     assert got == want
+
+
+def test_blocks_stay_in_their_buckets(spark):
+    docs = [(i, f"all some{i % 3} one{i}") for i in range(60)]
+    index = build_index(spark.createDataFrame(docs, "doc_id long, text string"), block_postings=20)
+    asking = spark.createDataFrame([(75, 0, "x"), (75, 0, "y"), (9, 9, "z")], "m long, chunk long, item string")
+    rows = index.blocks.join(asking.hint("shuffle_hash"), ["m", "chunk"])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("blocks_")]
+    # The name is gone, the files are read again and again.
+    assert sum(len(r["doc_ids"]) for r in index.blocks.collect()) == sum(len(r["doc_ids"]) for r in index.blocks.collect()) == 60

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 _KEY = "spark.checkpoint.dir"
 # Spark's own setting: remove an execution's shuffle files when it has ended.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Files a task writes side by side; rows for more of them are sorted first.
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 _local: dict[str, str] = {}
 
 
@@ -40,15 +42,21 @@ def _located(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
 
 
+@contextmanager
+def _set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    conf = spark.conf
+    before = conf.get(key, None)
+    conf.set(key, value)
+    try:
+        yield
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def _write(df: DataFrame, path: str) -> None:
     """Write the table and free the shuffles behind it, which nothing reads again."""
-    conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP, None)
-    conf.set(_CLEANUP, "true")
-    try:
+    with _set(df.sparkSession, _CLEANUP, "true"):
         df.write.parquet(path)
-    finally:
-        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -61,6 +69,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_in_buckets(df: DataFrame, label: str, count: int, *keys: str) -> DataFrame:
+    """``materialize`` in ``count`` buckets by ``keys``: joins by them shuffle only the other table.
+
+    Tasks of ``df`` that hold a bucket each write one file each, and sort nothing for it.
+    """
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    with _set(spark, _CLEANUP, "true"), _set(spark, _WRITERS, "1"):
+        df.write.format("parquet").bucketBy(count, *keys).option("path", scratch_path(spark, label)).saveAsTable(name)
+    stored = spark.table(name)
+    # The table is external: its name goes, its files stay.
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
 @contextmanager
 def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``materialize`` for a table that is done with at the end of the block."""
